@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no streaming operator (no sources, watermarks, windows
+or state), so none is built here. A fitted ``PipelineModel`` from
+:mod:`sylvan.operators.score` is a plain Spark ML transformer and can be
+applied to a streaming DataFrame as is.
+"""
