@@ -38,7 +38,7 @@ def date_parts(
     two-digit years to 2000-2099.
     """
     src = _col(c)
-    d = F.try_to_date(src, F.lit(fmt)) if fmt else F.try_to_date(src)
+    d = F.try_to_date(src, fmt) if fmt else F.try_to_date(src)
     day, month, year = names
     return {
         f"{day}{suffix}": F.dayofmonth(d),
@@ -49,7 +49,7 @@ def date_parts(
 
 def prefix_int(c: str | Column, sep: str = "S") -> Column:
     """Integer after a prefix, e.g. ``"S123" -> 123`` (F15); NULL if absent."""
-    return F.try_cast(F.get(F.split(_col(c), sep), 1), "int")
+    return F.get(F.split(_col(c), sep), 1).try_cast("int")
 
 
 def hash_fraction(key: str | Column) -> Column:

@@ -1 +1,283 @@
-"""placeholder"""
+"""Cleaning, derivation, target and split queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sylvan.operators import derive as D
+from sylvan.operators import score as SC
+from sylvan.operators import target as TG
+from sylvan.plans.registry import docs_with_labels, query, r6, table
+
+# SQL form of the key-hash fraction in sylvan.functions.columns.hash_fraction.
+HASH_SQL = "(((({k} % 2147483648) * 2654435761) % 4294967296)::DOUBLE / 4294967296::DOUBLE)"
+
+
+@query(
+    "date_parts",
+    """
+    SELECT o_orderkey,
+           CAST(day(o_orderdate) AS INTEGER) AS dayofmonth,
+           CAST(month(o_orderdate) AS INTEGER) AS month,
+           CAST(2000 + year(o_orderdate) % 100 AS INTEGER) AS year
+    FROM orders
+    """,
+)
+def date_parts(spark, sf_dir):
+    """parse a ``dd/MM/yy`` string into day, month, year.
+
+    The string is the order date written as ``dd/MM/yy`` (the loan data's
+    format). Spark's ``yy`` maps two-digit years to 2000-2099, so 95 is
+    2095; the oracle states that rule.
+    """
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "dd/MM/yy").alias("Lead_Creation_Date")
+    )
+    return D.with_date_parts(o, "Lead_Creation_Date", fmt="dd/MM/yy")
+
+
+@query(
+    "date_parts_default",
+    """
+    SELECT l_orderkey, l_linenumber,
+           CAST(day(l_shipdate) AS INTEGER) AS dayofmonthSD,
+           CAST(month(l_shipdate) AS INTEGER) AS monthSD,
+           CAST(year(l_shipdate) AS INTEGER) AS yearSD
+    FROM lineitem
+    """,
+)
+def date_parts_default(spark, sf_dir):
+    """default date pattern, suffixed outputs, source dropped."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("string").alias("shipped")
+    )
+    return D.with_date_parts(li, "shipped", suffix="SD")
+
+
+@query(
+    "prefix_int",
+    "SELECT doc_id, TRY_CAST(split_part(source, 'src', 2) AS INTEGER) AS source_num FROM documents",
+)
+def prefix_int(spark, sf_dir):
+    """``src7 -> 7`` (the reference strips an ``S`` prefix)."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return D.with_prefix_int(d, "source", out="source_num", sep="src").select("doc_id", "source_num")
+
+
+@query(
+    "bucketize_year",
+    """
+    SELECT CAST(greatest(least(floor((year(o_orderdate) - 1911) / 10), 10), 0) AS DOUBLE) AS bucket, count(*) AS n
+    FROM orders GROUP BY 1
+    """,
+)
+def bucketize_year(spark, sf_dir):
+    """decade buckets 1911..2021 (open ends), rows per bucket."""
+    o = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"))
+    b = D.bucketize(o, "year", "bucket", D.decade_splits())
+    return b.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "range_filter",
+    """
+    SELECT l_orderkey, l_linenumber FROM lineitem
+    WHERE year(l_shipdate) BETWEEN 1995 AND 1999 AND l_extendedprice > 100 AND l_extendedprice <= 17500
+    """,
+)
+def range_filter(spark, sf_dir):
+    """T5: range filters as outlier removal (year window, price band)."""
+    li = table(spark, sf_dir, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
+    li = D.range_filter(li, "ship_year", 1995, 1999)
+    li = D.range_filter(li, "l_extendedprice", 100, 17500, low_inclusive=False)
+    return li.select("l_orderkey", "l_linenumber")
+
+
+@query(
+    "sql_filter",
+    """
+    SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+    WHERE l_quantity BETWEEN 10 AND 20 AND l_returnflag != 'N' AND l_discount <= 0.05
+    """,
+)
+def sql_filter(spark, sf_dir):
+    """Filter by SQL text (pushed to the parquet scan)."""
+    li = D.where_sql(
+        table(spark, sf_dir, "lineitem"), "l_quantity between 10 and 20 and l_returnflag != 'N' and l_discount <= 0.05"
+    )
+    return li.select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+def _impute_sql(fill: str) -> str:
+    return f"""
+    WITH t AS (SELECT d.doc_id, l.quality::DOUBLE AS quality, l.toxic::DOUBLE AS toxic
+               FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+    SELECT doc_id,
+           round(coalesce(quality, (SELECT {fill.format(c='quality')} FROM t)), 6) AS quality,
+           round(coalesce(toxic, (SELECT {fill.format(c='toxic')} FROM t)), 6) AS toxic
+    FROM t
+    """
+
+
+def _impute(spark, sf_dir, strategy):
+    df = docs_with_labels(spark, sf_dir).select("doc_id", "quality", "toxic")
+    out, _ = D.impute(df, ["quality", "toxic"], strategy=strategy)
+    return out.select("doc_id", r6("quality").alias("quality"), r6("toxic").alias("toxic"))
+
+
+@query("impute_mean", _impute_sql("avg({c})"))
+def impute_mean(spark, sf_dir):
+    """mean imputation of NULLs (labels missing for most documents)."""
+    return _impute(spark, sf_dir, "mean")
+
+
+@query("impute_median", _impute_sql("quantile_disc({c}, 0.5)"))
+def impute_median(spark, sf_dir):
+    """median imputation (Spark: lower middle value)."""
+    return _impute(spark, sf_dir, "median")
+
+
+@query("impute_mode", _impute_sql("mode({c})"))
+def impute_mode(spark, sf_dir):
+    """mode imputation."""
+    return _impute(spark, sf_dir, "mode")
+
+
+@query(
+    "impute_text_mode",
+    """
+    WITH t AS (SELECT d.doc_id, CASE WHEN l.quality = 0 THEN d.lang END AS lang_if_low
+               FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+    m AS (SELECT lang_if_low AS v FROM t WHERE lang_if_low IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+    SELECT doc_id, coalesce(lang_if_low, (SELECT v FROM m)) AS lang_if_low FROM t
+    """,
+)
+def impute_text_mode(spark, sf_dir):
+    """F22 for text: fill NULLs with the modal value (ties: smallest)."""
+    df = docs_with_labels(spark, sf_dir).select(
+        "doc_id", F.when(F.col("quality") == 0, F.col("lang")).alias("lang_if_low")
+    )
+    return D.impute_text_mode(df, ["lang_if_low"])
+
+
+@query(
+    "hash_split",
+    f"""
+    SELECT o_orderkey, CASE WHEN {HASH_SQL.format(k='o_orderkey')} < 0.7 THEN 'train' ELSE 'test' END AS split
+    FROM orders
+    """,
+)
+def hash_split(spark, sf_dir):
+    """70/30 split by key hash; disjoint, complete, partitioning-stable."""
+    return TG.with_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
+
+
+@query(
+    "hash_split_counts",
+    f"""
+    SELECT CASE WHEN {HASH_SQL.format(k='o_orderkey')} < 0.7 THEN 'train' ELSE 'test' END AS split, count(*) AS n
+    FROM orders GROUP BY 1
+    """,
+)
+def hash_split_counts(spark, sf_dir):
+    """Sizes of the two parts produced by ``hash_split``."""
+    train, test = TG.hash_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
+    return train.agg(F.count(F.lit(1)).alias("n")).select(F.lit("train").alias("split"), "n").unionByName(
+        test.agg(F.count(F.lit(1)).alias("n")).select(F.lit("test").alias("split"), "n")
+    )
+
+
+@query(
+    "undersample",
+    f"""
+    WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY 1)
+    SELECT l.doc_id, l.quality FROM labels l JOIN c ON l.quality = c.quality
+    WHERE {HASH_SQL.format(k='l.doc_id')} < (SELECT min(n) FROM c)::DOUBLE / c.n
+    """,
+)
+def undersample(spark, sf_dir):
+    """Undersample every class to the smallest one, by key hash."""
+    return TG.undersample(table(spark, sf_dir, "labels"), "quality", "doc_id").select("doc_id", "quality")
+
+
+@query(
+    "class_weights",
+    """
+    WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY 1)
+    SELECT l.doc_id, l.quality,
+           round((SELECT sum(n) FROM c)::DOUBLE / ((SELECT count(*) FROM c) * c.n), 6) AS weight
+    FROM labels l JOIN c ON l.quality = c.quality
+    """,
+)
+def class_weights(spark, sf_dir):
+    """Balanced class weights n / (k * n_c) as a weight column."""
+    w = TG.with_class_weights(table(spark, sf_dir, "labels"), "quality")
+    return w.select("doc_id", "quality", r6("weight").alias("weight"))
+
+
+@query("randomize_target", None)
+def randomize_target(spark, sf_dir):
+    """The reference's coin-flip target (a null-model baseline), seeded."""
+    lab = TG.randomize_target(table(spark, sf_dir, "labels"), "quality", seed=7)
+    return lab.groupBy("quality").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("random_split", None)
+def random_split(spark, sf_dir):
+    """The reference's random 70/30 split, now seeded."""
+    train, test = TG.random_split(table(spark, sf_dir, "orders").select("o_orderkey"), (0.7, 0.3), seed=42)
+    return train.select(F.lit("train").alias("split"), "o_orderkey").unionByName(
+        test.select(F.lit("test").alias("split"), "o_orderkey")
+    )
+
+
+@query(
+    "lookup_enrich",
+    """
+    SELECT o.o_orderkey, c.c_mktsegment, n.n_name
+    FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+    LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+    """,
+)
+def lookup_enrich(spark, sf_dir):
+    """Enrich orders with customer segment and nation name.
+
+    nation has a fixed 25 rows and is always broadcast; customer grows
+    with the data and is broadcast only below a checked row bound.
+    """
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", F.col("c_nationkey").alias("n_nationkey"))
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    out = D.lookup_join(orders, cust, "c_custkey")
+    out = D.lookup_join(out, nation, "n_nationkey", assume_small=True)
+    return out.select("o_orderkey", "c_mktsegment", "n_name")
+
+
+@query(
+    "unknown_categories",
+    """
+    WITH t AS (SELECT o.o_orderdate, o.o_orderstatus, o.o_orderpriority, c.c_name
+               FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey),
+    pairs AS (
+      SELECT 'o_orderstatus' AS "column", o_orderstatus AS value, o_orderdate FROM t
+      UNION ALL SELECT 'o_orderpriority', o_orderpriority, o_orderdate FROM t
+      UNION ALL SELECT 'c_name', c_name, o_orderdate FROM t
+      UNION ALL SELECT 'order_month', strftime(o_orderdate, '%Y-%m'), o_orderdate FROM t),
+    train AS (SELECT DISTINCT "column", value FROM pairs WHERE o_orderdate < TIMESTAMP '2000-01-01' AND value IS NOT NULL),
+    score AS (SELECT "column", value, count(*) AS n FROM pairs
+              WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND value IS NOT NULL GROUP BY 1, 2)
+    SELECT s."column", s.value, s.n FROM score s ANTI JOIN train r ON s."column" = r."column" AND s.value = r.value
+    """,
+)
+def unknown_categories(spark, sf_dir):
+    """Categories met when scoring (orders from 2000 on) that the
+    training rows (orders before 2000) never had."""
+    cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    df = (
+        table(spark, sf_dir, "orders")
+        .join(cust, "o_custkey", "left")
+        .withColumn("order_month", F.date_format("o_orderdate", "yyyy-MM"))
+    )
+    cutoff = F.lit("2000-01-01").cast("timestamp_ntz")
+    cols = ["o_orderstatus", "o_orderpriority", "c_name", "order_month"]
+    return SC.unknown_categories(df.where(F.col("o_orderdate") < cutoff), df.where(F.col("o_orderdate") >= cutoff), cols)
