@@ -117,6 +117,16 @@ def auc(df: DataFrame, label: str = names.LABEL, score: str = "score", buckets:
     )
 
 
+def metrics_long(metrics: DataFrame) -> DataFrame:
+    """One-row metrics table -> (metric, value) rows."""
+    cols = metrics.columns
+    return metrics.select(
+        F.explode(
+            F.map_from_arrays(F.array(*[F.lit(c) for c in cols]), F.array(*[F.col(c).cast("double") for c in cols]))
+        ).alias("metric", "value")
+    )
+
+
 def compare_models(predictions: dict[str, DataFrame], kind: str = "regression") -> DataFrame:
     """Long table (model, metric, value) for several models."""
     parts = []

@@ -171,11 +171,31 @@ class AutoPipeline:
             return names.PREFIX + self.target
         return None
 
+    def text_indexer(self, fitted: PipelineModel) -> StringIndexerModel | None:
+        """The fitted indexer of the text columns, if any."""
+        return fitted_indexer(fitted, names.PREFIX + self.text_cols[0]) if self.text_cols else None
+
+    def class_labels(self, fitted: PipelineModel) -> list[str] | None:
+        """Target value of each class index (classification)."""
+        if not self.indexed_target:
+            return None
+        return list(fitted_indexer(fitted, self.indexed_target).labelsArray[0])
+
     def feature_dictionary(self) -> list[tuple[int, str]]:
         """Ordinal -> input column (before one-hot expansion)."""
         return list(enumerate(self.assembled))
 
 
+def fitted_indexer(fitted: PipelineModel, output_col: str) -> StringIndexerModel:
+    """The fitted StringIndexer stage that writes ``output_col``."""
+    for stage in fitted.stages:
+        if isinstance(stage, StringIndexerModel):
+            outs = stage.getOutputCols() if stage.isSet("outputCols") else [stage.getOutputCol()]
+            if output_col in outs:
+                return stage
+    raise KeyError(output_col)
+
+
 def auto_pipeline(
     text_cols: list[str],
     numeric_cols: list[str],
@@ -185,11 +205,14 @@ def auto_pipeline(
     handle_invalid: str = "error",
     one_hot_text: bool = False,
     scale_numeric: bool = False,
+    target_invalid: str = "error",
 ) -> AutoPipeline:
     """Index text (+ target), assemble, vector-index.
 
-    Classification indexes the target together with the text columns
-    (``indexed_<target>``, frequency order); regression leaves it alone.
+    Classification also indexes the target (``indexed_<target>``,
+    frequency order) with its own indexer (``target_invalid``, default
+    ``error``: drop rows without a target before fitting); regression
+    leaves it alone.
     The target is removed from both lists by exact name. With
     ``one_hot_text`` the indexed text columns are one-hot encoded; with
     ``scale_numeric`` only the numeric columns are scaled before the final
@@ -203,10 +226,14 @@ def auto_pipeline(
     numeric = [c for c in numeric_cols if c != target]
     if kind == "classification" and not target:
         raise ValueError("classification needs a target")
-    to_index = text + ([target] if kind == "classification" else [])
     stages = []
-    if to_index:
-        stages.append(string_indexer(to_index, handle_invalid=handle_invalid))
+    if text:
+        stages.append(string_indexer(text, handle_invalid=handle_invalid))
+    if kind == "classification":
+        # The target gets its own indexer: ``keep`` must never invent an
+        # extra class. With ``error`` a fitted target indexer also passes
+        # through rows that have no target column at all (scoring).
+        stages.append(string_indexer([target], handle_invalid=target_invalid))
     text_features = [names.PREFIX + c for c in text]
     if one_hot_text and text_features:
         hot = [f"onehot_{c}" for c in text]

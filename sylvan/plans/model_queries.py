@@ -1 +1,346 @@
-"""placeholder"""
+"""Evaluation, tree and model queries.
+
+Evaluators and single-split trees are checked against SQL: predictions
+come from fixed rules (or a depth-1 tree, whose best split SQL can find
+with prefix sums). Trained ensembles, cross-validation and scoring are
+checked on rows only.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import functions as F
+
+from sylvan import names
+from sylvan.functions.columns import letter_share
+from sylvan.operators import evaluate as EV
+from sylvan.operators import explain as EX
+from sylvan.operators import features as FT
+from sylvan.operators import models as M
+from sylvan.operators import score as SC
+from sylvan.operators import text as TX
+from sylvan.operators import tune as TU
+from sylvan.plans.flows import document_features, supervised_flow
+from sylvan.plans.registry import docs_with_labels, labeled_docs, query, r6, table
+
+# Fixed values of the evaluation rules.
+LETTER_SHARE_CUT = 0.7
+
+LS_SQL = r"length(regexp_replace(d.text, '[^\p{L}]', '', 'g'))::DOUBLE / nullif(length(d.text), 0)"
+RULE_SQL = f"""
+    (SELECT d.doc_id, l.quality::DOUBLE AS label, {LS_SQL} AS score,
+            CASE WHEN {LS_SQL} >= {LETTER_SHARE_CUT} THEN 1.0 ELSE 0.0 END AS prediction
+     FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
+"""
+PRICE_RULE_SQL = """
+    (SELECT p_partkey, p_retailprice AS label, 925.0 + (p_partkey % 1000) / 20.0 AS prediction FROM part)
+"""
+
+
+def _rule_predictions(spark, sf_dir):
+    """label = quality, score = letter share, prediction = score >= 0.7."""
+    d = labeled_docs(spark, sf_dir)
+    score = letter_share("text")
+    return d.select(
+        "doc_id",
+        F.col("quality").cast("double").alias(names.LABEL),
+        score.alias("score"),
+        F.when(score >= LETTER_SHARE_CUT, 1.0).otherwise(0.0).alias(names.PREDICTION),
+    )
+
+
+def _price_predictions(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    return p.select(
+        "p_partkey",
+        F.col("p_retailprice").alias(names.LABEL),
+        (F.lit(925.0) + F.pmod("p_partkey", F.lit(1000)) / F.lit(20.0)).alias(names.PREDICTION),
+    )
+
+
+@query(
+    "accuracy",
+    f"""
+    SELECT count(*) AS n, round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+           round(1 - avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS test_error
+    FROM {RULE_SQL}
+    """,
+)
+def accuracy(spark, sf_dir):
+    """M9: accuracy and test error of a rule prediction, one aggregate."""
+    m = EV.classification_metrics(_rule_predictions(spark, sf_dir))
+    return m.select("n", r6("accuracy").alias("accuracy"), r6("test_error").alias("test_error"))
+
+
+@query("confusion", f"SELECT label, prediction, count(*) AS n FROM {RULE_SQL} GROUP BY 1, 2")
+def confusion(spark, sf_dir):
+    """M9: confusion matrix as (label, prediction, n)."""
+    return EV.confusion(_rule_predictions(spark, sf_dir))
+
+
+@query("errors", f"SELECT doc_id, label, prediction FROM {RULE_SQL} WHERE label != prediction")
+def errors(spark, sf_dir):
+    """Misclassified rows."""
+    return EV.errors(_rule_predictions(spark, sf_dir)).select("doc_id", names.LABEL, names.PREDICTION)
+
+
+@query(
+    "auc",
+    f"""
+    WITH g AS (SELECT score AS s, sum(label) AS pos, sum(1 - label) AS neg FROM {RULE_SQL} GROUP BY 1),
+    r AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+          FROM g)
+    SELECT round(sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)), 6) AS auc,
+           CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg
+    FROM r
+    """,
+)
+def auc(spark, sf_dir):
+    """Exact ROC AUC of the letter-share score (ties count one half)."""
+    a = EV.auc(_rule_predictions(spark, sf_dir), names.LABEL, "score")
+    return a.select(r6("auc").alias("auc"), "n_pos", "n_neg")
+
+
+@query(
+    "rmse_mae_r2",
+    f"""
+    SELECT count(*) AS n, round(sqrt(avg((prediction - label) * (prediction - label))), 6) AS rmse,
+           round(avg((prediction - label) * (prediction - label)), 6) AS mse,
+           round(avg(abs(prediction - label)), 6) AS mae,
+           round(1 - sum((prediction - label) * (prediction - label)) / (var_pop(label) * count(*)), 6) AS r2
+    FROM {PRICE_RULE_SQL}
+    """,
+)
+def rmse_mae_r2(spark, sf_dir):
+    """RMSE, MSE, MAE and R^2 in one aggregate."""
+    m = EV.regression_metrics(_price_predictions(spark, sf_dir))
+    return m.select("n", *[r6(c).alias(c) for c in ("rmse", "mse", "mae", "r2")])
+
+
+@query(
+    "rule_compare",
+    f"""
+    WITH p AS {PRICE_RULE_SQL},
+    m AS (SELECT 'partkey_rule' AS model, sqrt(avg((prediction - label) ^ 2)) AS rmse, avg((prediction - label) ^ 2) AS mse,
+                 avg(abs(prediction - label)) AS mae, 1 - sum((prediction - label) ^ 2) / (var_pop(label) * count(*)) AS r2 FROM p
+          UNION ALL
+          SELECT 'constant_950', sqrt(avg((950.0 - label) ^ 2)), avg((950.0 - label) ^ 2), avg(abs(950.0 - label)),
+                 1 - sum((950.0 - label) ^ 2) / (var_pop(label) * count(*)) FROM p)
+    SELECT model, metric, round(value, 6) AS value FROM m
+    UNPIVOT (value FOR metric IN (rmse, mse, mae, r2))
+    """,
+)
+def rule_compare(spark, sf_dir):
+    """(model, metric, value) table for two predictors."""
+    p = _price_predictions(spark, sf_dir)
+    const = p.withColumn(names.PREDICTION, F.lit(950.0))
+    cmp = EV.compare_models({"partkey_rule": p, "constant_950": const}, "regression")
+    return cmp.select("model", "metric", r6("value").alias("value"))
+
+
+def _stump_nodes(spark, model):
+    nodes = EX.tree_nodes(spark, model).where("treeID = 0")
+    root = nodes.where("id = 0").select(
+        F.col("categories")[0].alias("threshold"), F.col("leftChild").alias("l"), F.col("rightChild").alias("r")
+    )
+    left = nodes.select(F.col("id").alias("l"), F.col("rawCount").alias("left_n"), F.col("prediction").alias("left_pred"))
+    right = nodes.select(F.col("id").alias("r"), F.col("rawCount").alias("right_n"), F.col("prediction").alias("right_pred"))
+    return root.join(left, "l").join(right, "r")
+
+
+@query(
+    "stump_regression",
+    """
+    WITH g AS (SELECT p_size::DOUBLE AS x, count(*) AS n, sum(p_retailprice) AS s FROM part GROUP BY 1),
+    c AS (SELECT x, lead(x) OVER (ORDER BY x) AS nx, sum(n) OVER (ORDER BY x) AS nl, sum(s) OVER (ORDER BY x) AS sl FROM g),
+    tot AS (SELECT sum(n) AS n, sum(s) AS s FROM g),
+    cand AS (SELECT (x + nx) / 2 AS threshold, nl, sl, tot.n - nl AS nr, tot.s - sl AS sr FROM c, tot WHERE nx IS NOT NULL)
+    SELECT round(threshold, 6) AS threshold, CAST(nl AS BIGINT) AS left_n, CAST(nr AS BIGINT) AS right_n,
+           round(sl / nl, 6) AS left_mean, round(sr / nr, 6) AS right_mean
+    FROM cand ORDER BY sl * sl / nl + sr * sr / nr DESC LIMIT 1
+    """,
+)
+def stump_regression(spark, sf_dir):
+    """M3 at depth 1: best variance split of price on size, leaf means."""
+    part = FT.assemble(table(spark, sf_dir, "part"), ["p_size"], names.FEATURES)
+    part = part.withColumn(names.LABEL, F.col("p_retailprice"))
+    model = M.make_model("dt", "regression", maxDepth=1, maxBins=64).fit(part)
+    s = _stump_nodes(spark, model)
+    return s.select(
+        r6("threshold").alias("threshold"),
+        "left_n",
+        "right_n",
+        r6("left_pred").alias("left_mean"),
+        r6("right_pred").alias("right_mean"),
+    )
+
+
+@query(
+    "stump_classification",
+    f"""
+    WITH s AS (SELECT floor(20 * score) AS x, label AS y FROM {RULE_SQL}),
+    g AS (SELECT x, count(*) AS n, sum(y) AS p FROM s GROUP BY 1),
+    c AS (SELECT x, lead(x) OVER (ORDER BY x) AS nx, sum(n) OVER (ORDER BY x) AS nl, sum(p) OVER (ORDER BY x) AS pl FROM g),
+    tot AS (SELECT sum(n) AS n, sum(p) AS p FROM g),
+    cand AS (SELECT (x + nx) / 2 AS threshold, nl, pl, tot.n - nl AS nr, tot.p - pl AS pr FROM c, tot WHERE nx IS NOT NULL)
+    SELECT round(threshold, 6) AS threshold, CAST(nl AS BIGINT) AS left_n, CAST(nr AS BIGINT) AS right_n,
+           CASE WHEN 2 * pl > nl THEN 1.0 ELSE 0.0 END AS left_pred,
+           CASE WHEN 2 * pr > nr THEN 1.0 ELSE 0.0 END AS right_pred
+    FROM cand
+    ORDER BY (2 * pl * (nl - pl) / nl) + (2 * pr * (nr - pr) / nr) ASC LIMIT 1
+    """,
+)
+def stump_classification(spark, sf_dir):
+    """M1 at depth 1 (gini): best split of quality on the letter-share bucket."""
+    p = _rule_predictions(spark, sf_dir).select(
+        F.floor(F.col("score") * 20).cast("double").alias("x"), F.col(names.LABEL)
+    )
+    p = FT.assemble(p, ["x"], names.FEATURES)
+    model = M.make_model("dt", "classification", maxDepth=1, maxBins=32, impurity="gini").fit(p)
+    s = _stump_nodes(spark, model)
+    return s.select(r6("threshold").alias("threshold"), "left_n", "right_n", "left_pred", "right_pred")
+
+
+# ---------------------------------------------------------------- trained models (rows only)
+
+DOC_TEXT = ["lang", "source"]
+DOC_NUMERIC = ["n_chars", "letter_share", "distinct_token_share"]
+PART_TEXT = ["p_type", "p_brand"]
+PART_NUMERIC = ["p_size", "p_partkey"]
+
+
+def _doc_frame(spark, sf_dir):
+    return document_features(labeled_docs(spark, sf_dir))
+
+
+def _doc_flow(spark, sf_dir, algo="dt", **params):
+    return supervised_flow(
+        _doc_frame(spark, sf_dir), "quality", "doc_id", DOC_TEXT, DOC_NUMERIC, "classification", algo, 32, **params
+    )
+
+
+def _part_flow(spark, sf_dir, algo="dt", **params):
+    part = table(spark, sf_dir, "part")
+    return supervised_flow(part, "p_retailprice", "p_partkey", PART_TEXT, PART_NUMERIC, "regression", algo, 40, **params)
+
+
+def _with_score(pred):
+    return EV.positive_score(pred)
+
+
+def _summary(pred):
+    """(metric, value) rows: n, accuracy, test error and AUC on the test part."""
+    pred = _with_score(pred)
+    return EV.metrics_long(EV.classification_metrics(pred)).unionByName(
+        EV.metrics_long(EV.auc(pred, names.LABEL, "score").select("auc"))
+    )
+
+
+@query("dt_classify", None)
+def dt_classify(spark, sf_dir):
+    """M2: entropy decision tree on document signals; accuracy and AUC on test."""
+    res = _doc_flow(spark, sf_dir, "dt", impurity="entropy")
+    return _summary(res.predictions)
+
+
+@query("dt_regress", None)
+def dt_regress(spark, sf_dir):
+    """M3: regression tree on part, maxBins from the categories (>= 40)."""
+    res = _part_flow(spark, sf_dir, "dt", maxBins=40)
+    return EV.regression_metrics(res.predictions)
+
+
+@query("rf_regress", None)
+def rf_regress(spark, sf_dir):
+    """M4: random forest, 5 trees, onethird features, subsample 0.5."""
+    res = _part_flow(
+        spark, sf_dir, "rf", numTrees=5, featureSubsetStrategy="onethird", subsamplingRate=0.5, maxBins=40
+    )
+    return EV.regression_metrics(res.predictions)
+
+
+@query("gbt_regress", None)
+def gbt_regress(spark, sf_dir):
+    """M5: gradient-boosted trees, onethird, subsample 0.5, 20 rounds."""
+    res = _part_flow(spark, sf_dir, "gbt", featureSubsetStrategy="onethird", subsamplingRate=0.5, maxBins=40)
+    return EV.regression_metrics(res.predictions)
+
+
+@query("rf_classify", None)
+def rf_classify(spark, sf_dir):
+    """M6: random forest classifier with 10 trees."""
+    res = _doc_flow(spark, sf_dir, "rf", numTrees=10)
+    return _summary(res.predictions)
+
+
+@query("model_compare", None)
+def model_compare(spark, sf_dir):
+    """DT vs RF vs GBT on the same split, long table incl. GBT."""
+    preds = {
+        "dt": _part_flow(spark, sf_dir, "dt", maxBins=40).predictions,
+        "rf": _part_flow(spark, sf_dir, "rf", numTrees=3, featureSubsetStrategy="onethird", subsamplingRate=0.5).predictions,
+        "gbt": _part_flow(spark, sf_dir, "gbt", maxIter=10, featureSubsetStrategy="onethird", subsamplingRate=0.5).predictions,
+    }
+    return EV.compare_models(preds, "regression")
+
+
+@query("cv_grid", None)
+def cv_grid(spark, sf_dir):
+    """5-fold CV of the whole pipeline (features + tree) by AUC."""
+    df = _doc_frame(spark, sf_dir)
+    auto = FT.auto_pipeline(DOC_TEXT, DOC_NUMERIC, "quality", "classification", 32, "keep")
+    tree = M.make_model("dt", "classification", label="indexed_quality", impurity="entropy", maxBins=40)
+    from pyspark.ml import Pipeline
+
+    est = Pipeline(stages=auto.pipeline.getStages() + [tree])
+    grid = TU.param_grid(tree, {"maxDepth": [4, 6], "minInstancesPerNode": [10, 100]})
+    ev = BinaryClassificationEvaluator(labelCol="indexed_quality", metricName="areaUnderROC")
+    cvm = TU.cross_validate(est, grid, ev, df, "doc_id", folds=5, parallelism=4)
+    return TU.grid_metrics(spark, cvm)
+
+
+@query("importances", None)
+def importances(spark, sf_dir):
+    """Named feature importances of the regression tree."""
+    res = _part_flow(spark, sf_dir, "dt", maxBins=40)
+    return EX.importances(spark, res.model, res.feature_names)
+
+
+@query("tree_rules", None)
+def tree_rules(spark, sf_dir):
+    """The classification tree as readable rules with category labels."""
+    res = _doc_flow(spark, sf_dir, "dt", impurity="entropy", maxDepth=3)
+    idx = res.auto.text_indexer(res.features)
+    labels = EX.slot_labels(idx, DOC_TEXT, res.features.stages[-1], res.auto.assembled)
+    classes = res.auto.class_labels(res.features)
+    return EX.tree_rules(spark, res.model, res.feature_names, labels, classes)
+
+
+@query("tree_stats", None)
+def tree_stats(spark, sf_dir):
+    """Depth, nodes and features per tree of a 5-tree forest."""
+    res = _part_flow(spark, sf_dir, "rf", numTrees=5, featureSubsetStrategy="onethird", subsamplingRate=0.5)
+    return EX.tree_stats(spark, res.model)
+
+
+@query("score_bands", None)
+def score_bands(spark, sf_dir):
+    """Score the unlabelled documents with the fitted stages,
+    confidence band and decoded class per document."""
+    res = _doc_flow(spark, sf_dir, "dt", impurity="entropy")
+    docs = docs_with_labels(spark, sf_dir).where(F.col("quality").isNull()).drop("quality", "toxic")
+    pred = SC.score(res.features, res.model, document_features(docs))
+    classes = res.auto.class_labels(res.features)
+    bands = SC.prediction_bands(pred, classes)
+    return bands.select("doc_id", names.PREDICTION, "predicted_class", r6("max_probability").alias("max_probability"), "confidence_level")
+
+
+@query("text_lr", None)
+def text_lr(spark, sf_dir):
+    """Tokenizer -> HashingTF(1000) -> LR(maxIter 10, reg .001) on whole texts."""
+    from sylvan.operators import target as TG
+
+    d = labeled_docs(spark, sf_dir).select("doc_id", "text", F.col("quality").cast("double").alias("label"))
+    train, test = TG.hash_split(d, "doc_id")
+    model = TX.text_pipeline().fit(train)
+    return _summary(model.transform(test))
