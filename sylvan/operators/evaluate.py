@@ -97,8 +97,11 @@ def auc(df: DataFrame, label: str = names.LABEL, score: str = "score", buckets:
     probs = [i / buckets for i in range(1, buckets)]
     qs = by_score.agg(F.percentile_approx("s", probs, 10 * buckets).alias("q")).first()["q"] or []
     edges = sorted({float(q) for q in qs if q is not None})
-    splits = [float("-inf")] + edges + [float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="b", handleInvalid="keep").transform(by_score)
+    if edges:
+        splits = [float("-inf")] + edges + [float("inf")]
+        bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="b", handleInvalid="keep").transform(by_score)
+    else:
+        bucketed = by_score.withColumn("b", F.lit(0.0))
     per_bucket = bucketed.groupBy("b").agg(F.sum("neg").alias("bneg"))
     offsets = per_bucket.select(
         "b", F.coalesce(F.sum("bneg").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("off")

@@ -29,7 +29,7 @@ LETTER_SHARE_CUT = 0.7
 LS_SQL = r"length(regexp_replace(d.text, '[^\p{L}]', '', 'g'))::DOUBLE / nullif(length(d.text), 0)"
 RULE_SQL = f"""
     (SELECT d.doc_id, l.quality::DOUBLE AS label, {LS_SQL} AS score,
-            CASE WHEN {LS_SQL} >= {LETTER_SHARE_CUT} THEN 1.0 ELSE 0.0 END AS prediction
+            CASE WHEN {LS_SQL} >= {LETTER_SHARE_CUT} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
      FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
 """
 PRICE_RULE_SQL = """
@@ -184,8 +184,8 @@ def stump_regression(spark, sf_dir):
     tot AS (SELECT sum(n) AS n, sum(p) AS p FROM g),
     cand AS (SELECT (x + nx) / 2 AS threshold, nl, pl, tot.n - nl AS nr, tot.p - pl AS pr FROM c, tot WHERE nx IS NOT NULL)
     SELECT round(threshold, 6) AS threshold, CAST(nl AS BIGINT) AS left_n, CAST(nr AS BIGINT) AS right_n,
-           CASE WHEN 2 * pl > nl THEN 1.0 ELSE 0.0 END AS left_pred,
-           CASE WHEN 2 * pr > nr THEN 1.0 ELSE 0.0 END AS right_pred
+           CASE WHEN 2 * pl > nl THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS left_pred,
+           CASE WHEN 2 * pr > nr THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS right_pred
     FROM cand
     ORDER BY (2 * pl * (nl - pl) / nl) + (2 * pr * (nr - pr) / nr) ASC LIMIT 1
     """,
