@@ -5,8 +5,10 @@ count, then a filtered count and a ``distinct().count()`` per column).
 Here the whole profile is one lazy query: for every column a
 ``groupBy(column).count()`` (partial aggregation map-side, so a value
 holding a third of all rows collapses to one row per task before the
-shuffle) followed by a global aggregate over the per-value counts; the
-C one-row branches are unioned. Each branch reads only its own column.
+shuffle); the per-value counts of all columns are unioned and reduced by
+a single ``groupBy(column index)``. Each branch reads only its own
+column, and there is one final shuffle instead of one single-partition
+aggregate per column.
 
 ``approx=True`` replaces the C shuffles by one pass with HyperLogLog++
 (``approx_count_distinct``), the right choice on very large tables.
@@ -41,27 +43,87 @@ def _groupable(df: DataFrame, c: str) -> Column:
     return col
 
 
-def _branch(df: DataFrame, c: str, mode: str, enriched: bool) -> DataFrame:
+def _order_keys(dt: T.DataType, v: Column) -> tuple[Column, Column, Column]:
+    """Order-preserving (long, double, string) key of a value, by type family.
+
+    Only one of the three is set for a given column, so comparing the
+    struct compares values of that column in their natural order (used to
+    break ties of the modal value towards the smallest value).
+    """
+    none_l, none_d, none_s = F.lit(None).cast("long"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    if isinstance(dt, (T.IntegralType, T.BooleanType)):
+        return v.cast("long"), none_d, none_s
+    if isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return none_l, v.cast("double"), none_s
+    if isinstance(dt, T.DateType):
+        return F.unix_date(v), none_d, none_s
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(v.cast("timestamp")), none_d, none_s
+    if isinstance(dt, T.StringType):
+        return none_l, none_d, v
+    if isinstance(dt, T.BinaryType):
+        return none_l, none_d, F.hex(v)
+    return none_l, none_d, v.cast("string")
+
+
+def _value_counts(df: DataFrame, i: int, c: str, enriched: bool) -> DataFrame:
+    """(idx, isnull, cnt[, value, order keys]) per distinct value of column c.
+
+    ``groupBy`` aggregates partially before the shuffle, so a value that
+    holds a third of all rows is one row per task when it is shuffled.
+    """
     dt = df.schema[c].dataType
     counts = df.select(_groupable(df, c).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("cnt"))
-    nn = F.col("v").isNotNull()
+    out = [F.lit(i).alias("idx"), F.col("v").isNull().alias("isnull"), F.col("cnt")]
+    if enriched:
+        kl, kd, ks = _order_keys(dt, F.col("v"))
+        out += [F.col("v").cast("string").alias("value"), kl.alias("kl"), kd.alias("kd"), ks.alias("ks")]
+    return counts.select(*out)
+
+
+def _from_counts(df: DataFrame, cols: list[str], mode: str, enriched: bool) -> DataFrame:
+    """Union the per-value counts of all columns, then one groupBy(idx)."""
+    parts = [_value_counts(df, i, c, enriched) for i, c in enumerate(cols)]
+    # One placeholder row per column (cnt 0) keeps every column in the
+    # result when the table is empty, without an extra job to test for it.
+    seed = df.sparkSession.createDataFrame([(i,) for i in range(len(cols))], "idx int").select(
+        "idx", F.lit(None).cast("boolean").alias("isnull"), F.lit(0).cast("long").alias("cnt")
+    )
+    if enriched:
+        seed = seed.select(
+            "*",
+            F.lit(None).cast("string").alias("value"),
+            F.lit(None).cast("long").alias("kl"),
+            F.lit(None).cast("double").alias("kd"),
+            F.lit(None).cast("string").alias("ks"),
+        )
+    u = reduce(DataFrame.unionAll, parts + [seed])
+    real = F.col("cnt") > 0
+    nn = ~F.col("isnull")
     aggs = [
         F.sum("cnt").alias("n"),
         F.sum(F.when(nn, F.col("cnt"))).alias("nn"),
-        F.count(F.lit(1)).alias("d"),
-        F.count("v").alias("dnn"),
+        F.sum(F.when(real, 1).otherwise(0)).alias("d"),
+        F.sum(F.when(real & nn, 1).otherwise(0)).alias("dnn"),
     ]
     if enriched:
         # modal non-null value: highest count, ties -> smallest value
+        key = F.struct(-F.col("cnt"), F.col("kl"), F.col("kd"), F.col("ks"))
         aggs += [
-            F.min_by(F.col("v"), F.when(nn, F.struct(-F.col("cnt"), F.col("v")))).alias("mode"),
+            F.min_by(F.col("value"), F.when(nn, key)).alias("mode"),
             F.max(F.when(nn, F.col("cnt"))).alias("freq"),
         ]
+    g = u.groupBy("idx").agg(*aggs)
+    dts = [df.schema[c].dataType for c in cols]
+
+    def pick(values):
+        return F.get(F.array(*[F.lit(x) for x in values]), F.col("idx"))
+
     n = F.coalesce(F.col("n"), F.lit(0)).cast("long")
     out = [
-        F.lit(c).alias("name"),
-        F.lit(names.type_name(dt)).alias("origType"),
-        F.lit(names.classify_type(dt, mode)).alias("colType"),
+        pick(cols).alias("name"),
+        pick([names.type_name(dt) for dt in dts]).alias("origType"),
+        pick([names.classify_type(dt, mode) for dt in dts]).alias("colType"),
         safe_ratio(F.coalesce(F.col("nn"), F.lit(0)), n).alias("compRatio"),
         F.col("d").cast("long").alias("nbDistinctValues"),
         F.col("dnn").cast("long").alias("nbDistinctNonNull"),
@@ -71,10 +133,10 @@ def _branch(df: DataFrame, c: str, mode: str, enriched: bool) -> DataFrame:
             n.alias("nRows"),
             (n - F.coalesce(F.col("nn"), F.lit(0))).cast("long").alias("nullCount"),
             safe_ratio("d", n).alias("uniqueRatio"),
-            F.col("mode").cast("string").alias("mostFrequentValue"),
+            F.col("mode").alias("mostFrequentValue"),
             F.col("freq").cast("long").alias("frequency"),
         ]
-    return counts.agg(*aggs).select(*out)
+    return g.select(*out)
 
 
 def _approx(df: DataFrame, cols: list[str], mode: str, enriched: bool, rsd: float) -> DataFrame:
@@ -125,18 +187,18 @@ def profile(
     frequency (A5). Row order of the result is not defined.
     """
     cols = list(columns or df.columns)
-    spark = df.sparkSession
     if approx:
         return _approx(df, cols, mode, enriched, rsd)
-    chunks = [cols[i : i + MAX_BRANCHES_PER_PLAN] for i in range(0, len(cols), MAX_BRANCHES_PER_PLAN)]
-    parts = [reduce(DataFrame.unionAll, [_branch(df, c, mode, enriched) for c in chunk]) for chunk in chunks]
-    if len(parts) == 1:
-        return parts[0]
-    # Very wide table: evaluate each bounded plan on its own; results are one
-    # row per column, so they are bounded by the schema, not the data.
-    schema = parts[0].schema
-    rows = [r for p in parts for r in p.collect()]
-    return spark.createDataFrame(rows, schema)
+    if len(cols) <= MAX_BRANCHES_PER_PLAN:
+        prof = _from_counts(df, cols, mode, enriched)
+    else:
+        # Very wide table: evaluate bounded plans one by one; each result is
+        # one row per column, bounded by the schema, not by the data.
+        rows = []
+        for i in range(0, len(cols), MAX_BRANCHES_PER_PLAN):
+            rows += _from_counts(df, cols[i : i + MAX_BRANCHES_PER_PLAN], mode, enriched).collect()
+        prof = df.sparkSession.createDataFrame(rows, _from_counts(df, cols[:1], mode, enriched).schema)
+    return prof
 
 
 def class_distribution(df: DataFrame, target: str) -> DataFrame:
