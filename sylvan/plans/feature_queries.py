@@ -294,3 +294,23 @@ def auto_pipeline_regression(spark, sf_dir):
 def token_counts(spark, sf_dir):
     """F16: Tokenizer over whole texts; tokens and distinct tokens per text."""
     return TX.token_counts(table(spark, sf_dir, "documents"), "doc_id")
+
+
+@query(
+    "saved_pipeline_regression",
+    f"""
+    SELECT p.p_partkey, a.i AS f0, b.i AS f1, p.p_size::DOUBLE AS f2, p.p_retailprice AS label
+    FROM part p JOIN {_rank_sql('part', 'p_type')} a ON p.p_type = a.v
+    JOIN {_rank_sql('part', 'p_brand')} b ON p.p_brand = b.v
+    """,
+)
+def saved_pipeline_regression(spark, sf_dir):
+    """Save the *fitted* feature pipeline, load it, encode with it."""
+    from sylvan.session import scratch_path
+    from sylvan.sources.persist import load_model, save_model
+
+    part = table(spark, sf_dir, "part")
+    auto = FT.auto_pipeline(["p_type", "p_brand"], ["p_size"], "p_retailprice", "regression", max_categories=40)
+    path = save_model(auto.pipeline.fit(part), scratch_path(spark, "pipelines"))
+    out = load_model(path).transform(part).select("p_partkey", names.FEATURES, F.col("p_retailprice").alias(names.LABEL))
+    return _vec_cols(out, names.FEATURES, 3, keep=("p_partkey", names.LABEL))

@@ -281,3 +281,19 @@ def unknown_categories(spark, sf_dir):
     cutoff = F.lit("2000-01-01").cast("timestamp_ntz")
     cols = ["o_orderstatus", "o_orderpriority", "c_name", "order_month"]
     return SC.unknown_categories(df.where(F.col("o_orderdate") < cutoff), df.where(F.col("o_orderdate") >= cutoff), cols)
+
+
+PART_SCHEMA = (
+    "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+)
+
+
+@query("csv_roundtrip", "SELECT * FROM part")
+def csv_roundtrip(spark, sf_dir):
+    """Write part as CSV to the shared scratch folder, scan it back
+    with a header and an explicit schema (one pass, no inference)."""
+    from sylvan.session import scratch_path
+    from sylvan.sources.tables import read_csv, write_csv
+
+    path = write_csv(table(spark, sf_dir, "part"), scratch_path(spark, "csv"))
+    return read_csv(spark, path, schema=PART_SCHEMA)
