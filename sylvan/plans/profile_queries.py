@@ -336,7 +336,29 @@ def profile_approx(spark, sf_dir):
     return prof.select("name", "colType", r6("compRatio").alias("compRatio"), "nbDistinctValues")
 
 
-@query("pipeline_config", None)
+PIPELINE_CONFIG_SQL = (
+    "WITH t AS " + DOCS_LABELS_SQL + ", p AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS name, '{ext}' AS colType, count({c})::DOUBLE / count(*) AS compRatio, "
+        f"(SELECT count(*) FROM (SELECT DISTINCT {c} FROM t)) AS d FROM t"
+        for c, _t, _s, ext in DOCS_LABELS_COLUMNS
+    )
+    + """)
+    SELECT
+      (SELECT string_agg(name, ',' ORDER BY name) FROM p
+        WHERE colType = 'textType' AND compRatio > 0.8 AND d <= 20 AND name != 'quality') AS text_cols,
+      (SELECT string_agg(name, ',' ORDER BY name) FROM p
+        WHERE colType = 'numericType' AND compRatio > 0.7 AND name != 'quality') AS numeric_cols,
+      CAST(greatest(10, CAST(floor((SELECT avg(d) FROM p WHERE colType = 'textType')) AS INTEGER) * 2) AS INTEGER)
+        AS max_categories,
+      CAST(CASE WHEN (SELECT count(*) FROM p WHERE colType = 'textType') > 10 THEN 50 ELSE 20 END AS INTEGER)
+        AS adaptive_max_categories,
+      CASE WHEN (SELECT count(*) FROM p WHERE compRatio < 0.9) > 0 THEN 'skip' ELSE 'error' END AS handle_invalid
+    """
+)
+
+
+@query("pipeline_config", PIPELINE_CONFIG_SQL)
 def pipeline_config(spark, sf_dir):
     """C9 + C10: pipeline settings chosen from the profile, as one row."""
     prof = P.profile(docs_with_labels(spark, sf_dir), mode="extended")
