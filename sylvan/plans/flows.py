@@ -29,9 +29,18 @@ class FlowResult:
     train: DataFrame
     predictions: DataFrame
     feature_names: list[str]
+    cached: list[DataFrame]
 
     def release(self) -> None:
-        self.train.unpersist()
+        """Drop the cached model input (predictions then recompute from source)."""
+        for df in self.cached:
+            df.unpersist()
+
+    def small_result(self, df: DataFrame) -> DataFrame:
+        """Materialise a small result (metrics, rules), then release caches."""
+        rows, schema = df.collect(), df.schema
+        self.release()
+        return df.sparkSession.createDataFrame(rows, schema)
 
 
 def document_features(docs: DataFrame) -> DataFrame:
@@ -52,6 +61,32 @@ def document_features(docs: DataFrame) -> DataFrame:
     )
 
 
+# Below this many rows per task, spreading costs more in scheduling than it saves.
+MIN_ROWS_PER_PARTITION = 50_000
+
+
+def cached_training_set(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Persist the model input; spread it first if it is too coarse.
+
+    Tree induction makes one pass over the input per level (per tree for
+    ensembles), so the input is cached. After materialising, the row and
+    partition counts are known without recomputation; only an input with
+    fewer partitions than the parallelism and enough rows to share out
+    (i.e. a mid-sized one) is repartitioned. Large inputs already have
+    enough partitions and are left alone.
+    """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = cached.count()
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    target = min(target, max(1, rows // MIN_ROWS_PER_PARTITION))
+    if cached.rdd.getNumPartitions() >= target:
+        return cached
+    spread = cached.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
+    spread.count()
+    cached.unpersist()
+    return spread
+
+
 def needed_bins(features: PipelineModel, floor: int = 32) -> int:
     """maxBins large enough for every categorical slot (+1 for ``keep``)."""
     vi = features.stages[-1]
@@ -74,11 +109,15 @@ def supervised_flow(
     **params,
 ) -> FlowResult:
     """Split by key hash, fit features on train, fit a model, predict test."""
-    df = df.where(F.col(target).isNotNull())
-    train, test = TG.hash_split(df, key, (train_fraction, 1.0 - train_fraction))
+    # Only the model's columns are kept and cached: the derived features
+    # (regexes over whole texts, tokens) are then computed once, not once
+    # per fit, encode and metric pass.
+    cols = list(dict.fromkeys([key, target] + list(text_cols) + list(numeric_cols)))
+    base = df.select(*cols).where(F.col(target).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = TG.hash_split(base, key, (train_fraction, 1.0 - train_fraction))
     auto = FT.auto_pipeline(text_cols, numeric_cols, target, kind, max_categories, handle_invalid)
     feats = auto.pipeline.fit(train)
-    enc_train = FT.encode(feats, train, auto).persist(StorageLevel.MEMORY_AND_DISK)
+    enc_train = cached_training_set(FT.encode(feats, train, auto))
     params["maxBins"] = needed_bins(feats, params.get("maxBins", 32))
     if algo == "lr":
         params.pop("maxBins")
@@ -87,4 +126,4 @@ def supervised_flow(
     label = F.col(auto.indexed_target) if kind == "classification" else F.col(target).cast("double")
     pred = model.transform(scored.withColumn(names.LABEL, label))
     names_ = FT.feature_names(feats.transform(train.limit(1)), names.FEATURES)
-    return FlowResult(auto, feats, model, enc_train, pred, names_)
+    return FlowResult(auto, feats, model, enc_train, pred, names_, [base, enc_train])

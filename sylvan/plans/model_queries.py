@@ -240,14 +240,14 @@ def _summary(pred):
 def dt_classify(spark, sf_dir):
     """M2: entropy decision tree on document signals; accuracy and AUC on test."""
     res = _doc_flow(spark, sf_dir, "dt", impurity="entropy")
-    return _summary(res.predictions)
+    return res.small_result(_summary(res.predictions))
 
 
 @query("dt_regress", None)
 def dt_regress(spark, sf_dir):
     """M3: regression tree on part, maxBins from the categories (>= 40)."""
     res = _part_flow(spark, sf_dir, "dt", maxBins=40)
-    return EV.regression_metrics(res.predictions)
+    return res.small_result(EV.regression_metrics(res.predictions))
 
 
 @query("rf_regress", None)
@@ -256,32 +256,36 @@ def rf_regress(spark, sf_dir):
     res = _part_flow(
         spark, sf_dir, "rf", numTrees=5, featureSubsetStrategy="onethird", subsamplingRate=0.5, maxBins=40
     )
-    return EV.regression_metrics(res.predictions)
+    return res.small_result(EV.regression_metrics(res.predictions))
 
 
 @query("gbt_regress", None)
 def gbt_regress(spark, sf_dir):
     """M5: gradient-boosted trees, onethird, subsample 0.5, 20 rounds."""
     res = _part_flow(spark, sf_dir, "gbt", featureSubsetStrategy="onethird", subsamplingRate=0.5, maxBins=40)
-    return EV.regression_metrics(res.predictions)
+    return res.small_result(EV.regression_metrics(res.predictions))
 
 
 @query("rf_classify", None)
 def rf_classify(spark, sf_dir):
     """M6: random forest classifier with 10 trees."""
     res = _doc_flow(spark, sf_dir, "rf", numTrees=10)
-    return _summary(res.predictions)
+    return res.small_result(_summary(res.predictions))
 
 
 @query("model_compare", None)
 def model_compare(spark, sf_dir):
     """DT vs RF vs GBT on the same split, long table incl. GBT."""
-    preds = {
-        "dt": _part_flow(spark, sf_dir, "dt", maxBins=40).predictions,
-        "rf": _part_flow(spark, sf_dir, "rf", numTrees=3, featureSubsetStrategy="onethird", subsamplingRate=0.5).predictions,
-        "gbt": _part_flow(spark, sf_dir, "gbt", maxIter=10, featureSubsetStrategy="onethird", subsamplingRate=0.5).predictions,
+    flows = {
+        "dt": _part_flow(spark, sf_dir, "dt", maxBins=40),
+        "rf": _part_flow(spark, sf_dir, "rf", numTrees=3, featureSubsetStrategy="onethird", subsamplingRate=0.5),
+        "gbt": _part_flow(spark, sf_dir, "gbt", maxIter=10, featureSubsetStrategy="onethird", subsamplingRate=0.5),
     }
-    return EV.compare_models(preds, "regression")
+    cmp = EV.compare_models({k: f.predictions for k, f in flows.items()}, "regression")
+    rows, schema = cmp.collect(), cmp.schema
+    for f in flows.values():
+        f.release()
+    return spark.createDataFrame(rows, schema)
 
 
 @query("cv_grid", None)
@@ -303,6 +307,7 @@ def cv_grid(spark, sf_dir):
 def importances(spark, sf_dir):
     """Named feature importances of the regression tree."""
     res = _part_flow(spark, sf_dir, "dt", maxBins=40)
+    res.release()
     return EX.importances(spark, res.model, res.feature_names)
 
 
@@ -313,6 +318,7 @@ def tree_rules(spark, sf_dir):
     idx = res.auto.text_indexer(res.features)
     labels = EX.slot_labels(idx, DOC_TEXT, res.features.stages[-1], res.auto.assembled)
     classes = res.auto.class_labels(res.features)
+    res.release()
     return EX.tree_rules(spark, res.model, res.feature_names, labels, classes)
 
 
@@ -320,6 +326,7 @@ def tree_rules(spark, sf_dir):
 def tree_stats(spark, sf_dir):
     """Depth, nodes and features per tree of a 5-tree forest."""
     res = _part_flow(spark, sf_dir, "rf", numTrees=5, featureSubsetStrategy="onethird", subsamplingRate=0.5)
+    res.release()
     return EX.tree_stats(spark, res.model)
 
 
@@ -328,6 +335,7 @@ def score_bands(spark, sf_dir):
     """Score the unlabelled documents with the fitted stages,
     confidence band and decoded class per document."""
     res = _doc_flow(spark, sf_dir, "dt", impurity="entropy")
+    res.release()
     docs = docs_with_labels(spark, sf_dir).where(F.col("quality").isNull()).drop("quality", "toxic")
     pred = SC.score(res.features, res.model, document_features(docs))
     classes = res.auto.class_labels(res.features)
@@ -343,4 +351,5 @@ def text_lr(spark, sf_dir):
     d = labeled_docs(spark, sf_dir).select("doc_id", "text", F.col("quality").cast("double").alias("label"))
     train, test = TG.hash_split(d, "doc_id")
     model = TX.text_pipeline().fit(train)
-    return _summary(model.transform(test))
+    out = _summary(model.transform(test))
+    return spark.createDataFrame(out.collect(), out.schema)

@@ -49,14 +49,20 @@ def r6(c: str | Column) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents, spread over the cores when the scan is a single split
+    (texts get regex and tokenizer work right after the scan)."""
+    return read_table(spark, sf_dir, "documents", spread_to=spark.sparkContext.defaultParallelism)
+
+
 def docs_with_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents LEFT JOIN labels: the table with real NULLs (quality, toxic)."""
-    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id", "left")
 
 
 def labeled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents INNER JOIN labels: the labelled rows."""
-    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "inner")
+    return documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id", "inner")
 
 
 def load_all() -> None:

@@ -17,9 +17,31 @@ TABLES = (
 ).split()
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table ``{sf_dir}/{name}.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_to: int | None = None) -> DataFrame:
+    """Read one driver table ``{sf_dir}/{name}.parquet``.
+
+    ``spread_to`` (for heavy per-row work right after the scan): when the
+    scan yields fewer partitions than that, spread the rows round-robin.
+    A file with one row group is one task; a large table is never touched.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, spread_to) if spread_to else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Repartition a *scan* that has fewer than ``min_partitions`` partitions.
+
+    The reference repartitions to 200 before fitting. Here the shuffle only
+    happens when the input is too coarse for the cluster (by default:
+    fewer partitions than the default parallelism); a table that already
+    has enough splits, as any large one does, is returned unchanged.
+    Counting the partitions of a scan plans the file splits without
+    running a job; apply it to scans, not to plans with shuffles.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def read_csv(
