@@ -252,6 +252,35 @@ def auto_pipeline(
     return AutoPipeline(Pipeline(stages=stages), kind, text, numeric, target, assembled)
 
 
+def auto_pipeline_from_profile(
+    prof: DataFrame,
+    target: str,
+    kind: str = "classification",
+    min_completeness: float = 0.8,
+    max_categories: int = 20,
+    handle_invalid: str = "keep",
+    exclude: tuple[str, ...] = (),
+) -> AutoPipeline:
+    """AutoPipeline whose columns are chosen from a profile.
+
+    Text columns: completeness >= ``min_completeness`` and at most
+    ``max_categories`` distinct non-NULL values (so every text column fits
+    the tree's bins); numeric columns: completeness >= ``min_completeness``.
+    The target and ``exclude`` (e.g. identifier columns) are left out by
+    exact name. Lists are bounded by the schema width.
+    """
+    keep_out = [target, *exclude]
+    base = prof.where(~F.col("name").isin(keep_out) & (F.col("compRatio") >= min_completeness))
+    text = sorted(
+        r["name"]
+        for r in base.where((F.col("colType") == names.TEXT) & (F.col("nbDistinctNonNull") <= max_categories))
+        .select("name")
+        .collect()
+    )
+    numeric = sorted(r["name"] for r in base.where(F.col("colType") == names.NUMERIC).select("name").collect())
+    return auto_pipeline(text, numeric, target, kind, max_categories, handle_invalid)
+
+
 def encode(model: PipelineModel, df: DataFrame, auto: AutoPipeline) -> DataFrame:
     """Transform and keep ``features`` and ``label`` only."""
     out = model.transform(df)

@@ -20,7 +20,7 @@ from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -204,15 +204,16 @@ def profile(
 def class_distribution(df: DataFrame, target: str) -> DataFrame:
     """Rows per class with share and majority/minority ratio (A2).
 
-    The window runs over the aggregated classes only (one row per class).
+    The totals are one aggregated row read back as literals, so no window
+    ever pulls all classes into one task, however many there are.
     """
     counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy()
+    tot = counts.agg(F.sum("n").alias("t"), F.max("n").alias("hi"), F.min("n").alias("lo")).first()
     return counts.select(
         target,
         "n",
-        safe_ratio(F.col("n"), F.sum("n").over(whole)).alias("share"),
-        safe_ratio(F.max("n").over(whole), F.min("n").over(whole)).alias("imbalance_ratio"),
+        safe_ratio(F.col("n"), F.lit(tot["t"])).alias("share"),
+        safe_ratio(F.lit(tot["hi"]), F.lit(tot["lo"])).alias("imbalance_ratio"),
     )
 
 

@@ -127,3 +127,32 @@ def supervised_flow(
     pred = model.transform(scored.withColumn(names.LABEL, label))
     names_ = FT.feature_names(feats.transform(train.limit(1)), names.FEATURES)
     return FlowResult(auto, feats, model, enc_train, pred, names_, [base, enc_train])
+
+
+def profile_driven_flow(
+    df: DataFrame,
+    target: str,
+    key: str,
+    kind: str,
+    algo: str,
+    max_categories: int,
+    mode: str = "strict",
+    min_completeness: float = 0.8,
+    **params,
+) -> FlowResult:
+    """The reference's notebook flow, profile first (N2 Setting 1, N4).
+
+    profile -> drop identifier columns (C8) -> text columns with at most
+    ``max_categories`` values and numeric columns, both complete enough,
+    target excluded (C2-C6, F26) -> key-hash split -> feature stages fitted
+    on the training part -> model -> predictions on the test part.
+    """
+    from sylvan.operators import profile as P
+    from sylvan.operators import select as S
+
+    prof = P.profile(df, mode=mode, enriched=True)
+    ids = [r["name"] for r in S.identifier_columns(prof).where("isIdentifier").select("name").collect()]
+    auto = FT.auto_pipeline_from_profile(
+        prof, target, kind, min_completeness, max_categories, exclude=tuple(c for c in ids if c != target)
+    )
+    return supervised_flow(df, target, key, auto.text_cols, auto.numeric_cols, kind, algo, max_categories, **params)

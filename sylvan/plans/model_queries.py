@@ -20,7 +20,7 @@ from sylvan.operators import models as M
 from sylvan.operators import score as SC
 from sylvan.operators import text as TX
 from sylvan.operators import tune as TU
-from sylvan.plans.flows import document_features, supervised_flow
+from sylvan.plans.flows import document_features, profile_driven_flow, supervised_flow
 from sylvan.plans.registry import docs_with_labels, labeled_docs, query, r6, table
 
 # Fixed values of the evaluation rules.
@@ -353,3 +353,46 @@ def text_lr(spark, sf_dir):
     model = TX.text_pipeline().fit(train)
     out = _summary(model.transform(test))
     return spark.createDataFrame(out.collect(), out.schema)
+
+
+@query("classification_workflow", None)
+def classification_workflow(spark, sf_dir):
+    """N2 end to end: profile the labelled documents' signals, pick columns
+    from the profile (text < 32 values, numeric, identifiers out), split by
+    key hash, fit features on train, entropy tree, accuracy and AUC on test."""
+    df = _doc_frame(spark, sf_dir)
+    res = profile_driven_flow(df, "quality", "doc_id", "classification", "dt", 31, impurity="entropy")
+    summary = _summary(res.predictions).unionByName(
+        spark.createDataFrame(
+            [("n_text_features", float(len(res.auto.text_cols))), ("n_numeric_features", float(len(res.auto.numeric_cols)))],
+            "metric string, value double",
+        )
+    )
+    return res.small_result(summary)
+
+
+@query("regression_workflow", None)
+def regression_workflow(spark, sf_dir):
+    """N4 end to end: profile part, drop price outliers with a range filter,
+    pick text columns with at most 40 values and numeric columns from the
+    profile, then DT, RF (5 trees) and GBT on the same split; RMSE/MAE/R^2
+    of all three in one long table."""
+    from sylvan.operators import derive as D
+
+    part = D.range_filter(table(spark, sf_dir, "part"), "p_retailprice", 100, 17500, low_inclusive=False)
+    runs = {
+        "dt": profile_driven_flow(part, "p_retailprice", "p_partkey", "regression", "dt", 40),
+        "rf": profile_driven_flow(
+            part, "p_retailprice", "p_partkey", "regression", "rf", 40,
+            numTrees=5, featureSubsetStrategy="onethird", subsamplingRate=0.5,
+        ),
+        "gbt": profile_driven_flow(
+            part, "p_retailprice", "p_partkey", "regression", "gbt", 40,
+            featureSubsetStrategy="onethird", subsamplingRate=0.5,
+        ),
+    }
+    cmp = EV.compare_models({k: r.predictions for k, r in runs.items()}, "regression")
+    rows, schema = cmp.collect(), cmp.schema
+    for r in runs.values():
+        r.release()
+    return spark.createDataFrame(rows, schema)
