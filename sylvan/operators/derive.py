@@ -86,6 +86,22 @@ def range_filter(
     return df.where(cond)
 
 
+def year_range_filter(df: DataFrame, col: str, first_year: int, last_year: int) -> DataFrame:
+    """Keep rows whose date/timestamp falls in years first..last (T5).
+
+    Written as literal bounds on the column itself rather than on
+    ``year(col)``, so the predicate reaches the parquet scan and row groups
+    outside the range are skipped.
+    """
+    dt = df.schema[col].dataType
+    kind = "timestamp_ntz" if isinstance(dt, T.TimestampNTZType) else (
+        "date" if isinstance(dt, T.DateType) else "timestamp"
+    )
+    lo = F.lit(f"{first_year:04d}-01-01").cast(kind)
+    hi = F.lit(f"{last_year + 1:04d}-01-01").cast(kind)
+    return df.where((F.col(col) >= lo) & (F.col(col) < hi))
+
+
 def where_sql(df: DataFrame, predicate: str) -> DataFrame:
     """Filter by SQL text, e.g. ``"y between 1911 and 2019"``."""
     return df.where(predicate)

@@ -87,8 +87,7 @@ def bucketize_year(spark, sf_dir):
 )
 def range_filter(spark, sf_dir):
     """T5: range filters as outlier removal (year window, price band)."""
-    li = table(spark, sf_dir, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
-    li = D.range_filter(li, "ship_year", 1995, 1999)
+    li = D.year_range_filter(table(spark, sf_dir, "lineitem"), "l_shipdate", 1995, 1999)
     li = D.range_filter(li, "l_extendedprice", 100, 17500, low_inclusive=False)
     return li.select("l_orderkey", "l_linenumber")
 

@@ -104,3 +104,12 @@ def test_randomize_target_is_seeded(spark):
     assert a.columns[-1] == "t"
     assert a.collect() == b.collect()
     assert 400 < a.where("t = 0").count() < 600
+
+
+def test_year_range_filter_pushable(spark):
+    df = spark.createDataFrame(
+        [(datetime.datetime(1994, 12, 31, 23, 59),), (datetime.datetime(1995, 1, 1),), (datetime.datetime(1999, 12, 31, 23),),
+         (datetime.datetime(2000, 1, 1),)],
+        "t timestamp_ntz",
+    )
+    assert D.year_range_filter(df, "t", 1995, 1999).count() == 2
