@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator,
     MulticlassClassificationEvaluator,
@@ -82,18 +83,36 @@ def auc(df: DataFrame, label: str = names.LABEL, score: str = "score", buckets:
     AUC = sum over positives of (negatives with lower score + half the
     negatives with equal score) / (P * N).
 
-    1. group by score: (score, pos, neg) - one row per distinct score;
+    1. group by score: (score, pos, neg) - one row per distinct score,
+       cached because it is read twice (quantiles, then ranking);
     2. cut the distinct scores into ``buckets`` ranges at approximate
        quantiles, and total the negatives per bucket (a table of at most
        ``buckets`` rows, broadcast: its size is fixed by the parameter);
     3. negatives below a score = negatives in earlier buckets + a running
        sum inside its bucket (a window partitioned by bucket).
+
+    Returns a one-row DataFrame (auc, n_pos, n_neg); the work runs when
+    this is called.
     """
     y = F.col(label).cast("double")
-    by_score = df.groupBy(F.col(score).cast("double").alias("s")).agg(
-        F.sum(F.when(y == 1.0, 1).otherwise(0)).cast("double").alias("pos"),
-        F.sum(F.when(y == 1.0, 0).otherwise(1)).cast("double").alias("neg"),
+    spark = df.sparkSession
+    by_score = (
+        df.groupBy(F.col(score).cast("double").alias("s"))
+        .agg(
+            F.sum(F.when(y == 1.0, 1).otherwise(0)).cast("double").alias("pos"),
+            F.sum(F.when(y == 1.0, 0).otherwise(1)).cast("double").alias("neg"),
+        )
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    try:
+        result = _auc_from_scores(by_score, buckets).collect()
+    finally:
+        by_score.unpersist()
+    return spark.createDataFrame(result, "auc double, n_pos long, n_neg long")
+
+
+def _auc_from_scores(by_score: DataFrame, buckets: int) -> DataFrame:
+    """AUC from (s, pos, neg) rows, one row per distinct score (see ``auc``)."""
     probs = [i / buckets for i in range(1, buckets)]
     qs = by_score.agg(F.percentile_approx("s", probs, 10 * buckets).alias("q")).first()["q"] or []
     edges = sorted({float(q) for q in qs if q is not None})

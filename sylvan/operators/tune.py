@@ -8,6 +8,7 @@ all rows before the split).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,8 +42,12 @@ def cross_validate(
     parallelism: int = 4,
     seed: int = 42,
 ) -> CrossValidatorModel:
-    """k-fold CV with a key-hash fold column."""
-    data = with_folds(df, key, folds, "__fold")
+    """k-fold CV with a key-hash fold column.
+
+    The input (with its fold column) is cached once for all folds and grid
+    points, and released after the fit.
+    """
+    data = with_folds(df, key, folds, "__fold").persist(StorageLevel.MEMORY_AND_DISK)
     cv = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=grid,
@@ -52,7 +57,10 @@ def cross_validate(
         foldCol="__fold",
         seed=seed,
     )
-    return cv.fit(data)
+    try:
+        return cv.fit(data)
+    finally:
+        data.unpersist()
 
 
 def grid_metrics(spark: SparkSession, cv_model: CrossValidatorModel) -> DataFrame:

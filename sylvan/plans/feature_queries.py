@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sylvan import names
 from sylvan.operators import features as FT
 from sylvan.operators import text as TX
-from sylvan.plans.registry import labeled_docs, query, r6, table
+from sylvan.plans.registry import documents, labeled_docs, query, r6, table
 
 
 def _rank_sql(tbl: str, col: str, key: str | None = None) -> str:
@@ -293,7 +293,7 @@ def auto_pipeline_regression(spark, sf_dir):
 )
 def token_counts(spark, sf_dir):
     """F16: Tokenizer over whole texts; tokens and distinct tokens per text."""
-    return TX.token_counts(table(spark, sf_dir, "documents"), "doc_id")
+    return TX.token_counts(documents(spark, sf_dir), "doc_id")
 
 
 @query(

@@ -87,11 +87,27 @@ def cached_training_set(df: DataFrame, min_partitions: int | None = None) -> Dat
     return spread
 
 
-def needed_bins(features: PipelineModel, floor: int = 32) -> int:
-    """maxBins large enough for every categorical slot (+1 for ``keep``)."""
-    vi = features.stages[-1]
-    widest = max((len(m) for m in vi.categoryMaps.values()), default=0)
-    return max(floor, widest + 1)
+def needed_bins(features: PipelineModel, floor: int = 32, skip_cols: tuple[str, ...] = ()) -> int:
+    """maxBins large enough for every categorical feature.
+
+    Two sources of categorical features: slots the VectorIndexer made
+    categorical, and text columns whose StringIndexer nominal attribute
+    survives assembly even when the VectorIndexer leaves the slot alone.
+    ``keep`` adds one category. The result is exact, never capped.
+    """
+    from pyspark.ml.feature import StringIndexerModel, VectorIndexerModel
+
+    widest = 0
+    for stage in features.stages:
+        if isinstance(stage, VectorIndexerModel):
+            widest = max([widest] + [len(m) + 1 for m in stage.categoryMaps.values()])
+        elif isinstance(stage, StringIndexerModel):
+            outs = stage.getOutputCols() if stage.isSet("outputCols") else [stage.getOutputCol()]
+            extra = 1 if stage.getHandleInvalid() == "keep" else 0
+            for out, labels in zip(outs, stage.labelsArray):
+                if out not in skip_cols:
+                    widest = max(widest, len(labels) + extra)
+    return max(floor, widest)
 
 
 def supervised_flow(
@@ -118,7 +134,8 @@ def supervised_flow(
     auto = FT.auto_pipeline(text_cols, numeric_cols, target, kind, max_categories, handle_invalid)
     feats = auto.pipeline.fit(train)
     enc_train = cached_training_set(FT.encode(feats, train, auto))
-    params["maxBins"] = needed_bins(feats, params.get("maxBins", 32))
+    skip = (auto.indexed_target,) if auto.indexed_target else ()
+    params["maxBins"] = needed_bins(feats, params.get("maxBins", 32), skip)
     if algo == "lr":
         params.pop("maxBins")
     model = M.make_model(algo, kind, seed=seed, **params).fit(enc_train)

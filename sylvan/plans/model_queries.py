@@ -291,7 +291,7 @@ def model_compare(spark, sf_dir):
 @query("cv_grid", None)
 def cv_grid(spark, sf_dir):
     """5-fold CV of the whole pipeline (features + tree) by AUC."""
-    df = _doc_frame(spark, sf_dir)
+    df = _doc_frame(spark, sf_dir).select("doc_id", "quality", *DOC_TEXT, *DOC_NUMERIC)
     auto = FT.auto_pipeline(DOC_TEXT, DOC_NUMERIC, "quality", "classification", 32, "keep")
     tree = M.make_model("dt", "classification", label="indexed_quality", impurity="entropy", maxBins=40)
     from pyspark.ml import Pipeline

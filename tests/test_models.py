@@ -114,3 +114,21 @@ def test_max_bins_check():
     M.check_max_bins(32, {"a": 31}, "keep")
     with pytest.raises(ValueError):
         M.check_max_bins(40, {"a": 40}, "keep")
+
+
+def test_flow_handles_text_column_wider_than_max_categories(spark):
+    """A text column with more values than maxCategories keeps its nominal
+    attribute; the flow sizes maxBins from it instead of failing (X8)."""
+    from pyspark.sql import functions as F
+
+    from sylvan.plans.flows import supervised_flow
+
+    df = spark.range(0, 600).select(
+        F.col("id").alias("k"),
+        F.concat(F.lit("c"), (F.col("id") % 45).cast("string")).alias("wide"),
+        (F.col("id") % 7).cast("double").alias("x"),
+        ((F.col("id") % 45) < 20).cast("int").alias("y"),
+    )
+    res = supervised_flow(df, "y", "k", ["wide"], ["x"], "classification", "dt", max_categories=10)
+    assert res.predictions.count() > 0
+    res.release()
