@@ -16,7 +16,7 @@ aggregate per column.
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -34,86 +34,107 @@ ENRICHED_COLUMNS = PROFILE_COLUMNS + ["nRows", "nullCount", "uniqueRatio", "most
 MAX_BRANCHES_PER_PLAN = 64
 
 
+def _ident(c: str) -> str:
+    """A column name as a quoted SQL identifier."""
+    return "`" + c.replace("`", "``") + "`"
+
+
 def _groupable(df: DataFrame, c: str) -> Column:
     """The column as a grouping key (maps cannot be grouped; use their JSON)."""
     dt = df.schema[c].dataType
-    col = F.col(f"`{c}`")
+    col = F.col(_ident(c))
     if isinstance(dt, T.MapType):
         return F.to_json(col)
     return col
 
 
-def _order_keys(dt: T.DataType, v: Column) -> tuple[Column, Column, Column]:
-    """Order-preserving (long, double, string) key of a value, by type family.
+def _key_sql(dt: T.DataType, c: str) -> str:
+    """SQL of the grouping key of column c."""
+    return f"to_json({_ident(c)})" if isinstance(dt, T.MapType) else _ident(c)
+
+
+def _order_keys_sql(dt: T.DataType) -> tuple[str, str, str]:
+    """Order-preserving (long, double, string) key of ``v``, by type family.
 
     Only one of the three is set for a given column, so comparing the
     struct compares values of that column in their natural order (used to
     break ties of the modal value towards the smallest value).
     """
-    none_l, none_d, none_s = F.lit(None).cast("long"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    nl, nd, ns = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS STRING)"
     if isinstance(dt, (T.IntegralType, T.BooleanType)):
-        return v.cast("long"), none_d, none_s
+        return "CAST(v AS BIGINT)", nd, ns
     if isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return none_l, v.cast("double"), none_s
+        return nl, "CAST(v AS DOUBLE)", ns
     if isinstance(dt, T.DateType):
-        return F.unix_date(v), none_d, none_s
+        return "unix_date(v)", nd, ns
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(v.cast("timestamp")), none_d, none_s
+        return "unix_micros(CAST(v AS TIMESTAMP))", nd, ns
     if isinstance(dt, T.StringType):
-        return none_l, none_d, v
+        return nl, nd, "v"
     if isinstance(dt, T.BinaryType):
-        return none_l, none_d, F.hex(v)
-    return none_l, none_d, v.cast("string")
+        return nl, nd, "hex(v)"
+    return nl, nd, "CAST(v AS STRING)"
 
 
-def _value_counts(df: DataFrame, i: int, c: str, enriched: bool) -> DataFrame:
-    """(idx, isnull, cnt[, value, order keys]) per distinct value of column c.
+def _counts_sql(df: DataFrame, view: str, cols: list[str], enriched: bool) -> str:
+    """SQL: per column, (idx, nul, cnt[, value, order keys]) per distinct value,
+    all columns unioned, reduced by one GROUP BY idx.
 
-    ``groupBy`` aggregates partially before the shuffle, so a value that
-    holds a third of all rows is one row per task when it is shuffled.
+    ``GROUP BY v`` aggregates partially before the shuffle, so a value that
+    holds a third of all rows is one row per task when it is shuffled. One
+    placeholder row per column (cnt 0) keeps every column in the result
+    when the table is empty, without an extra job to test for it.
     """
-    dt = df.schema[c].dataType
-    counts = df.select(_groupable(df, c).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("cnt"))
-    out = [F.lit(i).alias("idx"), F.col("v").isNull().alias("isnull"), F.col("cnt")]
+    branches = []
+    for i, c in enumerate(cols):
+        dt = df.schema[c].dataType
+        extra = ""
+        if enriched:
+            kl, kd, ks = _order_keys_sql(dt)
+            extra = f", CAST(v AS STRING) AS value, {kl} AS kl, {kd} AS kd, {ks} AS ks"
+        branches.append(
+            f"SELECT {i} AS idx, v IS NULL AS nul, count(1) AS cnt{extra} "
+            f"FROM (SELECT {_key_sql(dt, c)} AS v FROM {view}) GROUP BY v"
+        )
+    seed_extra = (
+        ", CAST(NULL AS STRING) AS value, CAST(NULL AS BIGINT) AS kl, CAST(NULL AS DOUBLE) AS kd, "
+        "CAST(NULL AS STRING) AS ks"
+        if enriched
+        else ""
+    )
+    values = ", ".join(f"({i})" for i in range(len(cols)))
+    branches.append(
+        f"SELECT idx, CAST(NULL AS BOOLEAN) AS nul, CAST(0 AS BIGINT) AS cnt{seed_extra} FROM VALUES {values} AS s(idx)"
+    )
+    aggs = (
+        "sum(cnt) AS n, sum(CASE WHEN NOT nul THEN cnt END) AS nn, "
+        "sum(CASE WHEN cnt > 0 THEN 1 ELSE 0 END) AS d, sum(CASE WHEN cnt > 0 AND NOT nul THEN 1 ELSE 0 END) AS dnn"
+    )
     if enriched:
-        kl, kd, ks = _order_keys(dt, F.col("v"))
-        out += [F.col("v").cast("string").alias("value"), kl.alias("kl"), kd.alias("kd"), ks.alias("ks")]
-    return counts.select(*out)
+        # modal non-null value: highest count, ties -> smallest value
+        aggs += (
+            ", min_by(value, CASE WHEN NOT nul THEN struct(-cnt, kl, kd, ks) END) AS mode"
+            ", max(CASE WHEN NOT nul THEN cnt END) AS freq"
+        )
+    return f"SELECT idx, {aggs} FROM ({' UNION ALL '.join(branches)}) GROUP BY idx"
 
 
 def _from_counts(df: DataFrame, cols: list[str], mode: str, enriched: bool) -> DataFrame:
-    """Union the per-value counts of all columns, then one groupBy(idx)."""
-    parts = [_value_counts(df, i, c, enriched) for i, c in enumerate(cols)]
-    # One placeholder row per column (cnt 0) keeps every column in the
-    # result when the table is empty, without an extra job to test for it.
-    seed = df.sparkSession.createDataFrame([(i,) for i in range(len(cols))], "idx int").select(
-        "idx", F.lit(None).cast("boolean").alias("isnull"), F.lit(0).cast("long").alias("cnt")
-    )
-    if enriched:
-        seed = seed.select(
-            "*",
-            F.lit(None).cast("string").alias("value"),
-            F.lit(None).cast("long").alias("kl"),
-            F.lit(None).cast("double").alias("kd"),
-            F.lit(None).cast("string").alias("ks"),
-        )
-    u = reduce(DataFrame.unionAll, parts + [seed])
-    real = F.col("cnt") > 0
-    nn = ~F.col("isnull")
-    aggs = [
-        F.sum("cnt").alias("n"),
-        F.sum(F.when(nn, F.col("cnt"))).alias("nn"),
-        F.sum(F.when(real, 1).otherwise(0)).alias("d"),
-        F.sum(F.when(real & nn, 1).otherwise(0)).alias("dnn"),
-    ]
-    if enriched:
-        # modal non-null value: highest count, ties -> smallest value
-        key = F.struct(-F.col("cnt"), F.col("kl"), F.col("kd"), F.col("ks"))
-        aggs += [
-            F.min_by(F.col("value"), F.when(nn, key)).alias("mode"),
-            F.max(F.when(nn, F.col("cnt"))).alias("freq"),
-        ]
-    g = u.groupBy("idx").agg(*aggs)
+    """Union the per-value counts of all columns, then one groupBy(idx).
+
+    The C branches are written as one SQL statement over a temporary view
+    of ``df``: the plan is then analysed once instead of once per
+    DataFrame call (building it through the API cost about a second of
+    driver time for 11 columns). The view is dropped right away; the
+    DataFrame keeps the resolved plan.
+    """
+    spark = df.sparkSession
+    view = f"sylvan_profile_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    try:
+        g = spark.sql(_counts_sql(df, view, cols, enriched))
+    finally:
+        spark.catalog.dropTempView(view)
     dts = [df.schema[c].dataType for c in cols]
 
     def pick(values):
