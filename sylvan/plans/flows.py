@@ -77,14 +77,21 @@ def cached_training_set(df: DataFrame, min_partitions: int | None = None) -> Dat
     """
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     rows = cached.count()
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    target = min(target, max(1, rows // MIN_ROWS_PER_PARTITION))
-    if cached.rdd.getNumPartitions() >= target:
+    parts = cached.rdd.getNumPartitions()
+    fair = max(1, rows // MIN_ROWS_PER_PARTITION)
+    target = min(min_partitions or df.sparkSession.sparkContext.defaultParallelism, fair)
+    if parts < target:
+        resized = cached.repartition(target)
+    elif parts > 4 * fair and parts > target:
+        # Cached plans keep the session's shuffle partition count (AQE does
+        # not coalesce them): merge tiny partitions without a shuffle.
+        resized = cached.coalesce(max(target, fair))
+    else:
         return cached
-    spread = cached.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
-    spread.count()
+    resized = resized.persist(StorageLevel.MEMORY_AND_DISK)
+    resized.count()
     cached.unpersist()
-    return spread
+    return resized
 
 
 def needed_bins(features: PipelineModel, floor: int = 32, skip_cols: tuple[str, ...] = ()) -> int:
