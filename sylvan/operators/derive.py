@@ -16,6 +16,9 @@ from sylvan.functions.columns import date_parts, prefix_int
 
 # Joins whose lookup side has at most this many rows are broadcast.
 DEFAULT_BROADCAST_ROWS = 500_000
+# A join key holding more than this share of the rows is split over salts.
+HOT_KEY_SHARE = 0.01
+HOT_KEY_SALTS = 32
 
 
 def with_date_parts(
@@ -161,17 +164,73 @@ def lookup_join(
     how: str = "left",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     assume_small: bool = False,
+    split_hot_keys: bool = True,
+    hot_share: float = HOT_KEY_SHARE,
+    salts: int = HOT_KEY_SALTS,
 ) -> DataFrame:
     """Enrich ``df`` with columns of ``lookup``.
 
     The lookup side is broadcast only when it is proven small: either the
     caller knows it has a fixed size (``assume_small``, e.g. a 25-row
     nation table) or a bounded count finds at most ``max_broadcast_rows``
-    rows. Otherwise Spark plans a shuffle join (and AQE may still switch
-    to a broadcast at runtime from the real sizes).
+    rows. Otherwise it is a shuffle join, and keys holding more than
+    ``hot_share`` of the rows of ``df`` are split over ``salts`` tasks
+    (see :func:`salted_join`); AQE's skew handling comes on top.
     """
     small = assume_small or bounded_rows(lookup, max_broadcast_rows)
-    return df.join(F.broadcast(lookup) if small else lookup, on, how)
+    if small:
+        return df.join(F.broadcast(lookup), on, how)
+    if not split_hot_keys:
+        return df.join(lookup, on, how)
+    return salted_join(df, lookup, on, how, hot_share=hot_share, salts=salts)
+
+
+def hot_keys(df: DataFrame, on: list[str], hot_share: float = HOT_KEY_SHARE) -> list[tuple]:
+    """Keys holding more than ``hot_share`` of the rows (at most 1/hot_share keys).
+
+    One aggregation over the key columns (partial aggregation map-side).
+    """
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n")).first()[0] or 0
+    limit = int(1 / hot_share) + 1
+    rows = counts.where(F.col("__n") > F.lit(hot_share * total)).limit(limit).collect()
+    return [tuple(r[c] for c in on) for r in rows]
+
+
+def salted_join(
+    df: DataFrame,
+    lookup: DataFrame,
+    on: str | list[str],
+    how: str = "left",
+    hot: list[tuple] | None = None,
+    hot_share: float = HOT_KEY_SHARE,
+    salts: int = HOT_KEY_SALTS,
+) -> DataFrame:
+    """Equi-join that spreads hot keys of ``df`` over ``salts`` tasks; exact.
+
+    Rows of ``df`` with a hot key get a salt 0..salts-1 from a hash of the
+    whole row (deterministic, so a recomputed task after a lost executor
+    gives the same salt); every other row gets salt 0. The lookup rows of
+    a hot key are repeated once per salt, the others kept once. Joining on
+    (key, salt) therefore returns exactly the rows of the plain join, with
+    each hot key's rows cut into ``salts`` pieces. Only ``df``'s side may
+    be the preserved side (inner, left, left semi/anti).
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    if how not in ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "left_anti", "leftanti"):
+        raise ValueError(f"salted_join keeps the left side only, not {how!r}")
+    hot = hot_keys(df, keys, hot_share) if hot is None else hot
+    if not hot:
+        return df.join(lookup, keys, how)
+    key_struct = F.struct(*[F.col(c) for c in keys])
+    hot_set = F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(k, keys)]) for k in hot])
+    is_hot = F.array_contains(hot_set, key_struct)
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))).otherwise(F.lit(0))
+    left = df.withColumn("__salt", salt.cast("int"))
+    right = lookup.withColumn(
+        "__salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+    )
+    return left.join(right, keys + ["__salt"], how).drop("__salt")
 
 
 def numeric_types(df: DataFrame) -> list[str]:

@@ -113,3 +113,23 @@ def test_year_range_filter_pushable(spark):
         "t timestamp_ntz",
     )
     assert D.year_range_filter(df, "t", 1995, 1999).count() == 2
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_anti"])
+def test_salted_join_equals_plain_join(spark, how):
+    # key 1 holds a third of the big side; key 7 has no lookup row
+    big = spark.createDataFrame(
+        [(i, 1 if i % 3 == 0 else (7 if i % 11 == 0 else i % 5)) for i in range(600)], "id long, k long"
+    )
+    lookup = spark.createDataFrame([(k, f"v{k}") for k in range(6)], "k long, v string")
+    assert D.hot_keys(big, ["k"], 0.2) == [(1,)]
+    salted = D.salted_join(big, lookup, "k", how, hot_share=0.2, salts=8)
+    plain = big.join(lookup, "k", how)
+    assert sorted(salted.collect()) == sorted(plain.select(*salted.columns).collect())
+
+
+def test_lookup_join_large_side_uses_salting(spark):
+    big = spark.createDataFrame([(i, i % 2) for i in range(100)], "id long, k long")
+    lookup = spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
+    out = D.lookup_join(big, lookup, "k", max_broadcast_rows=1, hot_share=0.3)
+    assert out.count() == 100 and out.where("v is null").count() == 0
