@@ -148,23 +148,34 @@ def _stump_nodes(spark, model):
     return root.join(left, "l").join(right, "r")
 
 
-@query(
-    "stump_regression",
-    """
-    WITH g AS (SELECT p_size::DOUBLE AS x, count(*) AS n, sum(p_retailprice) AS s FROM part GROUP BY 1),
+# Best variance split of price on size (prefix sums over distinct sizes).
+STUMP_REG_SQL = """
+    g AS (SELECT p_size::DOUBLE AS x, count(*) AS n, sum(p_retailprice) AS s FROM part GROUP BY 1),
     c AS (SELECT x, lead(x) OVER (ORDER BY x) AS nx, sum(n) OVER (ORDER BY x) AS nl, sum(s) OVER (ORDER BY x) AS sl FROM g),
     tot AS (SELECT sum(n) AS n, sum(s) AS s FROM g),
-    cand AS (SELECT (x + nx) / 2 AS threshold, nl, sl, tot.n - nl AS nr, tot.s - sl AS sr FROM c, tot WHERE nx IS NOT NULL)
+    cand AS (SELECT (x + nx) / 2 AS threshold, nl, sl, tot.n - nl AS nr, tot.s - sl AS sr FROM c, tot WHERE nx IS NOT NULL),
+    best AS (SELECT * FROM cand ORDER BY sl * sl / nl + sr * sr / nr DESC LIMIT 1)
+"""
+
+
+def _regression_stump(spark, sf_dir):
+    part = FT.assemble(table(spark, sf_dir, "part"), ["p_size"], names.FEATURES)
+    part = part.withColumn(names.LABEL, F.col("p_retailprice"))
+    return part, M.make_model("dt", "regression", maxDepth=1, maxBins=64).fit(part)
+
+
+@query(
+    "stump_regression",
+    f"""
+    WITH {STUMP_REG_SQL}
     SELECT round(threshold, 6) AS threshold, CAST(nl AS BIGINT) AS left_n, CAST(nr AS BIGINT) AS right_n,
            round(sl / nl, 6) AS left_mean, round(sr / nr, 6) AS right_mean
-    FROM cand ORDER BY sl * sl / nl + sr * sr / nr DESC LIMIT 1
+    FROM best
     """,
 )
 def stump_regression(spark, sf_dir):
     """M3 at depth 1: best variance split of price on size, leaf means."""
-    part = FT.assemble(table(spark, sf_dir, "part"), ["p_size"], names.FEATURES)
-    part = part.withColumn(names.LABEL, F.col("p_retailprice"))
-    model = M.make_model("dt", "regression", maxDepth=1, maxBins=64).fit(part)
+    _, model = _regression_stump(spark, sf_dir)
     s = _stump_nodes(spark, model)
     return s.select(
         r6("threshold").alias("threshold"),
@@ -175,30 +186,87 @@ def stump_regression(spark, sf_dir):
     )
 
 
-@query(
-    "stump_classification",
-    f"""
-    WITH s AS (SELECT floor(20 * score) AS x, label AS y FROM {RULE_SQL}),
+# Best gini split of quality on the letter-share bucket x = floor(20 * share).
+STUMP_CLS_SQL = f"""
+    s AS (SELECT floor(20 * score) AS x, label AS y FROM {RULE_SQL}),
     g AS (SELECT x, count(*) AS n, sum(y) AS p FROM s GROUP BY 1),
     c AS (SELECT x, lead(x) OVER (ORDER BY x) AS nx, sum(n) OVER (ORDER BY x) AS nl, sum(p) OVER (ORDER BY x) AS pl FROM g),
     tot AS (SELECT sum(n) AS n, sum(p) AS p FROM g),
-    cand AS (SELECT (x + nx) / 2 AS threshold, nl, pl, tot.n - nl AS nr, tot.p - pl AS pr FROM c, tot WHERE nx IS NOT NULL)
+    cand AS (SELECT (x + nx) / 2 AS threshold, nl, pl, tot.n - nl AS nr, tot.p - pl AS pr FROM c, tot WHERE nx IS NOT NULL),
+    best AS (SELECT * FROM cand ORDER BY (2 * pl * (nl - pl) / nl) + (2 * pr * (nr - pr) / nr) ASC LIMIT 1)
+"""
+
+
+@query(
+    "stump_classification",
+    f"""
+    WITH {STUMP_CLS_SQL}
     SELECT round(threshold, 6) AS threshold, CAST(nl AS BIGINT) AS left_n, CAST(nr AS BIGINT) AS right_n,
            CASE WHEN 2 * pl > nl THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS left_pred,
            CASE WHEN 2 * pr > nr THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS right_pred
-    FROM cand
-    ORDER BY (2 * pl * (nl - pl) / nl) + (2 * pr * (nr - pr) / nr) ASC LIMIT 1
+    FROM best
     """,
 )
 def stump_classification(spark, sf_dir):
     """M1 at depth 1 (gini): best split of quality on the letter-share bucket."""
+    model = _classification_stump(spark, sf_dir)
+    s = _stump_nodes(spark, model)
+    return s.select(r6("threshold").alias("threshold"), "left_n", "right_n", "left_pred", "right_pred")
+
+
+def _share_bucket(df):
+    """x = floor(20 * letter share) as the single feature vector."""
+    return FT.assemble(df.withColumn("x", F.floor(letter_share("text") * 20).cast("double")), ["x"], names.FEATURES)
+
+
+def _classification_stump(spark, sf_dir):
     p = _rule_predictions(spark, sf_dir).select(
         F.floor(F.col("score") * 20).cast("double").alias("x"), F.col(names.LABEL)
     )
     p = FT.assemble(p, ["x"], names.FEATURES)
-    model = M.make_model("dt", "classification", maxDepth=1, maxBins=32, impurity="gini").fit(p)
-    s = _stump_nodes(spark, model)
-    return s.select(r6("threshold").alias("threshold"), "left_n", "right_n", "left_pred", "right_pred")
+    return M.make_model("dt", "classification", maxDepth=1, maxBins=32, impurity="gini").fit(p)
+
+
+@query(
+    "stump_rules",
+    f"""
+    WITH {STUMP_REG_SQL}
+    SELECT 0 AS treeID, 1 AS leaf, 'p_size <= ' || format('{{:.6g}}', threshold) AS rule,
+           round(sl / nl, 6) AS prediction, CAST(NULL AS VARCHAR) AS predicted_class, CAST(nl AS BIGINT) AS n FROM best
+    UNION ALL
+    SELECT 0, 2, 'p_size > ' || format('{{:.6g}}', threshold), round(sr / nr, 6), NULL, CAST(nr AS BIGINT) FROM best
+    """,
+)
+def stump_rules(spark, sf_dir):
+    """The regression stump as rules with the feature's name."""
+    part, model = _regression_stump(spark, sf_dir)
+    names_ = FT.feature_names(part, names.FEATURES)
+    rules = EX.tree_rules(spark, model, names_)
+    return rules.select("treeID", "leaf", "rule", r6("prediction").alias("prediction"), "predicted_class", "n")
+
+
+@query(
+    "stump_score_bands",
+    f"""
+    WITH {STUMP_CLS_SQL},
+    u AS (SELECT d.doc_id, floor(20 * {LS_SQL}) AS x
+          FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.doc_id IS NULL),
+    p AS (SELECT u.doc_id, CASE WHEN u.x <= b.threshold THEN b.pl / b.nl ELSE b.pr / b.nr END AS p1 FROM u, best b)
+    SELECT doc_id, CASE WHEN p1 > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
+           round(greatest(p1, 1 - p1), 6) AS max_probability,
+           CASE WHEN greatest(p1, 1 - p1) > 0.9 THEN 'high' WHEN greatest(p1, 1 - p1) > 0.7 THEN 'medium'
+                ELSE 'low' END AS confidence_level
+    FROM p
+    """,
+)
+def stump_score_bands(spark, sf_dir):
+    """Score the unlabelled documents with the fitted stump;
+    class probability of the leaf, confidence band."""
+    model = _classification_stump(spark, sf_dir)
+    docs = docs_with_labels(spark, sf_dir).where(F.col("quality").isNull())
+    pred = model.transform(_share_bucket(docs))
+    bands = SC.prediction_bands(pred)
+    return bands.select("doc_id", names.PREDICTION, r6("max_probability").alias("max_probability"), "confidence_level")
 
 
 # ---------------------------------------------------------------- trained models (rows only)
