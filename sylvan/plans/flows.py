@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sylvan import names
+from sylvan.session import checkpoint_dir
 from sylvan.functions.columns import letter_share, safe_ratio
 from sylvan.operators import features as FT
 from sylvan.operators import models as M
@@ -131,7 +132,13 @@ def supervised_flow(
     train_fraction: float = 0.7,
     **params,
 ) -> FlowResult:
-    """Split by key hash, fit features on train, fit a model, predict test."""
+    """Split by key hash, fit features on train, fit a model, predict test.
+
+    The shared checkpoint folder is set on the context (if the cluster has
+    not already), so iterative fits such as GBT checkpoint their state every
+    ``checkpointInterval`` rounds instead of growing one long lineage.
+    """
+    checkpoint_dir(df.sparkSession)
     # Only the model's columns are kept and cached: the derived features
     # (regexes over whole texts, tokens) are then computed once, not once
     # per fit, encode and metric pass.

@@ -103,3 +103,24 @@ def test_slot_distinct_counts(spark):
     df = spark.createDataFrame([([1.0, 2.0],), ([1.0, 3.0],)], "v array<double>")
     got = {r["slot"]: r["nbDistinctValues"] for r in P.slot_distinct_counts(df, "v").collect()}
     assert got == {0: 1, 1: 2}
+
+
+def test_profile_odd_column_names(spark):
+    df = spark.createDataFrame([(1, "a", 2.0), (None, "a", 3.0)], ["a b", "x.y", "we`ird"])
+    p = as_dict(P.profile(df, enriched=True))
+    assert set(p) == {"a b", "x.y", "we`ird"}
+    assert p["a b"]["nbDistinctValues"] == 2 and p["x.y"]["mostFrequentValue"] == "a"
+
+
+def test_profile_other_types(spark):
+    import datetime
+    from decimal import Decimal
+
+    rows = [(True, datetime.date(2020, 1, 2), Decimal("1.10"), bytearray(b"x"), [1, 2], {"k": 1})] * 2 + [
+        (False, None, Decimal("2.00"), None, [3], {"k": 2})
+    ]
+    df = spark.createDataFrame(rows, "b boolean, d date, m decimal(5,2), y binary, a array<int>, mp map<string,int>")
+    p = as_dict(P.profile(df, enriched=True, mode="extended"))
+    assert {c: p[c]["nbDistinctValues"] for c in p} == {"b": 2, "d": 2, "m": 2, "y": 2, "a": 2, "mp": 2}
+    assert p["b"]["colType"] == "booleanType" and p["d"]["colType"] == "temporalType"
+    assert p["b"]["mostFrequentValue"] == "true" and p["m"]["mostFrequentValue"] == "1.10"
