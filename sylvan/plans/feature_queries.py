@@ -314,3 +314,22 @@ def saved_pipeline_regression(spark, sf_dir):
     path = save_model(auto.pipeline.fit(part), scratch_path(spark, "pipelines"))
     out = load_model(path).transform(part).select("p_partkey", names.FEATURES, F.col("p_retailprice").alias(names.LABEL))
     return _vec_cols(out, names.FEATURES, 3, keep=("p_partkey", names.LABEL))
+
+
+@query(
+    "hashing_tf_totals",
+    r"""
+    SELECT doc_id, CAST(len(w) AS DOUBLE) AS tf_total
+    FROM (SELECT doc_id, string_split_regex(regexp_replace(lower(text), '\s+$', ''), '\s') AS w FROM documents)
+    """,
+)
+def hashing_tf_totals(spark, sf_dir):
+    """HashingTF(1000) term counts over whole texts; the counts of a
+    document add up to its number of tokens (slot positions are Spark's
+    own hash and are not compared)."""
+    from pyspark.ml.feature import HashingTF
+
+    words = TX.tokens(documents(spark, sf_dir).select("doc_id", "text"), "text", "words")
+    tf = HashingTF(inputCol="words", outputCol="tf", numFeatures=1000).transform(words)
+    arr = vector_to_array(F.col("tf"))
+    return tf.select("doc_id", F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("tf_total"))
