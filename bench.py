@@ -100,7 +100,7 @@ def main():
         "profile_documents", "profile_enriched", "select_complete", "detect_identifiers", "date_parts",
         "impute_median", "hash_split", "undersample", "lookup_enrich", "unknown_categories", "string_index",
         "vector_index", "auto_pipeline_classification", "token_counts", "auc", "stump_regression",
-        "dt_classify", "cv_grid", "score_bands", "text_lr",
+        "classification_workflow", "regression_workflow", "cv_grid", "score_bands", "text_lr",
     ):
         fn = QUERIES[name]
         items[f"q_{name}"] = (lambda f=fn: sink(f(spark, SF_DIR)))

@@ -181,9 +181,14 @@ def profile_driven_flow(
     from sylvan.operators import profile as P
     from sylvan.operators import select as S
 
-    prof = P.profile(df, mode=mode, enriched=True)
+    # The profile and the model input both read the (derived) table: cache
+    # it once so derived columns (regexes over texts, tokens) are computed once.
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    prof = P.profile(data, mode=mode, enriched=True)
     ids = [r["name"] for r in S.identifier_columns(prof).where("isIdentifier").select("name").collect()]
     auto = FT.auto_pipeline_from_profile(
         prof, target, kind, min_completeness, max_categories, exclude=tuple(c for c in ids if c != target)
     )
-    return supervised_flow(df, target, key, auto.text_cols, auto.numeric_cols, kind, algo, max_categories, **params)
+    res = supervised_flow(data, target, key, auto.text_cols, auto.numeric_cols, kind, algo, max_categories, **params)
+    res.cached.append(data)
+    return res
