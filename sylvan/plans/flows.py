@@ -171,7 +171,7 @@ def profile_driven_flow(
     min_completeness: float = 0.8,
     **params,
 ) -> FlowResult:
-    """The reference's notebook flow, profile first (N2 Setting 1, N4).
+    """The reference's end-to-end flow, profile first.
 
     profile -> drop identifier columns (C8) -> text columns with at most
     ``max_categories`` values and numeric columns, both complete enough,

@@ -425,7 +425,7 @@ def text_lr(spark, sf_dir):
 
 @query("classification_workflow", None)
 def classification_workflow(spark, sf_dir):
-    """N2 end to end: profile the labelled documents' signals, pick columns
+    """Classification end to end: profile the labelled documents' signals, pick columns
     from the profile (text < 32 values, numeric, identifiers out), split by
     key hash, fit features on train, entropy tree, accuracy and AUC on test."""
     df = _doc_frame(spark, sf_dir)
@@ -441,7 +441,7 @@ def classification_workflow(spark, sf_dir):
 
 @query("regression_workflow", None)
 def regression_workflow(spark, sf_dir):
-    """N4 end to end: profile part, drop price outliers with a range filter,
+    """Regression end to end: profile part, drop price outliers with a range filter,
     pick text columns with at most 40 values and numeric columns from the
     profile, then DT, RF (5 trees) and GBT on the same split; RMSE/MAE/R^2
     of all three in one long table."""
