@@ -263,7 +263,7 @@ def stump_score_bands(spark, sf_dir):
     """Score the unlabelled documents with the fitted stump;
     class probability of the leaf, confidence band."""
     model = _classification_stump(spark, sf_dir)
-    docs = docs_with_labels(spark, sf_dir).where(F.col("quality").isNull())
+    docs = docs_with_labels(spark, sf_dir, spread=True).where(F.col("quality").isNull())
     pred = model.transform(_share_bucket(docs))
     bands = SC.prediction_bands(pred)
     return bands.select("doc_id", names.PREDICTION, r6("max_probability").alias("max_probability"), "confidence_level")
@@ -404,7 +404,7 @@ def score_bands(spark, sf_dir):
     confidence band and decoded class per document."""
     res = _doc_flow(spark, sf_dir, "dt", impurity="entropy")
     res.release()
-    docs = docs_with_labels(spark, sf_dir).where(F.col("quality").isNull()).drop("quality", "toxic")
+    docs = docs_with_labels(spark, sf_dir, spread=True).where(F.col("quality").isNull()).drop("quality", "toxic")
     pred = SC.score(res.features, res.model, document_features(docs))
     classes = res.auto.class_labels(res.features)
     bands = SC.prediction_bands(pred, classes)
