@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 from sylvan import names
 from sylvan.functions.columns import safe_ratio
 
-PROFILE_COLUMNS = ["name", "origType", "colType", "compRatio", "nbDistinctValues", "nbDistinctNonNull"]
-ENRICHED_COLUMNS = PROFILE_COLUMNS + ["nRows", "nullCount", "uniqueRatio", "mostFrequentValue", "frequency"]
+PROFILE_COLUMNS = ["name", "origType", "colType", "compRatio", "nbDistinctValues", "nbDistinctNonNull", "nRows"]
+ENRICHED_COLUMNS = PROFILE_COLUMNS + ["nullCount", "uniqueRatio", "mostFrequentValue", "frequency"]
 
 # Plans with more branches than this are evaluated chunk by chunk.
 MAX_BRANCHES_PER_PLAN = 64
@@ -148,10 +148,10 @@ def _from_counts(df: DataFrame, cols: list[str], mode: str, enriched: bool) -> D
         safe_ratio(F.coalesce(F.col("nn"), F.lit(0)), n).alias("compRatio"),
         F.col("d").cast("long").alias("nbDistinctValues"),
         F.col("dnn").cast("long").alias("nbDistinctNonNull"),
+        n.alias("nRows"),
     ]
     if enriched:
         out += [
-            n.alias("nRows"),
             (n - F.coalesce(F.col("nn"), F.lit(0))).cast("long").alias("nullCount"),
             safe_ratio("d", n).alias("uniqueRatio"),
             F.col("mode").alias("mostFrequentValue"),
@@ -178,10 +178,10 @@ def _approx(df: DataFrame, cols: list[str], mode: str, enriched: bool, rsd: floa
             safe_ratio(nn, n).alias("compRatio"),
             (d + has_null).cast("long").alias("nbDistinctValues"),
             d.cast("long").alias("nbDistinctNonNull"),
+            n.cast("long").alias("nRows"),
         ]
         if enriched:
             fields += [
-                n.cast("long").alias("nRows"),
                 (n - nn).cast("long").alias("nullCount"),
                 safe_ratio(d + has_null, n).alias("uniqueRatio"),
                 F.lit(None).cast("string").alias("mostFrequentValue"),
@@ -203,9 +203,9 @@ def profile(
 
     ``nbDistinctValues`` counts NULL as one value, as the reference's
     ``select(c).distinct().count`` does; ``nbDistinctNonNull`` does not.
-    ``compRatio`` is NULL on an empty table. ``enriched=True`` adds row
-    count, null count, unique ratio and the modal non-null value with its
-    frequency (A5). Row order of the result is not defined.
+    ``compRatio`` is NULL on an empty table; ``nRows`` is the row count.
+    ``enriched=True`` adds null count, unique ratio and the modal non-null
+    value with its frequency (A5). Row order of the result is not defined.
     """
     cols = list(columns or df.columns)
     if approx:

@@ -97,8 +97,8 @@ def identifier_columns(prof: DataFrame, total_rows: int | None = None) -> DataFr
     """Flag identifier columns: name contains id/key or distinct/rows > 0.95.
 
     The uniqueness is distinct values over *rows* (the reference divides by
-    the completeness ratio, which flags every column). Needs an enriched
-    profile (``nRows``) or ``total_rows``.
+    the completeness ratio, which flags every column). Uses the profile's
+    ``nRows`` (or ``total_rows`` for a profile without it).
     """
     rows = F.col("nRows") if "nRows" in prof.columns else F.lit(total_rows)
     lname = F.lower(F.col("name"))

@@ -184,7 +184,7 @@ def profile_driven_flow(
     # The profile and the model input both read the (derived) table: cache
     # it once so derived columns (regexes over texts, tokens) are computed once.
     data = df.persist(StorageLevel.MEMORY_AND_DISK)
-    prof = P.profile(data, mode=mode, enriched=True)
+    prof = P.profile(data, mode=mode)
     ids = [r["name"] for r in S.identifier_columns(prof).where("isIdentifier").select("name").collect()]
     auto = FT.auto_pipeline_from_profile(
         prof, target, kind, min_completeness, max_categories, exclude=tuple(c for c in ids if c != target)

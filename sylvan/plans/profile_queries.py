@@ -312,7 +312,7 @@ def quality_report(spark, sf_dir):
 )
 def detect_identifiers(spark, sf_dir):
     """Identifier columns by name token or uniqueness over rows."""
-    ids = S.identifier_columns(P.profile(table(spark, sf_dir, "orders"), enriched=True))
+    ids = S.identifier_columns(P.profile(table(spark, sf_dir, "orders")))
     return ids.select("name", r6("uniqueRatio").alias("uniqueRatio"), "nameMatch", "isIdentifier")
 
 
