@@ -133,3 +133,11 @@ def test_lookup_join_large_side_uses_salting(spark):
     lookup = spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
     out = D.lookup_join(big, lookup, "k", max_broadcast_rows=1, hot_share=0.3)
     assert out.count() == 100 and out.where("v is null").count() == 0
+
+
+def test_salted_join_independent_of_partitioning(spark):
+    big = spark.createDataFrame([(i, 1 if i % 2 else i % 9) for i in range(400)], "id long, k long")
+    lookup = spark.createDataFrame([(k, f"v{k}") for k in range(9)], "k long, v string")
+    a = D.salted_join(big, lookup, "k", "left", hot=[(1,)], salts=4).collect()
+    b = D.salted_join(big.repartition(7), lookup.repartition(3), "k", "left", hot=[(1,)], salts=4).collect()
+    assert sorted(a) == sorted(b) and len(a) == 400

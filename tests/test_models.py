@@ -132,3 +132,10 @@ def test_flow_handles_text_column_wider_than_max_categories(spark):
     res = supervised_flow(df, "y", "k", ["wide"], ["x"], "classification", "dt", max_categories=10)
     assert res.predictions.count() > 0
     res.release()
+
+
+def test_unknown_categories_matches_sets(spark):
+    train = spark.createDataFrame([("a", "x"), ("b", "x"), (None, "y")], "c1 string, c2 string")
+    score = spark.createDataFrame([("a", "z"), ("c", "z"), ("c", None), ("b", "x")], "c1 string, c2 string")
+    got = {(r["column"], r["value"], r["n"]) for r in SC.unknown_categories(train, score, ["c1", "c2"]).collect()}
+    assert got == {("c1", "c", 2), ("c2", "z", 2)}
