@@ -209,7 +209,14 @@ def profile(
     """
     cols = list(columns or df.columns)
     if approx:
-        return _approx(df, cols, mode, enriched, rsd)
+        # One aggregate per chunk of columns keeps generated code small on
+        # very wide tables; each chunk scans only its own columns.
+        chunks = [cols[i : i + MAX_BRANCHES_PER_PLAN] for i in range(0, len(cols), MAX_BRANCHES_PER_PLAN)]
+        parts = [_approx(df, chunk, mode, enriched, rsd) for chunk in chunks]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionAll(part)
+        return out
     if len(cols) <= MAX_BRANCHES_PER_PLAN:
         prof = _from_counts(df, cols, mode, enriched)
     else:

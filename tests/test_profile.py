@@ -124,3 +124,11 @@ def test_profile_other_types(spark):
     assert {c: p[c]["nbDistinctValues"] for c in p} == {"b": 2, "d": 2, "m": 2, "y": 2, "a": 2, "mp": 2}
     assert p["b"]["colType"] == "booleanType" and p["d"]["colType"] == "temporalType"
     assert p["b"]["mostFrequentValue"] == "true" and p["m"]["mostFrequentValue"] == "1.10"
+
+
+def test_wide_table_approx_is_chunked(spark, monkeypatch):
+    monkeypatch.setattr(P, "MAX_BRANCHES_PER_PLAN", 2)
+    df = spark.createDataFrame([(1, 2, 3), (1, 5, None)], "a int, b int, c int")
+    p = as_dict(P.profile(df, approx=True))
+    assert [p[c]["nbDistinctValues"] for c in "abc"] == [1, 2, 2]
+    assert p["c"]["compRatio"] == pytest.approx(0.5)
