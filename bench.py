@@ -97,7 +97,7 @@ def main():
     for name in (
         "profile_documents", "profile_enriched", "select_complete", "detect_identifiers", "date_parts",
         "impute_median", "hash_split", "undersample", "lookup_enrich", "unknown_categories", "string_index",
-        "vector_index", "auto_pipeline_classification", "token_counts", "auc", "stump_regression",
+        "vector_index", "auto_features_classification", "token_counts", "auc", "stump_regression",
         "classification_workflow", "regression_workflow", "cv_grid", "score_bands", "text_lr",
     ):
         fn = QUERIES[name]

@@ -249,7 +249,7 @@ def pca(spark, sf_dir):
 
 
 @query(
-    "auto_pipeline_classification",
+    "auto_features_classification",
     f"""
     WITH t AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
     SELECT t.doc_id, a.i AS f0, b.i AS f1, t.n_chars::DOUBLE AS f2, q.i AS label
@@ -258,7 +258,7 @@ def pca(spark, sf_dir):
     JOIN {_rank_sql('t', 'quality')} q ON CAST(t.quality AS VARCHAR) = q.v
     """,
 )
-def auto_pipeline_classification(spark, sf_dir):
+def auto_features_classification(spark, sf_dir):
     """F24 + F28: index text and target, assemble, vector-index, encode."""
     df = labeled_docs(spark, sf_dir).select("doc_id", "lang", "source", "n_chars", "quality")
     auto = FT.auto_pipeline(["lang", "source"], ["n_chars"], "quality", "classification", max_categories=32)
@@ -268,14 +268,14 @@ def auto_pipeline_classification(spark, sf_dir):
 
 
 @query(
-    "auto_pipeline_regression",
+    "auto_features_regression",
     f"""
     SELECT p.p_partkey, a.i AS f0, b.i AS f1, p.p_size::DOUBLE AS f2, p.p_retailprice AS label
     FROM part p JOIN {_rank_sql('part', 'p_type')} a ON p.p_type = a.v
     JOIN {_rank_sql('part', 'p_brand')} b ON p.p_brand = b.v
     """,
 )
-def auto_pipeline_regression(spark, sf_dir):
+def auto_features_regression(spark, sf_dir):
     """F25 + F28: regression pipeline (target not indexed), maxCategories 40."""
     part = table(spark, sf_dir, "part")
     auto = FT.auto_pipeline(["p_type", "p_brand"], ["p_size"], "p_retailprice", "regression", max_categories=40)
@@ -297,14 +297,14 @@ def token_counts(spark, sf_dir):
 
 
 @query(
-    "saved_pipeline_regression",
+    "saved_features_regression",
     f"""
     SELECT p.p_partkey, a.i AS f0, b.i AS f1, p.p_size::DOUBLE AS f2, p.p_retailprice AS label
     FROM part p JOIN {_rank_sql('part', 'p_type')} a ON p.p_type = a.v
     JOIN {_rank_sql('part', 'p_brand')} b ON p.p_brand = b.v
     """,
 )
-def saved_pipeline_regression(spark, sf_dir):
+def saved_features_regression(spark, sf_dir):
     """Save the *fitted* feature pipeline, load it, encode with it."""
     from sylvan.session import scratch_path
     from sylvan.sources.persist import load_model, save_model

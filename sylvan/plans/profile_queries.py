@@ -336,7 +336,7 @@ def profile_approx(spark, sf_dir):
     return prof.select("name", "colType", r6("compRatio").alias("compRatio"), "nbDistinctValues")
 
 
-PIPELINE_CONFIG_SQL = (
+FEATURE_CONFIG_SQL = (
     "WITH t AS " + DOCS_LABELS_SQL + ", p AS ("
     + " UNION ALL ".join(
         f"SELECT '{c}' AS name, '{ext}' AS colType, count({c})::DOUBLE / count(*) AS compRatio, "
@@ -358,8 +358,8 @@ PIPELINE_CONFIG_SQL = (
 )
 
 
-@query("pipeline_config", PIPELINE_CONFIG_SQL)
-def pipeline_config(spark, sf_dir):
+@query("feature_config", FEATURE_CONFIG_SQL)
+def feature_config(spark, sf_dir):
     """C9 + C10: pipeline settings chosen from the profile, as one row."""
     prof = P.profile(docs_with_labels(spark, sf_dir), mode="extended")
     cfg = S.config_from_profile(prof, target="quality")
