@@ -249,6 +249,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows_per_cla
     marked = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("_y"))
     rows = docs.filter(~held_out() & F.col("doc_id").isNotNull() & (F.char_length("text") <= MOST_CHARS)).select("doc_id", "text", F.coalesce(F.col("lang"), F.lit("")).alias("lang"))
     sample = bounded_sample(marked.filter(~held_out()), "_y", rows_per_class, "doc_id")
+    sample = F.broadcast(sample)  # at most 2 * rows_per_class rows of two numbers
     got = sorted((r["doc_id"], r["text"], r["_y"], r["lang"]) for r in rows.join(sample, "doc_id").collect())
     y = np.array([g[2] for g in got], dtype=np.float64)
     if len(set(y.tolist())) < 2:
