@@ -48,6 +48,8 @@ COUNTERS, CHUNK = 1 << 20, 1 << 14
 FAN_IN = 64
 #: Partners of one set that are verified in one join group.
 PARTNERS = 1000
+#: Ids (8 bytes each) that are broadcast to pick documents from a scan; beyond, the documents are shuffled instead.
+BROADCAST_IDS = 2_000_000
 #: Positions that share a block of an index list.
 BLOCK = 8
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -156,6 +158,8 @@ def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             flat = np.concatenate(some).view(np.int64) if some else np.zeros(0, np.int64)
             yield pa.record_batch([b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["id", "s"])
 
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
     return _texts(docs).join(ids, "id", "left_semi").mapInArrow(run, "id long, s array<long>")
 
 
@@ -169,6 +173,7 @@ def verify(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     """
     total = pairs.count()
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    ids = written(ids, "pair-ids")
     sets = written(sets_of(docs, ids, words), "sets")
     many = pairs.groupBy("a").count().filter(F.col("count") > max(PARTNERS, total // 1000)).select("a", F.ceil(F.col("count") / PARTNERS).cast("int").alias("_k"))
     many = F.broadcast(many)
