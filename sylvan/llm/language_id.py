@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sylvan.llm.common import bounded_sample, unpack, whole_row
 
@@ -213,8 +214,8 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] | None = None,
             yield pa.record_batch([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["_row", "lang_pred", "score"])
 
     row = docs.select(whole_row(docs.select(*keep) if keep else docs).alias("_row"), F.col("text").alias("_text"))
-    kind = row.schema["_row"].dataType.simpleString()
-    return row.mapInArrow(run, f"_row {kind}, lang_pred string, score double")
+    schema = T.StructType([row.schema["_row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return row.mapInArrow(run, schema)
 
 
 def labelled_part(doc_id: str = "doc_id") -> Column:

@@ -67,11 +67,9 @@ def source_targets(sizes: DataFrame, max_repeat: int = 3) -> DataFrame:
 def _thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     """``source``, whole repeats ``_m`` and hash threshold ``_theta`` for each source."""
     m = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    rest = F.col("target") - F.col("_m") * F.col("source_size")
     state = targets.select("source", "docs", "source_size", "target", m.alias("_m")).select(
-        "*",
-        (F.col("target") - F.col("_m") * F.col("source_size")).alias("_rest"),
-        F.lit(0).cast("long").alias("_prefix"),
-        F.lit(None).cast("long").alias("_theta"),
+        "*", rest.alias("_rest"), F.lit(0).cast("long").alias("_prefix"), F.when(rest <= 0, F.lit(0)).cast("long").alias("_theta")
     )
     state = written(state, "mix-state")
     shift = HASH_BITS

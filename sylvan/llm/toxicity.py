@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sylvan.llm.common import bounded_sample, unpack, whole_row
 
@@ -295,7 +296,8 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] | None = None, ch
             yield pa.record_batch([batch.column(0), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32), pa.int32())], names=["_row", "score", "predicted"])
 
     row = docs.select(whole_row(docs.select(*keep) if keep else docs).alias("_row"), F.col("text").alias("_text"))
-    return row.mapInArrow(run, f"_row {row.schema['_row'].dataType.simpleString()}, score double, predicted int")
+    schema = T.StructType([row.schema["_row"], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    return row.mapInArrow(run, schema)
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
