@@ -53,29 +53,18 @@ def copies(rng, bases, n, size=120, edits=6):
     return out
 
 
-@pytest.mark.parametrize("seed,words,percent", [(1, 3, 90), (2, 3, 90), (3, 5, 80), (4, 1, 60)])
-def test_jaccard_groups_brute_force(docs, odd_rows, seed, words, percent):
+@pytest.mark.parametrize("seed,words,percent", [(1, 3, 90), (3, 5, 80)])
+def test_jaccard_groups_brute_force(docs, odd_rows, monkeypatch, seed, words, percent):
+    monkeypatch.setattr(jaccard, "PARTNERS", 3)  # sets with more partners are split
     rng = random.Random(seed)
-    rows = copies(rng, 6, 160) + [(1000 + d if d is not None else None, t) for d, t, _, _ in odd_rows]
+    rows = copies(rng, 5, 120) + [(1000 + d if d is not None else None, t) for d, t, _, _ in odd_rows]
+    # a chain: neighbours are similar, the ends are not, and no set is similar to all
+    w = [f"c{i}" for i in range(400)]
+    rows += [(2000 + i, " ".join(w[i * 4 : i * 4 + 150])) for i in range(25)]
     got = jaccard.jaccard_groups(docs([(d, t, "en", "s") for d, t in rows]), words, percent)
     assert columns(got, "doc_id", "n_shingles", "component_id") == brute_groups(rows, words, percent)
 
 
-def test_jaccard_one_leader_is_not_enough(docs):
-    """A chain: neighbours are similar, the ends are not, and no set is similar to all."""
-    w = [f"c{i}" for i in range(400)]
-    rows = [(i, " ".join(w[i * 4 : i * 4 + 150])) for i in range(40)]
-    got = jaccard.jaccard_groups(docs([(d, t, "en", "s") for d, t in rows]))
-    assert columns(got, "doc_id", "n_shingles", "component_id") == brute_groups(rows)
-
-
-def test_jaccard_many_partners_are_split(docs, monkeypatch):
-    monkeypatch.setattr(jaccard, "PARTNERS", 3)
-    rows = copies(random.Random(9), 1, 60, edits=2)
-    got = jaccard.jaccard_groups(docs([(d, t, "en", "s") for d, t in rows]))
-    assert columns(got, "doc_id", "n_shingles", "component_id") == brute_groups(rows)
-
-
 def test_jaccard_given_table_and_one_per_group(spark, docs, odd_rows):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     want = brute_groups(rows)
@@ -90,9 +79,9 @@ def test_jaccard_given_table_and_one_per_group(spark, docs, odd_rows):
 
 
 def test_components_of_long_chain_and_star(spark):
-    edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 40)] + [(500, 499), (499, 500), (7, 7)]
+    edges = [(i, i + 1) for i in range(30)] + [(1000, 1000 + i) for i in range(1, 40)] + [(500, 499), (499, 500), (7, 7)]
     got = {r["id"]: r["comp"] for r in jaccard.components(spark.createDataFrame(edges, "u long, v long")).collect()}
-    assert got == {**{i: 0 for i in range(61)}, **{1000 + i: 1000 for i in range(40)}, 499: 499, 500: 499}
+    assert got == {**{i: 0 for i in range(31)}, **{1000 + i: 1000 for i in range(40)}, 499: 499, 500: 499}
 
 
 def vector_rows(rng, n, dim=16):
