@@ -148,6 +148,11 @@ def prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return _texts(docs).mapInArrow(run, "id long, n long, digest binary, prefix array<long>")
 
 
+def picked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose ``id`` is in ``ids``; a shuffle of the rows only where the ids are too many to broadcast."""
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+
+
 def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     """``id, s``: the whole shingle sets of the documents in ``ids``."""
 
@@ -158,9 +163,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             flat = np.concatenate(some).view(np.int64) if some else np.zeros(0, np.int64)
             yield pa.record_batch([b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["id", "s"])
 
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return _texts(docs).join(ids, "id", "left_semi").mapInArrow(run, "id long, s array<long>")
+    return picked(_texts(docs), ids).mapInArrow(run, "id long, s array<long>")
 
 
 def verify(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
@@ -172,15 +175,15 @@ def verify(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     thousandth of all pairs, are at most a thousand (two numbers each).
     """
     total = pairs.count()
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    ids = written(ids, "pair-ids")
-    sets = written(sets_of(docs, ids, words), "sets")
+    side = lambda c: written(pairs.select(F.col(c).alias("id")).distinct(), "pair-ids")
+    first, second = side("a"), side("b")
+    sets = written(sets_of(docs, first.unionByName(second).distinct(), words), "sets")
     many = pairs.groupBy("a").count().filter(F.col("count") > max(PARTNERS, total // 1000)).select("a", F.ceil(F.col("count") / PARTNERS).cast("int").alias("_k"))
     many = F.broadcast(many)
     copies = F.coalesce(F.col("_k"), F.lit(1))
     left = pairs.join(many, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), copies.cast("long")).alias("_c"))
-    right = sets.select(F.col("id").alias("a"), F.col("s").alias("sa")).join(many, "a", "left").select("a", "sa", F.explode(F.sequence(F.lit(0).cast("long"), (copies - 1).cast("long"))).alias("_c"))
-    both = left.join(right, ["a", "_c"]).join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+    right = picked(sets, first).select(F.col("id").alias("a"), F.col("s").alias("sa")).join(many, "a", "left").select("a", "sa", F.explode(F.sequence(F.lit(0).cast("long"), (copies - 1).cast("long"))).alias("_c"))
+    both = left.join(right, ["a", "_c"]).join(picked(sets, second).select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     return both.select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("inter"), (F.size("sa") + F.size("sb")).cast("long").alias("total"))
 
 
