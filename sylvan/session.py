@@ -54,11 +54,15 @@ def get_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints, saved models and written tables.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (as in local tests) a folder is created under the system temp dir.
+    Reads ``spark.checkpoint.dir`` from the session, or the folder already
+    set on the context. Only on a local master (as in tests) a folder is
+    created under the system temp dir; on a cluster its executors could not
+    share it, so there an unset folder is an error.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not is_local(spark):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="sylvan-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -79,7 +83,8 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def default_parallelism(spark: SparkSession) -> int:
