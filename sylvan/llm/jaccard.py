@@ -12,7 +12,9 @@ few shingles; those are the index. Two kinds of skipping follow:
   then derived from its leader's computed answers: sets connected through a
   leader are not compared with each other again, and by the triangle
   inequality of the Jaccard distance only sets whose distances to a common
-  leader differ by at most the allowed distance are.
+  leader differ by at most the allowed distance are;
+* pair level: parity bits of either set bound their difference from below,
+  which settles most pairs of different sets before any set is shipped.
 
 Equal sets are one class from the start and enter the index once. Groups
 are connected components of the links, found by Spark joins alone.
@@ -77,6 +79,24 @@ def prefix_length(n, percent: int):
     return n - (percent * n + 99) // 100 + 1
 
 
+def parity_bits(s: np.ndarray) -> bytes:
+    """One bit per hash slot: whether an odd number of the set's shingles falls on it. As many slots as the next
+    power of two above the set's size (64 at least), so that the bits stay far smaller than the set."""
+    slots = 1 << max(6, int(len(s) - 1).bit_length())
+    odd = np.bincount((s % np.uint64(slots)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing(one: bytes, two: bytes) -> int:
+    """Slots whose parity differs: each needs a shingle that only one of the sets has. The longer bits are folded."""
+    x, y = np.frombuffer(one, dtype=np.uint8), np.frombuffer(two, dtype=np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
 
@@ -123,17 +143,19 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``id, n, digest, prefix`` of each document: the size and digest of its set and its rarest shingles, in order."""
+    """``id, n, digest, bits, prefix`` of each document: size, digest and parity bits of its set, and its rarest
+    shingles in order."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch(docs, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for b in batches:
-            sizes, digests, firsts = [], [], []
+            sizes, digests, bits, firsts = [], [], [], []
             for v in b.column(1):
                 s = shingles(v.as_py(), words)
                 sizes.append(len(s))
                 digests.append(hashlib.md5(s.tobytes()).digest())
+                bits.append(parity_bits(s))
                 if len(s):
                     k = prefix_length(len(s), percent)
                     c = counts[(s % np.uint64(COUNTERS)).astype(np.int64)]
@@ -143,9 +165,9 @@ def prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
             ends = np.cumsum([0] + [len(f) for f in firsts])
             flat = np.concatenate(firsts).view(np.int64) if firsts else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-            yield pa.record_batch([b.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists], names=["id", "n", "digest", "prefix"])
+            yield pa.record_batch([b.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bits, pa.binary()), lists], names=["id", "n", "digest", "bits", "prefix"])
 
-    return _texts(docs).mapInArrow(run, "id long, n long, digest binary, prefix array<long>")
+    return _texts(docs).mapInArrow(run, "id long, n long, digest binary, bits binary, prefix array<long>")
 
 
 def picked(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -166,25 +188,63 @@ def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return picked(_texts(docs), ids).mapInArrow(run, "id long, s array<long>")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """``a, b, inter, total`` of each pair: size of the intersection, and of both sets together.
+def with_side(pairs: DataFrame, counted: DataFrame, side: str, values: DataFrame) -> DataFrame:
+    """``pairs`` with the columns of ``values`` (``id`` and others, renamed to end in ``_a`` or ``_b``) of one side.
 
-    Only the sets that some pair names are made.
     A set with very many partners is repeated, so that no join group holds
     more than about ``PARTNERS`` pairs. Such sets, each with at least a
     thousandth of all pairs, are at most a thousand (two numbers each).
+    ``counted``: the written table of the pairs ``a, b``.
+    """
+    other = "b" if side == "a" else "a"
+    most = max(PARTNERS, counted.count() // 1000)
+    many = F.broadcast(counted.groupBy(side).count().filter(F.col("count") > most).select(side, F.ceil(F.col("count") / PARTNERS).alias("_k")))
+    copies = F.coalesce(F.col("_k"), F.lit(1)).cast("long")
+    left = pairs.join(many, side, "left").select(*pairs.columns, F.pmod(F.xxhash64(other), copies).alias("_c"))
+    right = values.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in values.columns if c != "id"])
+    right = right.join(many, side, "left").withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1))).drop("_k")
+    return left.join(right, [side, "_c"]).drop("_c")
+
+
+def bounds(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """``a, b, total, least`` of each pair: the size of both sets together, and a lower bound of the number of
+    shingles that only one of them has, from their parity bits. ``bits``: ``id, n, bits``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            least = [differing(x.as_py(), y.as_py()) for x, y in zip(b.column("bits_a"), b.column("bits_b"), strict=True)]
+            total = np.asarray(b.column("n_a")) + np.asarray(b.column("n_b"))
+            yield pa.record_batch([b.column("a"), b.column("b"), pa.array(total, pa.int64()), pa.array(least, pa.int64())], names=["a", "b", "total", "least"])
+
+    both = with_side(with_side(pairs, pairs, "a", bits), pairs, "b", bits)
+    return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long, total long, least long")
+
+
+def verify(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """``a, b, inter, total`` of each pair: size of the intersection, and of both sets together.
+
+    Only the sets that some pair names are made, and each side ships only its own.
     """
-    total = pairs.count()
     side = lambda c: written(pairs.select(F.col(c).alias("id")).distinct(), "pair-ids")
     first, second = side("a"), side("b")
     sets = written(sets_of(docs, first.unionByName(second).distinct(), words), "sets")
-    many = pairs.groupBy("a").count().filter(F.col("count") > max(PARTNERS, total // 1000)).select("a", F.ceil(F.col("count") / PARTNERS).cast("int").alias("_k"))
-    many = F.broadcast(many)
-    copies = F.coalesce(F.col("_k"), F.lit(1))
-    left = pairs.join(many, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), copies.cast("long")).alias("_c"))
-    right = picked(sets, first).select(F.col("id").alias("a"), F.col("s").alias("sa")).join(many, "a", "left").select("a", "sa", F.explode(F.sequence(F.lit(0).cast("long"), (copies - 1).cast("long"))).alias("_c"))
-    both = left.join(right, ["a", "_c"]).join(picked(sets, second).select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-    return both.select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("inter"), (F.size("sa") + F.size("sb")).cast("long").alias("total"))
+    both = with_side(with_side(pairs, pairs, "a", picked(sets, first)), pairs, "b", picked(sets, second))
+    return both.select("a", "b", F.size(F.array_intersect("s_a", "s_b")).cast("long").alias("inter"), (F.size("s_a") + F.size("s_b")).cast("long").alias("total"))
+
+
+def compare(pairs: DataFrame, bits: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``a, b, similar, lo, hi`` of each pair: whether it is a link, and bounds of its Jaccard distance.
+
+    Parity bits settle most pairs that are not similar without their sets;
+    all others are verified on whole sets, and their bounds are the distance.
+    """
+    bounded = written(bounds(pairs, bits), "bounds")
+    possible = (F.col("total") - F.col("least")) * (100 + percent) >= F.lit(2 * percent) * F.col("total")
+    open_ = written(bounded.filter(possible).select("a", "b").distinct(), "possible")
+    inter, total = F.col("inter"), F.col("total")
+    exact = verify(open_, docs, words).select("a", "b", (inter * (100 + percent) >= total * percent).alias("similar"), ((total - 2 * inter) / (total - inter)).alias("lo"))
+    apart = bounded.filter(~possible).select("a", "b", F.lit(False).alias("similar"), (2 * F.col("least") / (total + F.col("least"))).alias("lo"), F.lit(1.0).alias("hi"))
+    return exact.withColumn("hi", F.col("lo")).select(*apart.columns).unionByName(apart)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -231,12 +291,11 @@ def _fits(n1, p1, n2, p2, percent: int):
 def links(docs: DataFrame, index: DataFrame, words: int, percent: int) -> DataFrame:
     """Verified pairs ``u, v`` of similar sets that connect all sets which similarity connects.
 
-    ``index``: ``id, n, prefix``, one row for each different set.
+    ``index``: ``id, n, bits, prefix``, one row for each different set.
     """
     entries = index.select("id", "n", F.posexplode("prefix").alias("pos", "tok"))
     live = written(entries.groupBy("tok").agg(F.count(F.lit(1)).alias("cnt")).filter("cnt > 1"), "live-tokens")
     lists = written(join_counted(entries, live, ["tok"], "cnt", int(index.agg(F.sum(F.size("prefix"))).first()[0] or 0)), "lists")
-    similar = F.col("inter") * (100 + percent) >= F.col("total") * percent
 
     # answers of the leaders
     leader = lists.groupBy("tok", "cnt").agg(F.min(F.struct("pos", "n", "id")).alias("l"))
@@ -247,17 +306,21 @@ def links(docs: DataFrame, index: DataFrame, words: int, percent: int) -> DataFr
         .select(F.col("l.id").alias("a"), F.col("id").alias("b"))
         .distinct()
     )
-    answers = written(verify(written(stars, "stars"), docs, words), "answers")
-    found = answers.filter(similar).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    bits = index.select("id", "n", "bits")
+    answers = written(compare(written(stars, "stars"), bits, docs, words, percent), "answers")
+    found = answers.filter("similar").select(F.col("a").alias("u"), F.col("b").alias("v"))
     comp = components(found)
 
     # what is left: lists that still hold sets of several components
-    distance = (F.col("total") - 2 * F.col("inter")) / (F.col("total") - F.col("inter"))
-    home = answers.select(F.col("b").alias("id"), F.struct(distance.alias("d"), F.col("a").alias("l")).alias("h"))
-    home = home.unionByName(answers.select(F.col("a").alias("id"), F.struct(F.lit(0.0).alias("d"), F.col("a").alias("l")).alias("h")))
-    home = home.groupBy("id").agg(F.min("h").alias("h"))
+    near = lambda lo, hi: F.struct(hi.alias("hi"), lo.alias("lo"), F.col("a").alias("l")).alias("h")
+    zero, no = F.lit(0.0), F.lit(0)
+    home = answers.select(F.col("b").alias("id"), near(F.col("lo"), F.col("hi")), no.alias("sets"))
+    home = home.unionByName(answers.select(F.col("a").alias("id"), near(zero, zero), no.alias("sets")))
+    home = home.unionByName(index.select("id", F.lit(None).cast(home.schema["h"].dataType).alias("h"), F.lit(1).alias("sets")))
+    # an id with several sets has no one distance to a leader
+    home = home.groupBy("id").agg(F.min("h").alias("h"), F.sum("sets").alias("sets")).filter("sets = 1 AND h IS NOT NULL").drop("sets")
     open_ = lists.join(comp, "id", "left").join(home, "id", "left")
-    open_ = written(open_.select("tok", "cnt", "id", "n", "pos", F.coalesce("comp", "id").alias("comp"), F.col("h.l").alias("home"), F.col("h.d").alias("dist")), "open")
+    open_ = written(open_.select("tok", "cnt", "id", "n", "pos", F.coalesce("comp", "id").alias("comp"), F.col("h.l").alias("home"), F.col("h.lo").alias("lo"), F.col("h.hi").alias("hi")), "open")
     mixed = open_.groupBy("tok", "cnt").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1").drop("c0", "c1")
     rows = join_counted(open_.drop("cnt"), mixed, ["tok"], "cnt", total)
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
@@ -272,7 +335,8 @@ def links(docs: DataFrame, index: DataFrame, words: int, percent: int) -> DataFr
     blocks = one.join(two, "tok").filter(ordered & sized & room & apart).select("tok", "sc_x", "pb_x", "sc_y", "pb_y")
     x, y = (rows.select("tok", *[F.col(c).alias(f"{c}_{k}") for c in rows.columns if c != "tok"]) for k in "xy")
     allowed = 1 - percent / 100 + 1e-9
-    far = F.coalesce((F.col("home_x") == F.col("home_y")) & (F.abs(F.col("dist_x") - F.col("dist_y")) > allowed), F.lit(False))
+    far = F.greatest(F.col("lo_x") - F.col("hi_y"), F.col("lo_y") - F.col("hi_x")) > allowed
+    far = F.coalesce((F.col("home_x") == F.col("home_y")) & far, F.lit(False))
     once = (F.col("sc_x") < F.col("sc_y")) | (F.col("pb_x") < F.col("pb_y")) | (F.col("id_x") < F.col("id_y"))
     rest = (
         blocks.join(x, ["tok", "sc_x", "pb_x"])
@@ -282,7 +346,7 @@ def links(docs: DataFrame, index: DataFrame, words: int, percent: int) -> DataFr
         .distinct()
     )
     rest = written(rest.join(answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "rest")
-    more = verify(rest, docs, words).filter(similar).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    more = compare(rest, bits, docs, words, percent).filter("similar").select(F.col("a").alias("u"), F.col("b").alias("v"))
     return found.unionByName(more)
 
 
@@ -291,7 +355,7 @@ def jaccard_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFr
     sets = written(prefixes(docs, words, percent), "prefixes")
     real = sets.filter("n > 0 AND id IS NOT NULL")
     classes = written(real.groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("cnt")), "classes")
-    index = real.join(classes, (real["id"] == classes["rep"]) & (real["digest"] == classes["digest"])).select("id", "n", "prefix", real["digest"]).dropDuplicates(["id", "digest"]).drop("digest")
+    index = real.join(classes, (real["id"] == classes["rep"]) & (real["digest"] == classes["digest"])).select("id", "n", "bits", "prefix", real["digest"]).dropDuplicates(["id", "digest"]).drop("digest")
     edges = links(docs, written(index, "index"), words, percent)
     # ids with several texts tie those texts' classes together
     several = real.select("id", "digest").distinct().groupBy("id").count().filter("count > 1").select("id")

@@ -65,6 +65,18 @@ def test_jaccard_groups_brute_force(docs, odd_rows, monkeypatch, seed, words, pe
     assert columns(got, "doc_id", "n_shingles", "component_id") == brute_groups(rows, words, percent)
 
 
+def test_parity_bits_never_exceed_the_difference():
+    rng = np.random.default_rng(5)
+    for size, drop, add in [(1, 0, 1), (2, 1, 5), (60, 3, 9), (64, 0, 0), (65, 30, 1), (900, 40, 300), (5000, 5000, 5000)]:
+        one = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+        two = np.unique(np.concatenate([one[drop:], rng.integers(0, 2**64, add, dtype=np.uint64)]))
+        only = len(np.setxor1d(one, two))
+        least = jaccard.differing(jaccard.parity_bits(one), jaccard.parity_bits(two))
+        assert least <= only and least % 2 == only % 2  # folding and parity keep the remainder
+        assert least == jaccard.differing(jaccard.parity_bits(two), jaccard.parity_bits(one))
+    assert least > 1000  # sets with nothing in common are far apart
+
+
 def test_jaccard_given_table_and_one_per_group(spark, docs, odd_rows):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     want = brute_groups(rows)
