@@ -10,9 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Multiplicative hash constant and moduli of the key-hash split.
-HASH_MULTIPLIER = 2654435761
-HASH_KEY_MODULUS = 2147483648  # 2**31: keeps key * multiplier inside BIGINT
+# Range of the 32 bits that a key hash takes.
 HASH_MODULUS = 4294967296  # 2**32
 
 
@@ -52,20 +50,16 @@ def prefix_int(c: str | Column, sep: str = "S") -> Column:
     return F.get(F.split(_col(c), sep), 1).try_cast("int")
 
 
-def hash_fraction(key: str | Column) -> Column:
-    """Deterministic value in [0, 1) from a key; stable under repartitioning.
+def hash_fraction(key: str | Column, purpose: str) -> Column:
+    """Deterministic value in [0, 1) from a key of any type; stable under repartitioning.
 
-    Integral keys use a multiplicative hash that plain SQL can reproduce;
-    any other key type uses ``xxhash64``.
+    The first 32 bits of ``md5(purpose:key)``, which plain SQL can
+    reproduce. Fractions of different purposes (split, undersample, folds)
+    are independent of each other. A NULL key hashes like an empty text, so
+    its rows land somewhere.
     """
-    k = _col(key)
-    mixed = F.pmod(F.pmod(k.cast("long"), F.lit(HASH_KEY_MODULUS)) * F.lit(HASH_MULTIPLIER), F.lit(HASH_MODULUS))
-    return mixed.cast("double") / F.lit(float(HASH_MODULUS))
-
-
-def hash_fraction_any(key: str | Column) -> Column:
-    """Hash fraction for keys of any type (strings, composites)."""
-    return F.pmod(F.xxhash64(_col(key)), F.lit(HASH_MODULUS)).cast("double") / F.lit(float(HASH_MODULUS))
+    text = F.concat(F.lit(f"{purpose}:"), F.coalesce(_col(key).cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long").cast("double") / F.lit(float(HASH_MODULUS))
 
 
 def letter_share(text: str | Column, n_chars: str | Column | None = None) -> Column:

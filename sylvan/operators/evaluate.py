@@ -20,7 +20,7 @@ from pyspark.ml.evaluation import (
 )
 from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sylvan import names
@@ -30,16 +30,27 @@ from sylvan.functions.columns import safe_ratio
 AUC_BUCKETS = 1024
 
 
-def regression_metrics(df: DataFrame, label: str = names.LABEL, prediction: str = names.PREDICTION) -> DataFrame:
-    """n, RMSE, MSE, MAE and R^2 in one aggregate."""
+def scored(label: str, prediction: str) -> tuple[Column, Column, Column]:
+    """Label, prediction, and whether a row counts.
+
+    One rule for every metric here: rows whose label or prediction is NULL
+    are left out; metrics report how many (``n_skipped``).
+    """
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
+    return y, p, y.isNotNull() & p.isNotNull()
+
+
+def regression_metrics(df: DataFrame, label: str = names.LABEL, prediction: str = names.PREDICTION) -> DataFrame:
+    """n, RMSE, MSE, MAE, R^2 and n_skipped in one aggregate (M11); see ``scored``."""
+    y, p, known = scored(label, prediction)
     err = p - y
     stats = df.agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(err).alias("n"),
         F.avg(err * err).alias("mse"),
         F.avg(F.abs(err)).alias("mae"),
         F.sum(err * err).alias("sse"),
-        F.var_pop(y).alias("var_y"),
+        F.var_pop(F.when(known, y)).alias("var_y"),
+        F.count_if(~known).alias("n_skipped"),
     )
     return stats.select(
         "n",
@@ -47,22 +58,23 @@ def regression_metrics(df: DataFrame, label: str = names.LABEL, prediction: str
         "mse",
         "mae",
         (F.lit(1.0) - safe_ratio(F.col("sse"), F.col("var_y") * F.col("n"))).alias("r2"),
+        "n_skipped",
     )
 
 
 def classification_metrics(
     df: DataFrame, label: str = names.LABEL, prediction: str = names.PREDICTION
 ) -> DataFrame:
-    """n, accuracy and test error = 1 - accuracy (M9)."""
-    hit = F.when(F.col(label).cast("double") == F.col(prediction).cast("double"), 1.0).otherwise(0.0)
-    return df.agg(F.count(F.lit(1)).alias("n"), F.avg(hit).alias("accuracy")).withColumn(
-        "test_error", F.lit(1.0) - F.col("accuracy")
-    )
+    """n, accuracy, test error = 1 - accuracy and n_skipped (M9); see ``scored``."""
+    y, p, known = scored(label, prediction)
+    hit = F.when(known, F.when(y == p, 1.0).otherwise(0.0))
+    stats = df.agg(F.count(hit).alias("n"), F.avg(hit).alias("accuracy"), F.count_if(~known).alias("n_skipped"))
+    return stats.select("n", "accuracy", (F.lit(1.0) - F.col("accuracy")).alias("test_error"), "n_skipped")
 
 
 def confusion(df: DataFrame, label: str = names.LABEL, prediction: str = names.PREDICTION) -> DataFrame:
-    """Rows per (label, prediction) pair (M9)."""
-    return df.groupBy(
+    """Rows per (label, prediction) pair (M9); see ``scored``."""
+    return df.where(scored(label, prediction)[2]).groupBy(
         F.col(label).cast("double").alias("label"), F.col(prediction).cast("double").alias("prediction")
     ).agg(F.count(F.lit(1)).alias("n"))
 
@@ -91,13 +103,15 @@ def auc(df: DataFrame, label: str = names.LABEL, score: str = "score", buckets:
     3. negatives below a score = negatives in earlier buckets + a running
        sum inside its bucket (a window partitioned by bucket).
 
+    Rows with a NULL label or score are left out (see ``scored``).
     Returns a one-row DataFrame (auc, n_pos, n_neg); the work runs when
     this is called.
     """
-    y = F.col(label).cast("double")
+    y, s, known = scored(label, score)
     spark = df.sparkSession
     by_score = (
-        df.groupBy(F.col(score).cast("double").alias("s"))
+        df.where(known)
+        .groupBy(s.alias("s"))
         .agg(
             F.sum(F.when(y == 1.0, 1).otherwise(0)).cast("double").alias("pos"),
             F.sum(F.when(y == 1.0, 0).otherwise(1)).cast("double").alias("neg"),
@@ -154,7 +168,7 @@ def compare_models(predictions: dict[str, DataFrame], kind: str = "regression")
     parts = []
     for name, pred in predictions.items():
         m = regression_metrics(pred) if kind == "regression" else classification_metrics(pred)
-        metric_cols = [c for c in m.columns if c != "n"]
+        metric_cols = [c for c in m.columns if c not in ("n", "n_skipped")]
         parts.append(
             m.select(
                 F.lit(name).alias("model"),

@@ -91,27 +91,30 @@ def quality_report(prof: DataFrame, min_completeness: float = 0.5, max_distinct:
 # Name tokens that mark an identifier column, and the ratio.
 ID_NAME_TOKENS = ("id", "key")
 ID_UNIQUE_RATIO = 0.95
+FRACTIONAL_TYPES = ("FloatType", "DoubleType", "DecimalType")
 
 
 def identifier_columns(prof: DataFrame, total_rows: int | None = None) -> DataFrame:
-    """Flag identifier columns: name contains id/key or distinct/rows > 0.95.
+    """Flag identifier columns: a token of the name is id/key, or distinct/rows > 0.95.
+
+    Tokens are cut at ``_``, other separators and a lower/upper case change
+    (``userId``); ``humidity`` has no such token. Fractional columns are
+    measures: their uniqueness says nothing and marks none of them.
 
     The uniqueness is distinct values over *rows* (the reference divides by
     the completeness ratio, which flags every column). Uses the profile's
     ``nRows`` (or ``total_rows`` for a profile without it).
     """
     rows = F.col("nRows") if "nRows" in prof.columns else F.lit(total_rows)
-    lname = F.lower(F.col("name"))
-    name_hit = None
-    for tok in ID_NAME_TOKENS:
-        hit = lname.contains(tok)
-        name_hit = hit if name_hit is None else (name_hit | hit)
+    tokens = F.split(F.lower(F.regexp_replace("name", r"([\p{Ll}\d])(\p{Lu})", "$1_$2")), r"[^\p{L}\d]+")
+    name_hit = F.arrays_overlap(tokens, F.array(*[F.lit(t) for t in ID_NAME_TOKENS]))
+    fractional = F.col("origType").isin(*FRACTIONAL_TYPES)
     ratio = safe_ratio("nbDistinctValues", rows)
     return prof.select(
         "name",
         ratio.alias("uniqueRatio"),
         name_hit.alias("nameMatch"),
-        (name_hit | F.coalesce(ratio > ID_UNIQUE_RATIO, F.lit(False))).alias("isIdentifier"),
+        (name_hit | (F.coalesce(ratio > ID_UNIQUE_RATIO, F.lit(False)) & ~fractional)).alias("isIdentifier"),
     )
 
 

@@ -7,22 +7,10 @@ with a different partitioning (a seeded ``randomSplit`` does).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylvan.functions.columns import hash_fraction, hash_fraction_any
-
-# Class tables larger than this are refused: a classification target with
-# more classes is almost surely a wrong column.
-MAX_CLASSES = 10_000
-
-
-def _fraction(df: DataFrame, key: str) -> Column:
-    from pyspark.sql.types import IntegralType
-
-    if isinstance(df.schema[key].dataType, IntegralType):
-        return hash_fraction(key)
-    return hash_fraction_any(key)
+from sylvan.functions.columns import hash_fraction
 
 
 def randomize_target(df: DataFrame, target: str, seed: int) -> DataFrame:
@@ -46,7 +34,7 @@ def with_split(
     if len(fractions) != len(labels):
         raise ValueError("one label per fraction")
     total = float(sum(fractions))
-    h = _fraction(df, key)
+    h = hash_fraction(key, "split")
     edge = 0.0
     expr = None
     for frac, label in zip(fractions[:-1], labels[:-1]):
@@ -59,9 +47,9 @@ def with_split(
 def hash_split(
     df: DataFrame, key: str, fractions: tuple[float, ...] = (0.7, 0.3)
 ) -> list[DataFrame]:
-    """Split into disjoint, complete parts by key hash."""
+    """Split into disjoint, complete parts by key hash (T3); rows with a NULL key are in one of them."""
     total = float(sum(fractions))
-    h = _fraction(df, key)
+    h = hash_fraction(key, "split")
     out, lo = [], 0.0
     for i, frac in enumerate(fractions):
         hi = lo + frac / total
@@ -76,35 +64,28 @@ def random_split(df: DataFrame, weights: tuple[float, ...] = (0.7, 0.3), seed: i
     return df.randomSplit(list(weights), seed=seed)
 
 
-def class_counts(df: DataFrame, target: str) -> dict:
-    """Class -> row count, refusing more than MAX_CLASSES classes."""
-    rows = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{target!r} has more than {MAX_CLASSES} classes")
-    return {r[target]: r["n"] for r in rows}
-
+def _with_class_size(df: DataFrame, target: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` with the rows of its class as ``_class_n`` (NULL without a class), and the table of classes.
 
-def _class_map(values: dict) -> Column:
-    pairs = []
-    for k, v in values.items():
-        if k is not None:
-            pairs += [F.lit(k), F.lit(float(v))]
-    return F.create_map(*pairs)
+    Any number of classes: the class table is joined, and the optimizer
+    broadcasts it only where its size in bytes allows.
+    """
+    classes = df.where(F.col(target).isNotNull()).groupBy(F.col(target).alias("_class")).agg(F.count(F.lit(1)).alias("_class_n"))
+    return df.join(classes, F.col(target) == F.col("_class"), "left").drop("_class"), classes
 
 
-def undersample(df: DataFrame, target: str, key: str, counts: dict | None = None) -> DataFrame:
+def undersample(df: DataFrame, target: str, key: str) -> DataFrame:
     """True rebalancing by undersampling.
 
     Every class keeps about as many rows as the smallest class: a row of
     class c is kept when its key hash is below min_count / count(c). The
-    choice depends only on the key, so it is reproducible and SQL-checkable.
-    The per-class fractions are a small literal map (no join, no shuffle).
+    choice depends only on the key, so it is reproducible and SQL-checkable,
+    and it is independent of the split and the folds. Rows without a class
+    are dropped.
     """
-    counts = counts or class_counts(df, target)
-    counts = {k: v for k, v in counts.items() if k is not None}
-    smallest = min(counts.values())
-    keep = _class_map({k: smallest / v for k, v in counts.items()})
-    return df.where(_fraction(df, key) < keep[F.col(target)])
+    sized, classes = _with_class_size(df, target)
+    smallest = classes.agg(F.min("_class_n")).first()[0]
+    return sized.where(hash_fraction(key, "undersample") < F.lit(smallest).cast("double") / F.col("_class_n")).drop("_class_n")
 
 
 def stratified_sample(df: DataFrame, target: str, fractions: dict, seed: int = 42) -> DataFrame:
@@ -112,14 +93,11 @@ def stratified_sample(df: DataFrame, target: str, fractions: dict, seed: int = 4
     return df.sampleBy(target, fractions, seed)
 
 
-def with_class_weights(df: DataFrame, target: str, col: str = "weight", counts: dict | None = None) -> DataFrame:
-    """Add balanced class weights n / (k * n_c) as a weight column."""
-    counts = counts or class_counts(df, target)
-    counts = {k: v for k, v in counts.items() if k is not None}
-    total = float(sum(counts.values()))
-    k = len(counts)
-    weights = _class_map({c: total / (k * n) for c, n in counts.items()})
-    return df.withColumn(col, weights[F.col(target)])
+def with_class_weights(df: DataFrame, target: str, col: str = "weight") -> DataFrame:
+    """Add balanced class weights n / (k * n_c) as a weight column (T2); NULL without a class."""
+    sized, classes = _with_class_size(df, target)
+    total, k = classes.agg(F.sum("_class_n"), F.count(F.lit(1))).first()
+    return sized.withColumn(col, F.lit(total).cast("double") / (F.lit(k) * F.col("_class_n"))).drop("_class_n")
 
 
 def head(df: DataFrame, n: int) -> DataFrame:

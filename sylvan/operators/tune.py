@@ -13,7 +13,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvan.functions.columns import hash_fraction, hash_fraction_any
+from sylvan.functions.columns import hash_fraction
 
 
 def param_grid(estimator, grid: dict[str, list]) -> list:
@@ -25,10 +25,8 @@ def param_grid(estimator, grid: dict[str, list]) -> list:
 
 
 def with_folds(df: DataFrame, key: str, folds: int, col: str = "fold") -> DataFrame:
-    """Fold number 0..folds-1 from the key hash."""
-    from pyspark.sql.types import IntegralType
-
-    h = hash_fraction(key) if isinstance(df.schema[key].dataType, IntegralType) else hash_fraction_any(key)
+    """Fold number 0..folds-1 from the key hash (independent of the split's)."""
+    h = hash_fraction(key, "fold")
     return df.withColumn(col, F.least(F.floor(h * folds), F.lit(folds - 1)).cast("int"))
 
 

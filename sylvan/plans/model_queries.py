@@ -117,6 +117,34 @@ def rmse_mae_r2(spark, sf_dir):
     return m.select("n", *[r6(c).alias(c) for c in ("rmse", "mse", "mae", "r2")])
 
 
+@query(
+    "metrics_null_labels",
+    """
+    WITH p AS (SELECT l.quality::DOUBLE AS label, d.n_chars::DOUBLE AS score, (d.n_chars >= 1000)::INTEGER::DOUBLE AS prediction
+               FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+    k AS (SELECT * FROM p WHERE label IS NOT NULL),
+    g AS (SELECT score AS s, sum(label) AS pos, sum(1 - label) AS neg FROM k GROUP BY 1),
+    r AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g)
+    SELECT count(*) AS n, (SELECT count(*) FROM p WHERE label IS NULL) AS n_skipped,
+           round(avg((label = prediction)::INTEGER), 6) AS accuracy,
+           round(sqrt(avg((prediction - label) ^ 2)), 6) AS rmse,
+           round(1 - sum((prediction - label) ^ 2) / (var_pop(label) * count(*)), 6) AS r2,
+           (SELECT round(sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)), 6) FROM r) AS auc
+    FROM k
+    """,
+)
+def metrics_null_labels(spark, sf_dir):
+    """M9-M11 where most labels are NULL: those rows are left out and counted."""
+    p = docs_with_labels(spark, sf_dir).select(
+        F.col("quality").cast("double").alias(names.LABEL),
+        F.col("n_chars").cast("double").alias("score"),
+        (F.col("n_chars") >= 1000).cast("double").alias(names.PREDICTION),
+    )
+    acc = EV.classification_metrics(p).select("n", "n_skipped", r6("accuracy").alias("accuracy"))
+    reg = EV.regression_metrics(p).select("n", *[r6(c).alias(c) for c in ("rmse", "r2")])
+    return acc.join(reg, "n").join(F.broadcast(EV.auc(p).select("n_pos", "n_neg", r6("auc").alias("auc"))), F.expr("n = n_pos + n_neg")).drop("n_pos", "n_neg")
+
+
 @query(
     "rule_compare",
     f"""
@@ -428,7 +456,7 @@ def classification_workflow(spark, sf_dir):
     """Classification end to end: profile the labelled documents' signals, pick columns
     from the profile (text < 32 values, numeric, identifiers out), split by
     key hash, fit features on train, entropy tree, accuracy and AUC on test."""
-    df = _doc_frame(spark, sf_dir)
+    df = _doc_frame(spark, sf_dir).drop("toxic")  # the other label: unlabelled documents have none
     res = profile_driven_flow(df, "quality", "doc_id", "classification", "dt", 31, impurity="entropy")
     summary = _summary(res.predictions).unionByName(
         spark.createDataFrame(

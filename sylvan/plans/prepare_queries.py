@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from sylvan.operators import derive as D
 from sylvan.operators import score as SC
 from sylvan.operators import target as TG
+from sylvan.operators.tune import with_folds
 from sylvan.plans.registry import docs_with_labels, query, r6, table
 
 # SQL form of the key-hash fraction in sylvan.functions.columns.hash_fraction.
-HASH_SQL = "(((({k} % 2147483648) * 2654435761) % 4294967296)::DOUBLE / 4294967296::DOUBLE)"
+HASH_SQL = "(('0x' || substr(md5('{p}:' || coalesce({k}::VARCHAR, '')), 1, 8))::BIGINT::DOUBLE / 4294967296::DOUBLE)"
 
 
 @query(
@@ -162,7 +163,7 @@ def impute_text_mode(spark, sf_dir):
 @query(
     "hash_split",
     f"""
-    SELECT o_orderkey, CASE WHEN {HASH_SQL.format(k='o_orderkey')} < 0.7 THEN 'train' ELSE 'test' END AS split
+    SELECT o_orderkey, CASE WHEN {HASH_SQL.format(p='split', k='o_orderkey')} < 0.7 THEN 'train' ELSE 'test' END AS split
     FROM orders
     """,
 )
@@ -174,7 +175,7 @@ def hash_split(spark, sf_dir):
 @query(
     "hash_split_counts",
     f"""
-    SELECT CASE WHEN {HASH_SQL.format(k='o_orderkey')} < 0.7 THEN 'train' ELSE 'test' END AS split, count(*) AS n
+    SELECT CASE WHEN {HASH_SQL.format(p='split', k='o_orderkey')} < 0.7 THEN 'train' ELSE 'test' END AS split, count(*) AS n
     FROM orders GROUP BY 1
     """,
 )
@@ -191,7 +192,7 @@ def hash_split_counts(spark, sf_dir):
     f"""
     WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY 1)
     SELECT l.doc_id, l.quality FROM labels l JOIN c ON l.quality = c.quality
-    WHERE {HASH_SQL.format(k='l.doc_id')} < (SELECT min(n) FROM c)::DOUBLE / c.n
+    WHERE {HASH_SQL.format(p='undersample', k='l.doc_id')} < (SELECT min(n) FROM c)::DOUBLE / c.n
     """,
 )
 def undersample(spark, sf_dir):
@@ -199,6 +200,50 @@ def undersample(spark, sf_dir):
     return TG.undersample(table(spark, sf_dir, "labels"), "quality", "doc_id").select("doc_id", "quality")
 
 
+@query(
+    "undersample_then_split",
+    f"""
+    WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY 1)
+    SELECT l.quality, CASE WHEN {HASH_SQL.format(p='split', k='l.doc_id')} < 0.7 THEN 'train' ELSE 'test' END AS split,
+           count(*) AS n
+    FROM labels l JOIN c ON l.quality = c.quality
+    WHERE {HASH_SQL.format(p='undersample', k='l.doc_id')} < (SELECT min(n) FROM c)::DOUBLE / c.n
+    GROUP BY ALL
+    """,
+)
+def undersample_then_split(spark, sf_dir):
+    """T2 and T3 together: classes per part after undersampling; either choice has a hash of its own."""
+    kept = TG.undersample(table(spark, sf_dir, "labels"), "quality", "doc_id")
+    return TG.with_split(kept, "doc_id").groupBy("quality", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "folds_on_train",
+    f"""
+    SELECT least(floor({HASH_SQL.format(p='fold', k='o_orderkey')} * 5), 4)::INTEGER AS fold, count(*) AS n
+    FROM orders WHERE {HASH_SQL.format(p='split', k='o_orderkey')} < 0.7 GROUP BY ALL
+    """,
+)
+def folds_on_train(spark, sf_dir):
+    """T3 and M14 together: fold sizes inside the train part."""
+    train, _ = TG.hash_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
+    return with_folds(train, "o_orderkey", 5).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "split_null_keys",
+    f"""
+    SELECT CASE WHEN {HASH_SQL.format(p='split', k='l.quality')} < 0.7 THEN 'train' ELSE 'test' END AS split, count(*) AS n
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY ALL
+    """,
+)
+def split_null_keys(spark, sf_dir):
+    """T3 on a key with NULLs: the parts add up to all rows."""
+    parts = TG.hash_split(docs_with_labels(spark, sf_dir).select("quality"), "quality")
+    counted = [p.select(F.lit(n).alias("split")) for n, p in zip(("train", "test"), parts)]
+    return counted[0].unionByName(counted[1]).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "class_weights",
     """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from sylvan.operators import profile as P
 from sylvan.operators import select as S
 from sylvan.plans.registry import docs_with_labels, query, r6, table
@@ -298,22 +300,53 @@ def quality_report(spark, sf_dir):
     return rep.select("name", r6("compRatio").alias("compRatio"), "nbDistinctValues", "incomplete", "highCardinality")
 
 
-@query(
-    "detect_identifiers",
-    "SELECT name, round(d::DOUBLE / n, 6) AS uniqueRatio, "
-    "(lower(name) LIKE '%id%' OR lower(name) LIKE '%key%') AS nameMatch, "
-    "(lower(name) LIKE '%id%' OR lower(name) LIKE '%key%' OR d::DOUBLE / n > 0.95) AS isIdentifier FROM ("
-    + " UNION ALL ".join(
-        f"SELECT '{c}' AS name, (SELECT count(*) FROM (SELECT DISTINCT {c} FROM orders)) AS d, "
-        f"(SELECT count(*) FROM orders) AS n"
-        for c, *_ in ORDERS_COLUMNS
+def _identifier_sql(src: str, cols: list[tuple[str, bool]]) -> str:
+    """``cols``: names, and whether the type is fractional."""
+    tokens = r"regexp_split_to_array(lower(regexp_replace(name, '([\p{Ll}\d])(\p{Lu})', '\1_\2', 'g')), '[^\p{L}\d]+')"
+    rows = " UNION ALL ".join(
+        f"SELECT '{c}' AS name, {fractional} AS fractional, (SELECT count(*) FROM (SELECT DISTINCT {c} FROM t)) AS d, "
+        f"(SELECT count(*) FROM t) AS n"
+        for c, fractional in cols
     )
-    + ")",
-)
+    return (
+        f"WITH t AS {src}, p AS (SELECT *, list_has_any({tokens}, ['id', 'key']) AS named FROM ({rows})) "
+        "SELECT name, round(d::DOUBLE / n, 6) AS uniqueRatio, named AS nameMatch, "
+        "(named OR (d::DOUBLE / n > 0.95 AND NOT fractional)) AS isIdentifier FROM p"
+    )
+
+
+def _identifiers_out(df):
+    ids = S.identifier_columns(P.profile(df))
+    return ids.select("name", r6("uniqueRatio").alias("uniqueRatio"), "nameMatch", "isIdentifier")
+
+
+@query("detect_identifiers", _identifier_sql("(SELECT * FROM orders)", [(c, c == "o_totalprice") for c, *_ in ORDERS_COLUMNS]))
 def detect_identifiers(spark, sf_dir):
     """Identifier columns by name token or uniqueness over rows."""
-    ids = S.identifier_columns(P.profile(table(spark, sf_dir, "orders")))
-    return ids.select("name", r6("uniqueRatio").alias("uniqueRatio"), "nameMatch", "isIdentifier")
+    return _identifiers_out(table(spark, sf_dir, "orders"))
+
+
+@query(
+    "detect_identifiers_names",
+    _identifier_sql(
+        "(SELECT doc_id, source AS userKey, lang AS paid_by, n_chars AS width, doc_id AS number, doc_id / 7.0::DOUBLE AS humidity "
+        "FROM documents)",
+        [("doc_id", False), ("userKey", False), ("paid_by", False), ("width", False), ("number", False), ("humidity", True)],
+    ),
+)
+def detect_identifiers_names(spark, sf_dir):
+    """``id`` inside a word (width, paid, humidity) is no name token; a unique measure is no identifier."""
+    d = table(spark, sf_dir, "documents")
+    return _identifiers_out(
+        d.select(
+            "doc_id",
+            F.col("source").alias("userKey"),
+            F.col("lang").alias("paid_by"),
+            F.col("n_chars").alias("width"),
+            F.col("doc_id").alias("number"),
+            (F.col("doc_id") / 7.0).alias("humidity"),
+        )
+    )
 
 
 @query(

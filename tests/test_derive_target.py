@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from sylvan.functions.columns import date_parts, prefix_int
 from sylvan.operators import derive as D
 from sylvan.operators import target as TG
+from sylvan.operators import tune as TU
 
 
 def test_imputer_strategies(spark):
@@ -83,6 +84,32 @@ def test_hash_split_disjoint_complete_stable(spark):
     assert labelled.where("split = 'train'").count() == n_train
 
 
+def test_choices_by_key_hash_are_independent(spark):
+    df = spark.range(0, 40000, 8).select(F.col("id").alias("k"), F.expr("CASE WHEN id % 5 = 0 THEN 'x' ELSE 'y' END").alias("y"))
+    kept = TG.undersample(df, "y", "k")
+    n = {(r["y"], r["split"]): r["count"] for r in TG.with_split(kept, "k").groupBy("y", "split").count().collect()}
+    assert n["x", "train"] + n["x", "test"] == 1000
+    assert all(abs(n[y, "train"] / (n[y, "train"] + n[y, "test"]) - 0.7) < 0.06 for y in "xy")
+    train, _ = TG.hash_split(df, "k")
+    folds = [r["count"] for r in TU.with_folds(train, "k", 5).groupBy("fold").count().collect()]
+    assert len(folds) == 5 and max(folds) < 1.2 * min(folds)
+
+
+def test_hash_split_keeps_null_keys(spark):
+    for kind in ("int", "string", "double"):
+        df = spark.createDataFrame([("1",), (None,), ("2",), (None,)], "k string").select(F.col("k").cast(kind))
+        assert sum(p.count() for p in TG.hash_split(df, "k")) == 4
+        assert TG.with_split(df, "k").where("split IS NULL").count() == 0
+
+
+def test_many_classes(spark):
+    df = spark.range(20002).select(F.col("id").alias("k"), (F.col("id") % 10001).alias("y"))
+    assert TG.undersample(df, "y", "k").count() == 20002
+    assert TG.with_class_weights(df, "y").agg(F.sum("weight")).first()[0] == pytest.approx(20002)
+    none = df.where("false")
+    assert TG.undersample(none, "y", "k").count() == 0 and TG.with_class_weights(none, "y").count() == 0
+
+
 def test_hash_split_string_keys(spark):
     df = spark.range(0, 1000).select(F.col("id").cast("string").alias("k"))
     a, b = TG.hash_split(df, "k")

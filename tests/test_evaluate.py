@@ -63,3 +63,13 @@ def test_compare_models_long_table(spark):
     df = spark.createDataFrame([(1.0, 1.5), (2.0, 2.0)], "label double, prediction double")
     out = EV.compare_models({"a": df, "b": df}, "regression")
     assert out.count() == 8 and set(out.columns) == {"model", "metric", "value"}
+
+
+def test_null_labels_and_scores_are_left_out(spark):
+    rows = [(1.0, 0.9, 1.0), (0.0, 0.1, 0.0), (None, 0.95, 1.0), (None, 0.99, 1.0), (1.0, 0.5, 0.0), (0.0, None, None)]
+    df = spark.createDataFrame(rows, "label double, score double, prediction double")
+    assert EV.auc(df, "label", "score").first().asDict() == {"auc": 1.0, "n_pos": 2, "n_neg": 1}
+    c, r = EV.classification_metrics(df).first(), EV.regression_metrics(df).first()
+    assert (c["n"], c["n_skipped"], r["n"], r["n_skipped"]) == (3, 3, 3, 3)
+    assert c["accuracy"] == pytest.approx(2 / 3) and r["r2"] == pytest.approx(1 - 1 / (2 / 3))
+    assert sum(x["n"] for x in EV.confusion(df).collect()) == 3
