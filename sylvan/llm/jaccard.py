@@ -170,9 +170,10 @@ def prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return _texts(docs).mapInArrow(run, "id long, n long, digest binary, bits binary, prefix array<long>")
 
 
-def picked(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose ``id`` is in ``ids``; a shuffle of the rows only where the ids are too many to broadcast."""
-    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+def picked(rows: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows whose ``id`` is in ``ids`` (``left_anti``: is not); a shuffle of the rows only where the ids are too
+    many to broadcast."""
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", how)
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -369,14 +370,12 @@ def jaccard_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFr
 
 def one_per_group(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """The document of the smallest id of each group; of rows that share it, the one whose text sorts first."""
-    chosen = jaccard_groups(docs, words, percent).filter("doc_id = component_id").select(F.col("doc_id").alias("_c")).distinct()
-    kept = docs.select(whole_row(docs).alias("_row"), F.col("doc_id").cast("long").alias("_d"), F.col("text").alias("_t"))
-    nulls = unpack(kept.filter(F.col("_d").isNull()).select("_row"))
-    kept = kept.join(chosen, F.col("_d") == F.col("_c"), "left_semi")
-    best = kept.groupBy("_d").agg(F.min("_t").alias("_m"), F.count(F.lit(1)).alias("_n"))
-    again = best.filter("_n > 1").select(F.col("_d").alias("_e"), "_m")
+    groups = written(jaccard_groups(docs, words, percent).select("doc_id", "component_id"), "groups")
+    gone = written(groups.filter("doc_id != component_id").select(F.col("doc_id").alias("id")).distinct(), "gone")
+    again = written(groups.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("id")).count().filter("count > 1").select("id"), "again")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), whole_row(docs).alias("_row"))
+    single = picked(rows, gone.unionByName(again), "left_anti")
     # ids are unique but for a fault in the input, so the side of repeated ids is as good as empty
-    out = kept.join(again, F.col("_d") == F.col("_e"), "left")
-    single = unpack(out.filter(F.col("_e").isNull()).select("_row"))
-    repeated = out.filter(F.col("_e").isNotNull() & F.col("_t").eqNullSafe(F.col("_m"))).groupBy("_d").agg(F.first("_row").alias("_row"))
-    return single.unionByName(unpack(repeated.select("_row"))).unionByName(nulls)
+    text = F.col("_row.text")
+    repeated = picked(rows, again).groupBy("id").agg(F.min_by("_row", F.struct(text.isNull(), text)).alias("_row"))
+    return unpack(single.select("_row")).unionByName(unpack(repeated.select("_row")))
