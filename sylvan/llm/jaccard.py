@@ -368,8 +368,11 @@ def jaccard_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFr
     return linked.select("id", "n", "component_id").unionByName(alone).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
 
 
-def one_per_group(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
-    """The document of the smallest id of each group; of rows that share it, the one whose text sorts first."""
+def one_per_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The document of the smallest id of each group; of rows that share it, the one whose text sorts first.
+
+    Near duplicates here are sets of five-word shingles with a similarity of 0.8 or more.
+    """
     groups = written(jaccard_groups(docs, words, percent).select("doc_id", "component_id"), "groups")
     gone = written(groups.filter("doc_id != component_id").select(F.col("doc_id").alias("id")).distinct(), "gone")
     again = written(groups.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("id")).count().filter("count > 1").select("id"), "again")
