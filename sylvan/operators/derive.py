@@ -7,6 +7,9 @@ fitted step is imputation, whose fitted state is one value per column.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.ml.feature import Bucketizer, Imputer, ImputerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,11 +17,9 @@ from pyspark.sql import types as T
 
 from sylvan.functions.columns import date_parts, prefix_int
 
-# Joins whose lookup side has at most this many rows are broadcast.
-DEFAULT_BROADCAST_ROWS = 500_000
-# A join key holding more than this share of the rows is split over salts.
-HOT_KEY_SHARE = 0.01
-HOT_KEY_SALTS = 32
+# Keys with more rows are hot; at most so many of them are broadcast with their lookup rows.
+HOT_KEY_ROWS = 1_000_000
+HOT_KEYS = 1000
 
 
 def with_date_parts(
@@ -152,9 +153,11 @@ def impute_text_mode(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.fillna(fills) if fills else df
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def check_unique(lookup: DataFrame, keys: list[str]) -> None:
+    """Raise when a key of ``lookup`` occurs twice: an enrichment must not multiply rows (NULL keys match nothing)."""
+    twice = lookup.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"the lookup has several rows for one value of {', '.join(keys)}")
 
 
 def lookup_join(
@@ -162,76 +165,48 @@ def lookup_join(
     lookup: DataFrame,
     on: str | list[str],
     how: str = "left",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     assume_small: bool = False,
-    split_hot_keys: bool = True,
-    hot_share: float = HOT_KEY_SHARE,
-    salts: int = HOT_KEY_SALTS,
+    split_hot_keys: bool = False,
+    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """Enrich ``df`` with columns of ``lookup``.
-
-    The lookup side is broadcast only when it is proven small: either the
-    caller knows it has a fixed size (``assume_small``, e.g. a 25-row
-    nation table) or a bounded count finds at most ``max_broadcast_rows``
-    rows. Otherwise it is a shuffle join, and keys holding more than
-    ``hot_share`` of the rows of ``df`` are split over ``salts`` tasks
-    (see :func:`salted_join`); AQE's skew handling comes on top.
-    """
-    small = assume_small or bounded_rows(lookup, max_broadcast_rows)
-    if small:
-        return df.join(F.broadcast(lookup), on, how)
-    if not split_hot_keys:
-        return df.join(lookup, on, how)
-    return salted_join(df, lookup, on, how, hot_share=hot_share, salts=salts)
-
-
-def hot_keys(df: DataFrame, on: list[str], hot_share: float = HOT_KEY_SHARE) -> list[tuple]:
-    """Keys holding more than ``hot_share`` of the rows (at most 1/hot_share keys).
+    """Enrich ``df`` with columns of ``lookup`` (J1), whose keys must be unique.
 
-    One aggregation over the key columns (partial aggregation map-side).
-    """
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n")).first()[0] or 0
-    limit = int(1 / hot_share) + 1
-    rows = counts.where(F.col("__n") > F.lit(hot_share * total)).limit(limit).collect()
-    return [tuple(r[c] for c in on) for r in rows]
-
-
-def salted_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    on: str | list[str],
-    how: str = "left",
-    hot: list[tuple] | None = None,
-    hot_share: float = HOT_KEY_SHARE,
-    salts: int = HOT_KEY_SALTS,
-) -> DataFrame:
-    """Equi-join that spreads hot keys of ``df`` over ``salts`` tasks; exact.
-
-    Rows of ``df`` with a hot key get a salt 0..salts-1 from a hash of the
-    whole row (deterministic, so a recomputed task after a lost executor
-    gives the same salt); every other row gets salt 0. The lookup rows of
-    a hot key are repeated once per salt, the others kept once. Joining on
-    (key, salt) therefore returns exactly the rows of the plain join, with
-    each hot key's rows cut into ``salts`` pieces. Only ``df``'s side may
-    be the preserved side (inner, left, left semi/anti).
+    The optimizer broadcasts the lookup by its bytes or shuffles; a hint is
+    given only for tables the caller knows to be of fixed size
+    (``assume_small``, e.g. a 25-row nation table). ``split_hot_keys`` is for
+    lookups too large to broadcast whole: see :func:`hot_key_join`.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if how not in ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "left_anti", "leftanti"):
-        raise ValueError(f"salted_join keeps the left side only, not {how!r}")
-    hot = hot_keys(df, keys, hot_share) if hot is None else hot
-    if not hot:
-        return df.join(lookup, keys, how)
-    key_struct = F.struct(*[F.col(c) for c in keys])
-    hot_set = F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(k, keys)]) for k in hot])
-    is_hot = F.array_contains(hot_set, key_struct)
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))).otherwise(F.lit(0))
-    left = df.withColumn("__salt", salt.cast("int"))
-    right = lookup.withColumn(
-        "__salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
-    )
-    return left.join(right, keys + ["__salt"], how).drop("__salt")
-
-
-def numeric_types(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"lookup_join keeps the left side only, not {how!r}")
+    if how in ("left_semi", "left_anti"):
+        lookup = lookup.select(*keys).distinct()
+    else:
+        check_unique(lookup, keys)
+    if assume_small:
+        return df.join(F.broadcast(lookup), keys, how)
+    return hot_key_join(df, lookup, keys, how, hot_rows) if split_hot_keys else df.join(lookup, keys, how)
+
+
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """The keys with more than ``hot_rows`` rows, at most the ``HOT_KEYS`` most frequent: no other
+    key holds more than 1/``HOT_KEYS`` of the rows. One aggregation, combined map-side."""
+    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
+    top = counts.orderBy(F.desc("__n"), *keys).limit(HOT_KEYS).select(*keys)
+    return df.sparkSession.createDataFrame(top.collect(), top.schema)  # at most HOT_KEYS rows
+
+
+def hot_key_join(df: DataFrame, lookup: DataFrame, keys: list[str], how: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Equi-join with a lookup of unique keys in which hot keys never meet in one task; exact.
+
+    The hot keys are at most ``HOT_KEYS``, and so are their lookup rows:
+    these are broadcast, and the rows of ``df`` with such a key stay where
+    they are, as do those with a NULL key, which match nothing. All other
+    rows are joined as the optimizer sees fit; none of their keys is hot.
+    """
+    hot = hot_keys(df, keys, hot_rows)
+    marked = df.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), keys, "left")
+    null_key = functools.reduce(operator.or_, [F.col(c).isNull() for c in keys])
+    apart = F.col("__hot").isNotNull() | null_key
+    stay = marked.filter(apart).drop("__hot").join(F.broadcast(lookup.join(F.broadcast(hot), keys, "left_semi")), keys, how)
+    return stay.unionByName(marked.filter(~apart).drop("__hot").join(lookup, keys, how))

@@ -63,12 +63,15 @@ def test_range_filter_inclusive_bounds(spark):
     assert D.where_sql(df, "y between 1911 and 2019").count() == 2
 
 
-def test_lookup_join_broadcasts_only_small_sides(spark):
+def test_lookup_join_keeps_rows_and_refuses_repeated_keys(spark):
     big = spark.range(100).withColumnRenamed("id", "k")
     small = spark.range(10).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
-    out = D.lookup_join(big, small, "k", max_broadcast_rows=20)
-    assert out.count() == 100 and out.where("v is null").count() == 90
-    assert D.bounded_rows(small, 10) and not D.bounded_rows(small, 9)
+    for options in ({}, {"assume_small": True}, {"split_hot_keys": True}):
+        out = D.lookup_join(big, small, "k", **options)
+        assert out.count() == 100 and out.where("v is null").count() == 90
+        with pytest.raises(ValueError):
+            D.lookup_join(big, small.union(small), "k", **options)
+    assert D.lookup_join(big, small.union(small), "k", "left_semi").count() == 10
 
 
 def test_hash_split_disjoint_complete_stable(spark):
@@ -142,29 +145,16 @@ def test_year_range_filter_pushable(spark):
     assert D.year_range_filter(df, "t", 1995, 1999).count() == 2
 
 
-@pytest.mark.parametrize("how", ["left", "inner", "left_anti"])
-def test_salted_join_equals_plain_join(spark, how):
-    # key 1 holds a third of the big side; key 7 has no lookup row
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+@pytest.mark.parametrize("hot_rows", [0, 150, 10**9])
+def test_hot_key_join_equals_plain_join(spark, how, hot_rows):
+    # key 1 holds a third of the big side; key 7 has no lookup row; some keys are NULL
     big = spark.createDataFrame(
-        [(i, 1 if i % 3 == 0 else (7 if i % 11 == 0 else i % 5)) for i in range(600)], "id long, k long"
+        [(i, 1 if i % 3 == 0 else None if i % 13 == 0 else 7 if i % 11 == 0 else i % 5) for i in range(600)], "id long, k long"
     )
-    lookup = spark.createDataFrame([(k, f"v{k}") for k in range(6)], "k long, v string")
-    assert D.hot_keys(big, ["k"], 0.2) == [(1,)]
-    salted = D.salted_join(big, lookup, "k", how, hot_share=0.2, salts=8)
+    lookup = spark.createDataFrame([(k, f"v{k}") for k in range(6)] + [(None, "x"), (None, "y")], "k long, v string")
+    split = D.lookup_join(big, lookup, "k", how, split_hot_keys=True, hot_rows=hot_rows)
     plain = big.join(lookup, "k", how)
-    assert sorted(salted.collect()) == sorted(plain.select(*salted.columns).collect())
-
-
-def test_lookup_join_large_side_uses_salting(spark):
-    big = spark.createDataFrame([(i, i % 2) for i in range(100)], "id long, k long")
-    lookup = spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
-    out = D.lookup_join(big, lookup, "k", max_broadcast_rows=1, hot_share=0.3)
-    assert out.count() == 100 and out.where("v is null").count() == 0
-
-
-def test_salted_join_independent_of_partitioning(spark):
-    big = spark.createDataFrame([(i, 1 if i % 2 else i % 9) for i in range(400)], "id long, k long")
-    lookup = spark.createDataFrame([(k, f"v{k}") for k in range(9)], "k long, v string")
-    a = D.salted_join(big, lookup, "k", "left", hot=[(1,)], salts=4).collect()
-    b = D.salted_join(big.repartition(7), lookup.repartition(3), "k", "left", hot=[(1,)], salts=4).collect()
-    assert sorted(a) == sorted(b) and len(a) == 400
+    assert sorted(split.collect(), key=repr) == sorted(plain.select(*split.columns).collect(), key=repr)
+    if hot_rows == 150:
+        assert [tuple(r) for r in D.hot_keys(big, ["k"], hot_rows).collect()] == [(1,)]
