@@ -47,11 +47,10 @@ def main():
     from sylvan.operators import features as FT
     from sylvan.operators import models as M
     from sylvan.operators import profile as P
-    from sylvan.plans.flows import cached_training_set
     from sylvan.plans.registry import QUERIES, load_all
     from sylvan.sources.tables import read_table
 
-    extra = {"spark.driver.memory": "20g"}
+    extra = {"spark.driver.memory": "8g"}
     if os.environ.get("BENCH_EVENTLOG"):
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENTLOG"]})
     spark = get_session(app="sylvan-bench", master=f"local[{CPUS}]", shuffle_partitions=max(8, CPUS), extra=extra)
@@ -75,7 +74,7 @@ def main():
     def encoded(key, auto):
         if key not in state:
             feats = auto.pipeline.fit(spread_lineitem)
-            state[key] = cached_training_set(FT.encode(feats, spread_lineitem, auto))
+            state[key] = FT.encode(feats, spread_lineitem, auto).persist()
         return state[key]
 
     items = {

@@ -62,37 +62,19 @@ def document_features(docs: DataFrame) -> DataFrame:
     )
 
 
-# Below this many rows per task, spreading costs more in scheduling than it saves.
-MIN_ROWS_PER_PARTITION = 50_000
-
-
-def cached_training_set(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Persist the model input; spread it first if it is too coarse.
-
-    Tree induction makes one pass over the input per level (per tree for
-    ensembles), so the input is cached. After materialising, the row and
-    partition counts are known without recomputation; only an input with
-    fewer partitions than the parallelism and enough rows to share out
-    (i.e. a mid-sized one) is repartitioned. Large inputs already have
-    enough partitions and are left alone.
+def placed(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """The rows in ``partitions`` partitions (default: ``spark.sql.shuffle.partitions``), placed and ordered by
+    their hash (P11).
+
+    Bagging draws per partition in row order, so forests and boosted trees
+    would otherwise change with the input's splits. The number is a
+    parameter of the result: equal for equal rows, columns and ``partitions``,
+    however the input is dealt and whatever the number of cores or rows.
+    ``key`` is unique, so no hash holds many rows.
     """
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = cached.count()
-    parts = cached.rdd.getNumPartitions()
-    fair = max(1, rows // MIN_ROWS_PER_PARTITION)
-    target = min(min_partitions or df.sparkSession.sparkContext.defaultParallelism, fair)
-    if parts < target:
-        resized = cached.repartition(target)
-    elif parts > 4 * fair and parts > target:
-        # Cached plans keep the session's shuffle partition count (AQE does
-        # not coalesce them): merge tiny partitions without a shuffle.
-        resized = cached.coalesce(max(target, fair))
-    else:
-        return cached
-    resized = resized.persist(StorageLevel.MEMORY_AND_DISK)
-    resized.count()
-    cached.unpersist()
-    return resized
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    h = F.xxhash64(*[F.col(c) for c in df.columns])
+    return df.repartition(n, h).sortWithinPartitions(h, key)
 
 
 def needed_bins(features: PipelineModel, floor: int = 32, skip_cols: tuple[str, ...] = ()) -> int:
@@ -130,10 +112,13 @@ def supervised_flow(
     handle_invalid: str = "keep",
     seed: int = M.DEFAULT_SEED,
     train_fraction: float = 0.7,
+    partitions: int | None = None,
     **params,
 ) -> FlowResult:
     """Split by key hash, fit features on train, fit a model, predict test.
 
+    The model's input is placed by row hash over ``partitions`` (see :func:`placed`).
+
     The shared checkpoint folder is set on the context (if the cluster has
     not already), so iterative fits such as GBT checkpoint their state every
     ``checkpointInterval`` rounds instead of growing one long lineage.
@@ -143,11 +128,11 @@ def supervised_flow(
     # (regexes over whole texts, tokens) are then computed once, not once
     # per fit, encode and metric pass.
     cols = list(dict.fromkeys([key, target] + list(text_cols) + list(numeric_cols)))
-    base = df.select(*cols).where(F.col(target).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    base = placed(df.select(*cols).where(F.col(target).isNotNull()), key, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     train, test = TG.hash_split(base, key, (train_fraction, 1.0 - train_fraction))
     auto = FT.auto_pipeline(text_cols, numeric_cols, target, kind, max_categories, handle_invalid)
     feats = auto.pipeline.fit(train)
-    enc_train = cached_training_set(FT.encode(feats, train, auto))
+    enc_train = FT.encode(feats, train, auto).persist(StorageLevel.MEMORY_AND_DISK)
     skip = (auto.indexed_target,) if auto.indexed_target else ()
     params["maxBins"] = needed_bins(feats, params.get("maxBins", 32), skip)
     if algo == "lr":

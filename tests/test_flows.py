@@ -1,8 +1,7 @@
 """End-to-end flows on the driver tables: signal, column choice, cache release."""
 
-from sylvan import names
 from sylvan.operators import evaluate as EV
-from sylvan.plans.flows import cached_training_set, document_features, profile_driven_flow
+from sylvan.plans.flows import document_features, placed, profile_driven_flow, supervised_flow
 from sylvan.plans.registry import labeled_docs
 
 from conftest import SF_ORACLE
@@ -22,13 +21,21 @@ def test_classification_flow_beats_majority_and_releases_caches(spark):
     assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
 
 
-def test_cached_training_set_resizes_only_small_or_tiny_inputs(spark):
-    tiny = spark.range(0, 1000).repartition(50)
-    out = cached_training_set(tiny)
-    assert out.rdd.getNumPartitions() == 1  # 50 tiny partitions merged without a shuffle
-    out.unpersist()
-    mid = spark.range(0, 200_000).coalesce(1)
-    out = cached_training_set(mid, min_partitions=4)
-    assert out.rdd.getNumPartitions() == 4  # 200k rows spread over 4 tasks
-    out.unpersist()
-    assert names.LABEL == "label"
+def test_forest_does_not_depend_on_how_the_input_is_dealt(spark):
+    df = document_features(labeled_docs(spark, SF_ORACLE)).persist()
+    seen = set()
+    for given in (df.coalesce(1), df.repartition(7), df.repartition(3, "lang")):
+        res = supervised_flow(given, "quality", "doc_id", ["lang"], ["n_chars", "letter_share"], algo="rf", partitions=3, numTrees=5, maxDepth=4)
+        assert res.train.rdd.getNumPartitions() == 3
+        seen.add(res.model.toDebugString.split("\n", 1)[1])
+        res.release()
+    df.unpersist()
+    assert len(seen) == 1
+
+
+def test_placed_keeps_rows(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (None, "a"), (2, "b"), (None, None)], "k long, v string")
+    out = placed(df, "k", 4)
+    assert out.rdd.getNumPartitions() == 4
+    assert sorted(out.collect(), key=repr) == sorted(df.collect(), key=repr)
+    assert placed(df.limit(0), "k", 4).count() == 0
