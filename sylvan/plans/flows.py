@@ -145,6 +145,24 @@ def supervised_flow(
     return FlowResult(auto, feats, model, enc_train, pred, names_, [base, enc_train])
 
 
+def chosen_columns(
+    df: DataFrame, target: str, kind: str, max_categories: int, mode: str = "strict", min_completeness: float = 0.8
+) -> tuple[list[str], list[str]]:
+    """Text and numeric feature columns by the profile of ``df``: identifiers out (C8), text columns with at most
+    ``max_categories`` values and numeric columns, both complete enough, target excluded (C2-C6, F26)."""
+    from sylvan.operators import profile as P
+    from sylvan.operators import select as S
+
+    found = P.profile(df, mode=mode)
+    rows = found.collect()  # one row per column: computed once, not once per list taken from it
+    prof = df.sparkSession.createDataFrame(rows, found.schema)
+    ids = [r["name"] for r in S.identifier_columns(prof).where("isIdentifier").select("name").collect()]
+    auto = FT.auto_pipeline_from_profile(
+        prof, target, kind, min_completeness, max_categories, exclude=tuple(c for c in ids if c != target)
+    )
+    return auto.text_cols, auto.numeric_cols
+
+
 def profile_driven_flow(
     df: DataFrame,
     target: str,
@@ -163,17 +181,10 @@ def profile_driven_flow(
     target excluded (C2-C6, F26) -> key-hash split -> feature stages fitted
     on the training part -> model -> predictions on the test part.
     """
-    from sylvan.operators import profile as P
-    from sylvan.operators import select as S
-
     # The profile and the model input both read the (derived) table: cache
     # it once so derived columns (regexes over texts, tokens) are computed once.
     data = df.persist(StorageLevel.MEMORY_AND_DISK)
-    prof = P.profile(data, mode=mode)
-    ids = [r["name"] for r in S.identifier_columns(prof).where("isIdentifier").select("name").collect()]
-    auto = FT.auto_pipeline_from_profile(
-        prof, target, kind, min_completeness, max_categories, exclude=tuple(c for c in ids if c != target)
-    )
-    res = supervised_flow(data, target, key, auto.text_cols, auto.numeric_cols, kind, algo, max_categories, **params)
+    text_cols, numeric_cols = chosen_columns(data, target, kind, max_categories, mode, min_completeness)
+    res = supervised_flow(data, target, key, text_cols, numeric_cols, kind, algo, max_categories, **params)
     res.cached.append(data)
     return res

@@ -20,8 +20,8 @@ from sylvan.operators import models as M
 from sylvan.operators import score as SC
 from sylvan.operators import text as TX
 from sylvan.operators import tune as TU
-from sylvan.plans.flows import document_features, profile_driven_flow, supervised_flow
-from sylvan.plans.registry import docs_with_labels, labeled_docs, query, r6, table
+from sylvan.plans.flows import chosen_columns, document_features, profile_driven_flow, supervised_flow
+from sylvan.plans.registry import docs_with_labels, documents, labeled_docs, query, r6, table
 
 # Fixed values of the evaluation rules.
 LETTER_SHARE_CUT = 0.7
@@ -469,26 +469,22 @@ def classification_workflow(spark, sf_dir):
 
 @query("regression_workflow", None)
 def regression_workflow(spark, sf_dir):
-    """Regression end to end: profile part, drop price outliers with a range filter,
-    pick text columns with at most 40 values and numeric columns from the
-    profile, then DT, RF (5 trees) and GBT on the same split; RMSE/MAE/R^2
-    of all three in one long table."""
+    """Regression end to end: length of documents, outliers dropped by a range filter,
+    text columns with at most 40 values and numeric columns picked from one
+    profile, then DT, RF (5 trees) and GBT on the same split by key;
+    RMSE/MAE/R^2 of all three in one long table."""
     from sylvan.operators import derive as D
 
-    part = D.range_filter(table(spark, sf_dir, "part"), "p_retailprice", 100, 17500, low_inclusive=False)
+    docs = D.range_filter(document_features(documents(spark, sf_dir)), "n_chars", 100, 17500, low_inclusive=False).persist()
+    text, numeric = chosen_columns(docs, "n_chars", "regression", 40)
+    bagged = {"featureSubsetStrategy": "onethird", "subsamplingRate": 0.5}
     runs = {
-        "dt": profile_driven_flow(part, "p_retailprice", "p_partkey", "regression", "dt", 40),
-        "rf": profile_driven_flow(
-            part, "p_retailprice", "p_partkey", "regression", "rf", 40,
-            numTrees=5, featureSubsetStrategy="onethird", subsamplingRate=0.5,
-        ),
-        "gbt": profile_driven_flow(
-            part, "p_retailprice", "p_partkey", "regression", "gbt", 40,
-            featureSubsetStrategy="onethird", subsamplingRate=0.5,
-        ),
+        algo: supervised_flow(docs, "n_chars", "doc_id", text, numeric, "regression", algo, 40, **params)
+        for algo, params in (("dt", {}), ("rf", {"numTrees": 5, **bagged}), ("gbt", bagged))
     }
     cmp = EV.compare_models({k: r.predictions for k, r in runs.items()}, "regression")
     rows, schema = cmp.collect(), cmp.schema
     for r in runs.values():
         r.release()
+    docs.unpersist()
     return spark.createDataFrame(rows, schema)

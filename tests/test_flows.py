@@ -2,10 +2,12 @@
 
 from sylvan.operators import evaluate as EV
 from sylvan.plans.flows import document_features, placed, profile_driven_flow, supervised_flow
-from sylvan.plans.registry import labeled_docs
+from sylvan.plans.registry import QUERIES, labeled_docs, load_all
 
 from conftest import SF_ORACLE
 
+load_all()
+
 
 def test_classification_flow_beats_majority_and_releases_caches(spark):
     before = len(spark.sparkContext._jsc.getPersistentRDDs())
@@ -39,3 +41,9 @@ def test_placed_keeps_rows(spark):
     assert out.rdd.getNumPartitions() == 4
     assert sorted(out.collect(), key=repr) == sorted(df.collect(), key=repr)
     assert placed(df.limit(0), "k", 4).count() == 0
+
+
+def test_regression_workflow_beats_the_mean(spark):
+    rows = QUERIES["regression_workflow"](spark, SF_ORACLE).where("metric = 'r2'").collect()
+    assert {r["model"] for r in rows} == {"dt", "rf", "gbt"}
+    assert all(r["value"] > 0 for r in rows)
