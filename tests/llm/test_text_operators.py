@@ -174,3 +174,21 @@ def test_licences_on_given_table_and_odd_rows(spark, docs, odd_rows, licence_mod
     out = licenses.scan_licences(docs(odd_rows), licence_model)
     assert out.count() == len(odd_rows) and out.filter("n_licence > 0").count() == 0
     assert licenses.scan_licences(docs([]), licence_model).count() == 0
+
+
+def test_licences_found_however_often_they_are_cited(docs):
+    prose = "\n".join(f"plain words of line {i} mit und the rest" for i in range(20))
+    rows = [(k, f"{prose}\nThe license of this file is explained elsewhere.\nReleased under the MIT License.\nwords {k}", "en", "s") for k in range(60)]
+    out = licenses.scan_licences(docs(rows))
+    assert {r["families"] for r in out.collect()} == {"mit"}
+
+
+def test_licence_gate_loses_no_confirmed_paragraph():
+    rng = np.random.default_rng(6)
+    parts = {f"t{n}": [f"g{n}_{i}" for i in range(n)] for n in range(1, 30)}
+    often = {g: float(rng.random()) for gs in parts.values() for g in gs}
+    gate, words = licenses.gate_of(parts, often)
+    for gs in parts.values():
+        need = min(k for k in range(len(gs) + 1) if k / len(gs) >= licenses.LEAST)
+        commonest = sorted(gs, key=lambda g: -often[g])[:need]
+        assert set(commonest) & set(gate) and set(commonest) & set(words)
