@@ -192,3 +192,26 @@ def test_licence_gate_loses_no_confirmed_paragraph():
         need = min(k for k in range(len(gs) + 1) if k / len(gs) >= licenses.LEAST)
         commonest = sorted(gs, key=lambda g: -often[g])[:need]
         assert set(commonest) & set(gate) and set(commonest) & set(words)
+
+
+def test_licence_texts_and_tags(docs, licence_model):
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+    isc = """# Permission to use, copy, modify, and/or distribute this software for any
+# purpose with or without fee is hereby granted, provided that the above
+# copyright notice and this permission notice appear in all copies."""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+    endorse = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    cases = [
+        (mit, "mit"), (mit.replace("\n", " "), "mit"), (isc, "isc"), (isc.replace("\n#", ""), "isc"), (bsd, "bsd"), (bsd + "\n" + endorse, "bsd,bsd-3-clause"),
+        ("SPDX-License-Identifier: MIT", "mit"), ("// License: MIT", "mit"), ("SPDX-License-Identifier: ISC", "isc"), ("SPDX-License-Identifier: Zlib", ""),
+        ("Apache License v2.0", "apache-2.0"), ("Released under the Apache License v2.0.", "apache-2.0"), ("GNU GPL v3", "gpl-3.0"), ("SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2.0"),
+        ("This is free and unencumbered software released into the public domain.", "unlicense"), ("Permission was granted to the person with the copy.", ""), ("the source and the binary star", ""),
+    ]
+    out = licenses.scan_licences(docs([(k, t, "en", "s") for k, (t, _) in enumerate(cases)]), licence_model)
+    assert {r["doc_id"]: r["families"] for r in out.collect()} == {k: f for k, (_, f) in enumerate(cases)}
