@@ -215,3 +215,25 @@ modification, are permitted provided that the following conditions are met:"""
     ]
     out = licenses.scan_licences(docs([(k, t, "en", "s") for k, (t, _) in enumerate(cases)]), licence_model)
     assert {r["doc_id"]: r["families"] for r in out.collect()} == {k: f for k, (_, f) in enumerate(cases)}
+
+
+def test_every_licence_of_a_paragraph(docs, licence_model):
+    prose = "plain words of a long line and the rest of it to any person by the way " * 40
+    cases = [
+        ("Licensed under either of Apache License, Version 2.0 or MIT License", "apache-2.0,mit"), ("Dual licensed: MPL-2.0 and GPL-3.0", "gpl-3.0,mpl-2.0"),
+        (prose + "Released under the MIT License. " + prose + "Licensed under CC BY-NC 4.0. " + prose + "SPDX-License-Identifier: BSD-3-Clause " + prose, "bsd-3-clause,cc-by-nc-4.0,mit"),
+        ("GNU General Public License, version 2 or version 3", "gpl-2.0,gpl-3.0"), ("GNU Affero General Public License, version 3", "agpl-3.0"),
+        ("GNU Lesser General Public License, version 3", "lgpl"), ("CC BY-SA 4.0", "cc-by-sa-4.0"), ("Creative Commons Attribution-NoDerivatives 4.0 International License", "cc-by-nd-4.0"),
+    ]
+    out = licenses.scan_licences(docs([(k, t, "en", "s") for k, (t, _) in enumerate(cases)]), licence_model).collect()
+    assert {r["doc_id"]: r["families"] for r in out} == {k: f for k, (_, f) in enumerate(cases)}
+    assert all(r["n_licence"] == 1 for r in out)
+
+
+def test_licence_windows_hold_every_stretch_of_half_a_window(spark):
+    for n in (0, 1, 63, 64, 65, 96, 97, 200):
+        ws = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: i.cast("string")).alias("w")).select(F.slice("w", 1, n).alias("w"))
+        got = [[int(x) for x in w] for w in ws.select(licenses.windows(F.col("w")).alias("x")).first()["x"]]
+        assert all(len(w) <= licenses.WINDOW for w in got)
+        for at in range(max(n - licenses.WINDOW // 2 + 1, 1)):
+            assert any(set(range(at, min(at + licenses.WINDOW // 2, n))) <= set(w) for w in got)
