@@ -3,7 +3,10 @@
 Method: a suffix automaton of labelled text per language yields longest
 matches. A text is parsed greedily into the longest phrases that occur in
 the language's text; the language that needs the fewest phrases,
-normalised by log2 of the length of its text, wins.
+normalised by log2 of the length of its text, wins. A phrase costs at least
+log2 of the number of symbols, so little training text makes none cheaper
+than naming a letter; a letter that the training text lacks is a phrase of
+its own.
 
 The automaton is laid out as a full transition table in which a failed
 match restarts at the root and is marked, so that thousands of stretches of
@@ -11,9 +14,9 @@ text are parsed at once, one symbol each per step. Stretches are cut every
 ``LANE`` symbols of a batch regardless of documents; a parse restarts there
 without counting a phrase, for all languages alike.
 
-Training: at most ``docs_per_language`` labelled documents of each language
-(those with the smallest hash of their id) and ``chars_per_language``
-symbols of their text, whole documents in hash order.
+Training: ``chars_per_language`` characters of each language, or all it has:
+the labelled documents, long ones included, are cut into pieces of
+``piece`` characters, and those with the smallest hash are taken.
 
 Defined cases: a null text or one without letters is ``und`` with score 0;
 equal phrase counts go to the language that sorts first; without training
@@ -28,11 +31,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sylvan.llm.common import bounded_sample, unpack, whole_row
+from sylvan.llm.common import unpack, whole_row
 
 UNKNOWN = "und"
 #: Symbols of a stretch that is parsed without a break.
@@ -77,11 +80,13 @@ def automaton(symbols: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = twin
         last = cur
-    root = np.zeros(width, dtype=np.int32)
+    absent = len(nexts)  # the state after a symbol that the text lacks: whatever follows begins a phrase
+    root = np.full(width, absent, dtype=np.int32)
     for c, t in nexts[0].items():
         root[c] = t
-    table = np.empty((len(nexts), width), dtype=np.int32)
+    table = np.empty((len(nexts) + 1, width), dtype=np.int32)
     table[:] = ~root  # no match: a new phrase begins with this symbol
+    table[0] = root  # only a text's first symbol is read here
     for s, out in enumerate(nexts):
         if out:
             table[s, list(out)] = list(out.values())
@@ -137,20 +142,30 @@ def phrases(stream: np.ndarray, begin: np.ndarray, table: np.ndarray) -> np.ndar
     return -np.add.reduceat(misses, begin, dtype=np.int64)
 
 
-def train(docs: DataFrame, usable: Column, docs_per_language: int = 40, chars_per_language: int = 30_000) -> Model:
-    """Learn from ``text`` and non-null ``lang`` of the documents that ``usable`` admits.
+def sample(rows: DataFrame, chars: int, piece: int) -> DataFrame:
+    """``lang, text``, with ``doc_id`` and the number ``at`` of the piece: of each language, pieces by hash until they have ``chars`` characters.
 
-    Documents of over a quarter of ``chars_per_language`` characters are
-    left out of the sample, unless a language has no others.
+    A hash fraction of about twice the need passes on, so the window sees a
+    bounded set and only pieces that pass are cut out.
     """
+    rows = rows.withColumn("_n", F.char_length("text")).filter(F.col("_n") > 0)
+    share = rows.groupBy(F.col("lang").alias("_l")).agg(F.sum("_n").alias("_all")).select("_l", (F.lit(2.0 * chars + 20 * piece) / F.col("_all")).alias("_p"))
+    own = F.xxhash64("doc_id", "text", F.lit("sample"))
+    rows = rows.join(F.broadcast(share), F.col("lang") == F.col("_l")).withColumn("_own", own)  # as large as the set of languages
+    hashed = F.transform(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_n") / piece) - 1), lambda i: F.struct(F.xxhash64(F.col("_own"), i).alias("h"), i.alias("at")))
+    few = F.filter(hashed, lambda x: F.shiftrightunsigned(x["h"], 11) / F.lit(float(1 << 53)) < F.col("_p"))
+    cut = rows.select("doc_id", "lang", "text", F.explode(few).alias("_x")).select(
+        "doc_id", "lang", "_x.h", "_x.at", F.expr(f"substring(text, cast(_x.at * {piece} + 1 as int), {piece})").alias("text"))
+    before = F.sum(F.char_length("text")).over(Window.partitionBy("lang").orderBy("h", "doc_id", "at", "text").rowsBetween(Window.unboundedPreceding, -1))
+    return cut.withColumn("_before", F.coalesce(before, F.lit(0))).filter(F.col("_before") < chars).drop("_before")
+
+
+def train(docs: DataFrame, usable: Column, chars_per_language: int = 30_000, piece: int = 750) -> Model:
+    """Learn from ``text`` and non-null ``lang`` of the documents that ``usable`` admits."""
     rows = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    most = chars_per_language // 4
-    short = bounded_sample(rows.filter(F.char_length("text").between(1, most)), "lang", docs_per_language, "doc_id").collect()
-    known = {r["lang"] for r in short}
-    missing = rows.filter(~F.col("lang").isin(*known)) if known else rows
-    missing = bounded_sample(missing.withColumn("text", F.substring("text", 1, most)), "lang", docs_per_language, "doc_id").collect()
+    taken = sample(rows, chars_per_language, piece).collect()
     texts: dict[str, list[str]] = {}
-    for r in sorted([*short, *missing], key=lambda r: (r["lang"], r["doc_id"] is None, r["doc_id"] or 0, r["text"])):
+    for r in sorted(taken, key=lambda r: (r["lang"], r["h"], r["doc_id"] is None, r["doc_id"] or 0, r["at"], r["text"])):
         texts.setdefault(r["lang"], []).append(r["text"])
     common = Counter(ch for ts in texts.values() for t in ts for ch in t.lower() if ch.isalpha())
     ranked = sorted((ch for ch in common if len(ch) == 1), key=lambda ch: (-common[ch], ch))
@@ -162,8 +177,9 @@ def train(docs: DataFrame, usable: Column, docs_per_language: int = 40, chars_pe
         stream = symbols_of(texts[lang], symbol)[0][:chars_per_language]
         if (stream > 1).any():
             model.languages.append(lang)
-            model.tables.append(automaton([int(c) for c in stream], 2 + len(letters) + shared))
-            model.logs.append(float(np.log2(len(stream) + 1)))
+            width = 2 + len(letters) + shared
+            model.tables.append(automaton([int(c) for c in stream], width))
+            model.logs.append(float(np.log2(max(len(stream) + 1, width - 1))))
     return model
 
 

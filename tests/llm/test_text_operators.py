@@ -58,6 +58,25 @@ def test_language_held_out_accuracy(spark):
     assert out.filter("score < 0 OR score > 1 OR lang_pred IS NULL").count() == 0
 
 
+def test_language_with_little_or_long_text(docs, spark):
+    given = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").filter("lang IS NOT NULL AND text IS NOT NULL").collect()]
+    long = " ".join(f"kuva{chr(97 + i % 26)}lo mitt{chr(97 + i // 26 % 26)}ri" for i in range(3000))
+    d = docs([*given, (10**9, "hola", "xx", "s"), (10**9 + 1, "kuva", "yy", "s"), (10**9 + 2, long, "yy", "s")])
+    model = language_id.train(d, F.lit(True))
+    logs = dict(zip(model.languages, model.logs))
+    assert 2 ** logs["yy"] > 25_000 and 2 ** logs["xx"] >= 2 + len(model.letters)
+    out = language_id.predict(docs(given), model).select("lang_pred").collect()
+    assert not [r for r in out if r["lang_pred"] in ("xx", "yy")]
+    assert language_id.predict(docs([(1, long[500:700], None, None)]), model).first()["lang_pred"] == "yy"
+
+
+def test_a_letter_that_training_lacks_is_a_phrase():
+    symbol = language_id.letter_symbols({c: 2 + i for i, c in enumerate("abcd")}, 1)
+    table = language_id.automaton([int(x) for x in language_id.symbols_of(["abab"], symbol)[0]], 7)
+    stream, begin = language_id.symbols_of(["d", "dab", "abdab", "dd", "abdda"], symbol)
+    assert language_id.phrases(stream, begin, table).tolist() == [0, 1, 2, 1, 3]
+
+
 def test_language_odd_rows(docs, odd_rows):
     d = docs(odd_rows)
     model = language_id.train(d, ~language_id.labelled_part())
