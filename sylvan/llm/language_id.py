@@ -10,9 +10,10 @@ its own.
 
 The automaton is laid out as a full transition table in which a failed
 match restarts at the root and is marked, so that thousands of stretches of
-text are parsed at once, one symbol each per step. Stretches are cut every
-``LANE`` symbols of a batch regardless of documents; a parse restarts there
-without counting a phrase, for all languages alike.
+text are parsed at once, one symbol each per step. A text is cut every
+``LANE`` symbols from its own start; a parse restarts there without counting
+a phrase, for all languages alike. So a text's result depends on the text
+alone, not on its neighbours in a batch.
 
 Training: ``chars_per_language`` characters of each language, or all it has:
 the labelled documents, long ones included, are cut into pieces of
@@ -38,7 +39,7 @@ from pyspark.sql import types as T
 from sylvan.llm.common import unpack, whole_row
 
 UNKNOWN = "und"
-#: Symbols of a stretch that is parsed without a break.
+#: Symbols of a text that are parsed without a break.
 LANE = 1024
 #: Symbols: 0 resets the parse, 1 is anything but a letter, letters follow. Where training has more letters than get
 #: their own symbol, the rarer ones share some; else all letters that training lacks share one.
@@ -121,25 +122,33 @@ def symbols_of(texts: list[str], symbol: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def phrases(stream: np.ndarray, begin: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Failed matches within each text: its phrases, but for the first."""
-    lanes = -(-len(stream) // LANE)
-    padded = np.zeros(lanes * LANE, dtype=np.uint8)
-    padded[: len(stream)] = stream
-    steps = np.ascontiguousarray(padded.reshape(lanes, LANE).T)
+    length = np.diff(np.append(begin, len(stream)))
+    pieces = -(-length // LANE)
+    text = np.repeat(np.arange(len(begin)), pieces)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    size = np.minimum(length[text] - nth * LANE, LANE)
+    order = np.argsort(-size, kind="stable")  # the longest first: those still parsed at step t are the first ones
+    text, size, place = text[order], size[order], (begin[text] + nth * LANE)[order]
     width = table.shape[1]
     flat = table.ravel()
+    lanes = len(text)
+    running = np.searchsorted(-size, -np.arange(size[0] if lanes else 0), side="left")
     state = np.zeros(lanes, dtype=np.int32)
-    failed = np.empty((LANE, lanes), dtype=np.int8)
+    failed = np.zeros(lanes, dtype=np.int32)
     at = np.empty(lanes, dtype=np.int32)
     sign = np.empty(lanes, dtype=np.int32)
-    for t in range(LANE):
-        np.multiply(state, width, out=at)
-        np.add(at, steps[t], out=at)
-        np.take(flat, at, out=state, mode="clip")
-        np.right_shift(state, 31, out=sign)  # -1 where the match failed
-        np.bitwise_xor(state, sign, out=state)
-        failed[t] = sign
-    misses = np.ascontiguousarray(failed.T).ravel()[: len(stream)]
-    return -np.add.reduceat(misses, begin, dtype=np.int64)
+    symbol = np.empty(lanes, dtype=stream.dtype)
+    for n in running.tolist():
+        a, s, g = at[:n], state[:n], sign[:n]
+        np.take(stream, place[:n], out=symbol[:n], mode="clip")
+        np.multiply(s, width, out=a)
+        np.add(a, symbol[:n], out=a)
+        np.take(flat, a, out=s, mode="clip")
+        np.right_shift(s, 31, out=g)  # -1 where the match failed
+        np.bitwise_xor(s, g, out=s)
+        np.subtract(failed[:n], g, out=failed[:n])
+        place[:n] += 1
+    return np.bincount(text, weights=failed, minlength=len(begin)).astype(np.int64)
 
 
 def sample(rows: DataFrame, chars: int, piece: int) -> DataFrame:

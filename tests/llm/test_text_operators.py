@@ -77,6 +77,24 @@ def test_a_letter_that_training_lacks_is_a_phrase():
     assert language_id.phrases(stream, begin, table).tolist() == [0, 1, 2, 1, 3]
 
 
+def test_phrases_of_a_text_depend_on_the_text_alone():
+    rng = np.random.default_rng(5)
+    symbol = language_id.letter_symbols({c: 2 + i for i, c in enumerate("abcd")}, 1)
+    train = "".join(rng.choice(list("abc"), 400))
+    table = language_id.automaton([int(x) for x in language_id.symbols_of([train], symbol)[0]], 7)
+    texts = ["".join(rng.choice(list("abc"), n)) for n in (50, 0, 1, 1022, 1023, 1024, 1025, 5000, *[50] * 100)]
+    alone = [int(language_id.phrases(*language_id.symbols_of([t], symbol), table)[0]) for t in texts]
+    assert language_id.phrases(*language_id.symbols_of(texts, symbol), table).tolist() == alone
+    for text, n in zip(texts, alone):
+        at = count = 0
+        while 0 < len(text) < language_id.LANE and at < len(text):
+            k = 1
+            while at + k < len(text) and text[at : at + k + 1] in train:
+                k += 1
+            at, count = at + k, count + 1
+        assert not count or n == count - 1
+
+
 def test_language_odd_rows(docs, odd_rows):
     d = docs(odd_rows)
     model = language_id.train(d, ~language_id.labelled_part())
