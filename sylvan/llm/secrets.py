@@ -92,17 +92,18 @@ def link(parts: DataFrame, scope: int = 256) -> DataFrame:
     """The weak parts with a complementary part at most ``scope`` code points away (gap between the spans).
 
     Interval join: a part lies in each bin of ``scope`` code points that its
-    span touches, widened by one bin on either side; a weak part asks in its
-    first bin and those after it up to its end. A (document, bin) pair holds
-    at most a bin's worth of starting spans, so no group grows with the
-    input. A left-semi join emits no pairs.
+    span, widened by ``scope`` on either side, touches, borders included; a
+    weak part asks in the bins from its start to its end. Where the gap is at
+    most ``scope`` the two share a point, and so a bin. A (document, bin) pair
+    holds the parts of a few bins at most, so no group grows with the input. A
+    left-semi join emits no pairs.
     """
     role = _map(ROLE, F.col("kind"))
     weak = parts.filter(F.col("kind").isin(*NEEDS)).select(
-        "*", F.explode(F.sequence(F.floor(F.col("start") / scope), F.floor((F.col("end") - 1) / scope))).alias("_bin"))
+        "*", F.explode(F.sequence(F.floor(F.col("start") / scope), F.floor(F.col("end") / scope))).alias("_bin"))
     others = parts.select(
         F.col("uid").alias("_u"), role.alias("_role"), F.col("start").alias("_s"), F.col("end").alias("_e"),
-        F.explode(F.sequence(F.floor(F.col("start") / scope) - 1, F.floor((F.col("end") - 1) / scope) + 1)).alias("_b"))
+        F.explode(F.sequence(F.floor((F.col("start") - scope) / scope), F.floor((F.col("end") + scope) / scope))).alias("_b"))
     fits = F.lit(False)
     for kind, roles in NEEDS.items():
         fits = fits | ((F.col("kind") == kind) & F.col("_role").isin(*roles))

@@ -186,6 +186,21 @@ def test_secrets_link_weak_parts_only_with_a_complement(docs):
     assert got == {1: ["access", "barekey"], 2: [], 3: ["access"], 4: ["endpoint", "assign"], 5: [], 6: ["ident", "assign"]}
 
 
+def test_secrets_link_at_every_gap_and_offset(spark):
+    rows, want = [], set()
+    for gap in range(254, 259):
+        for offset in range(256):
+            for weak_first in (True, False):
+                uid = len(rows)
+                first, second = ("ident", "assign") if weak_first else ("assign", "ident")
+                spans = [(first, offset, offset + 10), (second, offset + 10 + gap, offset + 20 + gap)]
+                rows += [(uid, *s) for s in spans]
+                if gap <= 256:
+                    want |= {(uid, *s) for s in spans if s[0] == "ident"}
+    got = secrets.link(spark.createDataFrame(rows, "uid long, kind string, start long, end long")).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
 @pytest.fixture(scope="module")
 def licence_model(spark):
     return licenses.train(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
