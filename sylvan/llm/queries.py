@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvan.llm import jaccard, language_id, licenses, line_dedup, mixing, packing, pivot_search, secrets, toxicity, vp_search
+from sylvan.llm import jaccard, language_id, licenses, line_dedup, mixing, packing, periodic_runs, piece_codec, pivot_search, secrets, toxicity, vp_search
 from sylvan.llm.common import table
 from sylvan.llm.sql import SQL
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,11 +67,24 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(secrets.span_text("base_spans"), 256).alias("base_sha256"), secrets.span_text("spans").alias("spans"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs.run_report(periodic_runs.find_runs(periodic_runs.with_loops(docs)))
+
+
+def op13_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = piece_codec.encode_texts(docs, public_tokenizers.path(PIECES))
+    digest = F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_line_dedup, op3_vp_search, op4_best_fit_packing, op5_source_mix,
         op6_jaccard_join, op7_license_scan, op8_pivot_search, op9_toxicity, op10_secret_scan,
+        op11_periodic_runs, op13_piece_codec,
     )
 }
 ORACLE: dict[str, str] = {k: v for k, v in SQL.items() if k in QUERIES}
