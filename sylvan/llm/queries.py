@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvan.llm import jaccard, language_id, licenses, line_dedup, mixing, packing, periodic_runs, piece_codec, pivot_search, secrets, toxicity, vp_search
+from sylvan.llm import hard_negatives, jaccard, language_id, licenses, line_dedup, mixing, packing, periodic_runs, piece_codec, pivot_search, secrets, toxicity, vp_search
 from sylvan.llm.common import table
 from sylvan.llm.sql import SQL
 
@@ -72,6 +72,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(periodic_runs.find_runs(periodic_runs.with_loops(docs)))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("id") % 100 == 0)
+
+
 def op13_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = piece_codec.encode_texts(docs, public_tokenizers.path(PIECES))
@@ -84,7 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_language_id, op2_line_dedup, op3_vp_search, op4_best_fit_packing, op5_source_mix,
         op6_jaccard_join, op7_license_scan, op8_pivot_search, op9_toxicity, op10_secret_scan,
-        op11_periodic_runs, op13_piece_codec,
+        op11_periodic_runs, op12_hard_negatives, op13_piece_codec,
     )
 }
 ORACLE: dict[str, str] = {k: v for k, v in SQL.items() if k in QUERIES}

@@ -43,5 +43,20 @@ p AS (SELECT a.id AS query_id, b.id AS vec_id, sum(a.x * b.x)::BIGINT AS score
       FROM e a JOIN e b ON a.i = b.i AND a.dim = b.dim AND a.id <> b.id WHERE a.id % 100 = 0 GROUP BY a.id, b.id),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""",
+    "op12_hard_negatives": """
+WITH r AS (SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+       list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+       WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+u AS (SELECT row_number() OVER () AS uid, id, label, v FROM r),
+e AS (SELECT uid, id, label, len(v) AS dim, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM u),
+s AS (SELECT a.uid, a.id AS anchor_id, b.uid AS other, b.id, a.label = b.label AS same, sum(a.x * b.x)::BIGINT AS score
+      FROM e a JOIN e b ON a.i = b.i AND a.dim = b.dim AND a.uid <> b.uid WHERE a.id % 100 = 0 GROUP BY a.uid, a.id, b.uid, b.id, a.label = b.label),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, id) AS nth FROM s WHERE same) WHERE nth <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.uid, p.other ORDER BY s.score DESC, s.id)::INTEGER AS rank
+      FROM p JOIN s ON p.uid = s.uid AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """,
 }
