@@ -105,8 +105,9 @@ class MergeTable:
 #: A plain word: composed letters that lower-case one to one, then perhaps one run of punctuation (one unit for the
 #: tokenizer). No apostrophe: 's and the like are units. Longer words go to the tokenizer itself.
 PLAIN = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]{1,24})([.,;:!?#*&%$]*)")
-#: A comma or full stop that belongs to a longer run of punctuation, so that it is no unit of its own.
-RUN = re.compile(r"(?:[^\w\s]|_)[.,] ")
+#: A comma or full stop that belongs to a longer run of punctuation, so that it is no unit of its own. The white space
+#: named is the tokenizer's: it takes U+001C to U+001F for punctuation, unlike Python's ``\s``.
+RUN = re.compile(r"(?:[^\w\x20\t-\r\x85\xa0]|_)[.,] ")
 
 
 class _Index(dict):

@@ -212,3 +212,21 @@ def test_line_query_on_given_table(spark):
     got = QUERIES["op2_line_dedup"](spark, SF_SMALL)
     assert columns(got, "doc_id", "n_lines", "n_dropped", "kept_sha256") == sorted(want, key=repr)
     assert got.filter(F.col("n_dropped") > 0).count() == sum(1 for r in want if r[2])
+
+
+def test_ids_equal_tokenizer_on_seeded_fuzz():
+    """100,000 strings over all of Latin-1, control characters, punctuation runs, word parts and special tokens."""
+    rng = random.Random(1)
+    latin = [chr(c) for c in range(256)]
+    control = [chr(c) for c in range(33)] + list("\x7f\x80\x85\xa0\xad")
+    punct = list(".,;:!?#*&%$_-'\"()[]<>|/\\@^~`+={}")
+    words = ["hello", "World", "it's", "Ünï", "straße", "don't", "3.5", "a.b", "<|startoftext|>", "<|endoftext|>", "<|", "'s", "_x_", "__", "ABC"]
+    alphabets = [latin, control + punct + list("ab \n  "), punct + [" ", "\n"], words + punct + [" "] * 10 + ["\n", ". ", ", "], latin + ["漢", "ﬁ", " ", "​", "　"]]
+    tok, cache = Tokenizer.from_file(PATH), packing.WordTokens(PATH)
+    for t in ["\x1d.\n&", "\x1d. a", "\x1c, b"]:
+        assert cache.encode_many([t])[0].tolist() == tok.encode(t, add_special_tokens=False).ids
+    for alphabet in alphabets:
+        for _ in range(20):
+            texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 24))) for _ in range(1000)]
+            want = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+            assert [a.tolist() for a in cache.encode_many(texts)] == want
