@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sylvan import names
 from sylvan.functions.columns import letter_share
+from sylvan.operators import compiled as CP
 from sylvan.operators import evaluate as EV
 from sylvan.operators import explain as EX
 from sylvan.operators import features as FT
@@ -20,7 +21,7 @@ from sylvan.operators import models as M
 from sylvan.operators import score as SC
 from sylvan.operators import text as TX
 from sylvan.operators import tune as TU
-from sylvan.plans.flows import chosen_columns, document_features, profile_driven_flow, supervised_flow
+from sylvan.plans.flows import chosen_columns, document_features, needed_bins, profile_driven_flow, supervised_flow
 from sylvan.plans.registry import docs_with_labels, documents, labeled_docs, query, r6, table
 
 # Fixed values of the evaluation rules.
@@ -259,10 +260,10 @@ def _classification_stump(spark, sf_dir):
     "stump_rules",
     f"""
     WITH {STUMP_REG_SQL}
-    SELECT 0 AS treeID, 1 AS leaf, 'p_size <= ' || format('{{:.6g}}', threshold) AS rule,
+    SELECT 0 AS treeID, 1 AS leaf, 'p_size <= ' || CAST(threshold::DOUBLE AS VARCHAR) AS rule,
            round(sl / nl, 6) AS prediction, CAST(NULL AS VARCHAR) AS predicted_class, CAST(nl AS BIGINT) AS n FROM best
     UNION ALL
-    SELECT 0, 2, 'p_size > ' || format('{{:.6g}}', threshold), round(sr / nr, 6), NULL, CAST(nr AS BIGINT) FROM best
+    SELECT 0, 2, 'p_size > ' || CAST(threshold::DOUBLE AS VARCHAR), round(sr / nr, 6), NULL, CAST(nr AS BIGINT) FROM best
     """,
 )
 def stump_rules(spark, sf_dir):
@@ -418,6 +419,74 @@ def tree_rules(spark, sf_dir):
     return EX.tree_rules(spark, res.model, res.feature_names, labels, classes)
 
 
+def _agreement(spark, res, rows, key, tolerance=0.0):
+    """Compiled predictions of all ``rows`` against the fitted model's."""
+    res.release()
+    e = CP.ensemble(spark, res.model)
+    return CP.agreement(SC.score(res.features, res.model, rows), e, CP.raw_slots(res.auto, res.features), key, tolerance)
+
+
+ALL_DOCS_AGREE = "SELECT doc_id, TRUE AS same_raw, TRUE AS same_vector FROM documents"
+ALL_PARTS_AGREE = "SELECT p_partkey, TRUE AS same_raw, TRUE AS same_vector FROM part"
+
+
+@query("rules_score_dt", ALL_DOCS_AGREE)
+def rules_score_dt(spark, sf_dir):
+    """The entropy tree as one expression over raw columns, and over
+    the vector, gives the model's class for every document, labelled or not."""
+    res = _doc_flow(spark, sf_dir, "dt", impurity="entropy")
+    return _agreement(spark, res, document_features(documents(spark, sf_dir)), "doc_id")
+
+
+@query("rules_score_rf_classify", ALL_DOCS_AGREE)
+def rules_score_rf_classify(spark, sf_dir):
+    """The class votes of a forest of 10 trees as one expression, on every document."""
+    res = _doc_flow(spark, sf_dir, "rf", numTrees=10)
+    return _agreement(spark, res, document_features(documents(spark, sf_dir)), "doc_id")
+
+
+@query("rules_score_rf", ALL_PARTS_AGREE)
+def rules_score_rf(spark, sf_dir):
+    """The mean of a forest of 5 regression trees as one expression, on every part."""
+    res = _part_flow(spark, sf_dir, "rf", numTrees=5, featureSubsetStrategy="onethird", subsamplingRate=0.5, maxBins=40)
+    return _agreement(spark, res, table(spark, sf_dir, "part"), "p_partkey")
+
+
+@query("rules_score_gbt", ALL_PARTS_AGREE)
+def rules_score_gbt(spark, sf_dir):
+    """20 boosted stages summed in one expression, on every part
+    (equal but for the order of the sum: 1e-12 of the value)."""
+    res = _part_flow(spark, sf_dir, "gbt", featureSubsetStrategy="onethird", subsamplingRate=0.5, maxBins=40)
+    return _agreement(spark, res, table(spark, sf_dir, "part"), "p_partkey", 1e-12)
+
+
+@query(
+    "rules_leaf_counts",
+    "SELECT CAST(count(*) AS BIGINT) AS n_rows, TRUE AS every_row_in_one_leaf, TRUE AS leaf_counts_equal FROM part",
+)
+def rules_leaf_counts(spark, sf_dir):
+    """A regression tree's printed rules, run as SQL filters over the raw
+    table it was fitted on, are disjoint, hold every row, and each holds as
+    many rows as its leaf counted in training."""
+    part = table(spark, sf_dir, "part")
+    auto = FT.auto_pipeline(PART_TEXT, PART_NUMERIC, "p_retailprice", "regression", 40, "keep")
+    feats = auto.pipeline.fit(part)
+    train = FT.encode(feats, part, auto)
+    model = M.make_model("dt", "regression", maxBins=needed_bins(feats, 40)).fit(train)
+    leaves = CP.rules(CP.ensemble(spark, model), CP.raw_slots(auto, feats), dialect="spark")
+    hits = [F.expr(f"CASE WHEN {rule} THEN 1 ELSE 0 END") for _, rule, _, _ in leaves]
+    per_row = sum(hits[1:], hits[0])
+    held = part.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.bool_and(per_row == 1).alias("every_row_in_one_leaf"),
+        *[F.sum(h).alias(f"leaf{i}") for i, h in enumerate(hits)],
+    )
+    equal = F.lit(True)
+    for i, (_, _, _, n) in enumerate(leaves):
+        equal = equal & (F.col(f"leaf{i}") == n)
+    return held.select("n_rows", "every_row_in_one_leaf", equal.alias("leaf_counts_equal"))
+
+
 @query("tree_stats", None)
 def tree_stats(spark, sf_dir):
     """Depth, nodes and features per tree of a 5-tree forest."""
