@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from sylvan import names
 from sylvan.operators import features as FT
+from sylvan.operators import label_dictionary as LD
 from sylvan.operators import text as TX
-from sylvan.plans.registry import documents, labeled_docs, query, r6, table
+from sylvan.plans.registry import docs_with_labels, documents, labeled_docs, query, r6, table
 
 
 def _rank_sql(tbl: str, col: str, key: str | None = None) -> str:
@@ -52,6 +53,38 @@ def string_index(spark, sf_dir):
     return model.transform(part).select("p_partkey", *[names.PREFIX + c for c in cols])
 
 
+@query(
+    "label_dictionary",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value, count(*) AS n,
+        (row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) - 1)::DOUBLE AS "index"
+        FROM orders WHERE {c} IS NOT NULL GROUP BY CAST({c} AS VARCHAR)"""
+        for c in ("o_orderkey", "o_custkey", "o_orderpriority")
+    ),
+)
+def label_dictionary(spark, sf_dir):
+    """labels numbered as a table, one of them a key with a label for every row."""
+    return LD.label_dictionary(table(spark, sf_dir, "orders"), ["o_orderkey", "o_custkey", "o_orderpriority"])
+
+
+@query(
+    "label_encode",
+    f"""
+    WITH d AS (SELECT d.*, CAST(l.quality AS VARCHAR) AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+    k AS (SELECT CAST(count(DISTINCT quality) AS DOUBLE) AS unknown FROM d)
+    SELECT d.doc_id, a.i AS indexed_lang, b.i AS indexed_source, coalesce(c.i, k.unknown) AS indexed_quality
+    FROM d CROSS JOIN k JOIN {_rank_sql('documents', 'lang')} a ON d.lang = a.v JOIN {_rank_sql('documents', 'source')} b ON d.source = b.v
+    LEFT JOIN {_rank_sql('labels', 'quality')} c ON d.quality = c.v
+    """,
+)
+def label_encode(spark, sf_dir):
+    """three columns encoded by join with their dictionary; NULLs get the index after the last."""
+    docs = docs_with_labels(spark, sf_dir).select("doc_id", "lang", "source", "quality")
+    cols = ["lang", "source", "quality"]
+    out = LD.encode_labels(docs, LD.label_dictionary(docs, cols), cols, handle_invalid="keep")
+    return out.select("doc_id", *[names.PREFIX + c for c in cols])
+
+
 @query(
     "label_maps",
     f"""
