@@ -17,6 +17,7 @@ aggregate per column.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -33,6 +34,9 @@ ENRICHED_COLUMNS = PROFILE_COLUMNS + ["nullCount", "uniqueRatio", "mostFrequentV
 # Plans with more branches than this are evaluated chunk by chunk.
 MAX_BRANCHES_PER_PLAN = 64
 
+# Text values of more bytes than this are grouped by a 128-bit digest and their first characters.
+LONG_VALUE = 64
+
 
 def _ident(c: str) -> str:
     """A column name as a quoted SQL identifier."""
@@ -73,6 +77,8 @@ def _order_keys_sql(dt: T.DataType) -> tuple[str, str, str]:
         return nl, nd, "v"
     if isinstance(dt, T.BinaryType):
         return nl, nd, "hex(v)"
+    if isinstance(dt, T.MapType):
+        return nl, nd, "v"
     return nl, nd, "CAST(v AS STRING)"
 
 
@@ -88,17 +94,22 @@ def _counts_sql(df: DataFrame, view: str, cols: list[str], enriched: bool) -> st
     branches = []
     for i, c in enumerate(cols):
         dt = df.schema[c].dataType
-        extra = ""
-        if enriched:
+        source, keys, extra = f"SELECT {_key_sql(dt, c)} AS v FROM {view}", "v", ""
+        if isinstance(dt, (T.StringType, T.MapType)):
+            # long texts never leave the scan: their digest and first characters are the key
+            long = f"octet_length(v) > {LONG_VALUE}"
+            start = f", left(v, {LONG_VALUE}) AS start" if enriched else ""
+            source = f"SELECT {long} AS long, CASE WHEN {long} THEN md5(v) ELSE v END AS v{start} FROM ({source})"
+            keys = "long, v, start" if enriched else "long, v"
+            if enriched:
+                extra = ", CASE WHEN NOT long THEN v END AS value, CAST(NULL AS BIGINT) AS kl, CAST(NULL AS DOUBLE) AS kd, start AS ks, long"
+        elif enriched:
             kl, kd, ks = _order_keys_sql(dt)
-            extra = f", CAST(v AS STRING) AS value, {kl} AS kl, {kd} AS kd, {ks} AS ks"
-        branches.append(
-            f"SELECT {i} AS idx, v IS NULL AS nul, count(1) AS cnt{extra} "
-            f"FROM (SELECT {_key_sql(dt, c)} AS v FROM {view}) GROUP BY v"
-        )
+            extra = f", CAST(v AS STRING) AS value, {kl} AS kl, {kd} AS kd, {ks} AS ks, FALSE AS long"
+        branches.append(f"SELECT {i} AS idx, v IS NULL AS nul, count(1) AS cnt{extra} FROM ({source}) GROUP BY {keys}")
     seed_extra = (
         ", CAST(NULL AS STRING) AS value, CAST(NULL AS BIGINT) AS kl, CAST(NULL AS DOUBLE) AS kd, "
-        "CAST(NULL AS STRING) AS ks"
+        "CAST(NULL AS STRING) AS ks, CAST(NULL AS BOOLEAN) AS long"
         if enriched
         else ""
     )
@@ -113,7 +124,7 @@ def _counts_sql(df: DataFrame, view: str, cols: list[str], enriched: bool) -> st
     if enriched:
         # modal non-null value: highest count, ties -> smallest value
         aggs += (
-            ", min_by(value, CASE WHEN NOT nul THEN struct(-cnt, kl, kd, ks) END) AS mode"
+            ", min_by(struct(value, long, ks), CASE WHEN NOT nul THEN struct(-cnt, kl, kd, ks, long) END) AS mode"
             ", max(CASE WHEN NOT nul THEN cnt END) AS freq"
         )
     return f"SELECT idx, {aggs} FROM ({' UNION ALL '.join(branches)}) GROUP BY idx"
@@ -136,6 +147,8 @@ def _from_counts(df: DataFrame, cols: list[str], mode: str, enriched: bool) -> D
     finally:
         spark.catalog.dropTempView(view)
     dts = [df.schema[c].dataType for c in cols]
+    if enriched:
+        g = _with_modes(df, cols, g)
 
     def pick(values):
         return F.get(F.array(*[F.lit(x) for x in values]), F.col("idx"))
@@ -160,6 +173,30 @@ def _from_counts(df: DataFrame, cols: list[str], mode: str, enriched: bool) -> D
     return g.select(*out)
 
 
+def _with_modes(df: DataFrame, cols: list[str], counts: DataFrame) -> DataFrame:
+    """The counts with the modal value as text; where it is a long one it is fetched now, by its first characters.
+
+    One row per column is read back. A long modal value is the least of
+    those with its frequency: only rows that begin as it does are read again,
+    and one value of each digest is compared.
+    """
+    spark = df.sparkSession
+    rows = [r.asDict() for r in counts.select("idx", "n", "nn", "d", "dnn", "mode.value", "mode.long", "mode.ks", "freq").collect()]
+    wanted = [r for r in rows if r["long"]]
+    parts = []
+    for r in wanted:
+        v = _groupable(df, cols[r["idx"]])
+        begins = df.select(v.alias("v")).where((F.octet_length("v") > LONG_VALUE) & (F.left("v", F.lit(LONG_VALUE)) == F.lit(r["ks"])))
+        same = begins.groupBy(F.md5("v")).agg(F.min("v").alias("v"), F.count(F.lit(1)).alias("c")).where(F.col("c") == r["freq"])
+        parts.append(same.agg(F.lit(r["idx"]).alias("idx"), F.min("v").alias("v")))
+    if parts:
+        found = {r["idx"]: r["v"] for r in reduce(DataFrame.unionAll, parts).collect()}
+        for r in wanted:
+            r["value"] = found[r["idx"]]
+    schema = "idx int, n long, nn long, d long, dnn long, mode string, freq long"
+    return spark.createDataFrame([(r["idx"], r["n"], r["nn"], r["d"], r["dnn"], r["value"], r["freq"]) for r in rows], schema)
+
+
 def _approx(df: DataFrame, cols: list[str], mode: str, enriched: bool, rsd: float) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
@@ -205,7 +242,9 @@ def profile(
     ``select(c).distinct().count`` does; ``nbDistinctNonNull`` does not.
     ``compRatio`` is NULL on an empty table; ``nRows`` is the row count.
     ``enriched=True`` adds null count, unique ratio and the modal non-null
-    value with its frequency (A5). Row order of the result is not defined.
+    value with its frequency (A5), and runs when called. Long texts are
+    counted by a 128-bit digest, so what is shuffled does not grow with their
+    length. Row order of the result is not defined.
     """
     cols = list(columns or df.columns)
     if approx:

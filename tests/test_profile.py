@@ -132,3 +132,33 @@ def test_wide_table_approx_is_chunked(spark, monkeypatch):
     p = as_dict(P.profile(df, approx=True))
     assert [p[c]["nbDistinctValues"] for c in "abc"] == [1, 2, 2]
     assert p["c"]["compRatio"] == pytest.approx(0.5)
+
+
+def test_long_texts_by_digest(spark):
+    """Distinct counts and modes of texts that share their beginnings, with ties of long and short values."""
+    start = "x" * 64
+    cases = {
+        "tie of long ones": [start + "b", start + "a", start + "b", start + "a", "q", None],
+        "short is less": [start, start + "a", "é" * 70],
+        "long is less": ["z", "z", "a" * 80, "a" * 80, "a" * 79 + "b"],
+        "most frequent": [start + "c"] * 3 + [start + "a"] * 2 + ["a"],
+        "digest as a value": ["m" * 70, __import__("hashlib").md5(("m" * 70).encode()).hexdigest()] * 2,
+        "none": [None, None],
+    }
+    for name, values in cases.items():
+        df = spark.createDataFrame([(v,) for v in values], "s string").repartition(3)
+        p = as_dict(P.profile(df, enriched=True))["s"]
+        known = [v for v in values if v is not None]
+        count = {v: known.count(v) for v in known}
+        want = min(count, key=lambda v: (-count[v], v)) if known else None
+        assert p["mostFrequentValue"] == want, name
+        assert (p["nbDistinctNonNull"], p["frequency"]) == (len(count), count.get(want)), name
+        assert as_dict(P.profile(df))["s"]["nbDistinctNonNull"] == len(count), name
+
+
+def test_long_texts_are_not_shuffled(spark):
+    """The grouping keys of a text column are a digest and a flag."""
+    df = spark.createDataFrame([("a" * 1000,)], "s string")
+    plan = P.profile(df)._jdf.queryExecution().optimizedPlan().toString()
+    keys = next(line for line in plan.splitlines() if "Aggregate [long" in line)
+    assert "md5" in plan and "long" in keys
