@@ -11,7 +11,8 @@ column, and there is one final shuffle instead of one single-partition
 aggregate per column.
 
 ``approx=True`` replaces the C shuffles by one pass with HyperLogLog++
-(``approx_count_distinct``), the right choice on very large tables.
+(``approx_count_distinct``), the right choice on very large tables; with
+``enriched`` the modal value comes from a sketch as well.
 """
 
 from __future__ import annotations
@@ -197,7 +198,7 @@ def _with_modes(df: DataFrame, cols: list[str], counts: DataFrame) -> DataFrame:
     return spark.createDataFrame([(r["idx"], r["n"], r["nn"], r["d"], r["dnn"], r["value"], r["freq"]) for r in rows], schema)
 
 
-def _approx(df: DataFrame, cols: list[str], mode: str, enriched: bool, rsd: float) -> DataFrame:
+def _approx(df: DataFrame, cols: list[str], mode: str, rsd: float) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
         col = _groupable(df, c)
@@ -217,17 +218,17 @@ def _approx(df: DataFrame, cols: list[str], mode: str, enriched: bool, rsd: floa
             d.cast("long").alias("nbDistinctNonNull"),
             n.cast("long").alias("nRows"),
         ]
-        if enriched:
-            fields += [
-                (n - nn).cast("long").alias("nullCount"),
-                safe_ratio(d + has_null, n).alias("uniqueRatio"),
-                F.lit(None).cast("string").alias("mostFrequentValue"),
-                F.lit(None).cast("long").alias("frequency"),
-            ]
         rows.append(F.struct(*fields))
     return wide.select(F.inline(F.array(*rows)))
 
 
+def _approx_enriched(df: DataFrame, cols: list[str], mode: str) -> DataFrame:
+    """With the most frequent value from a sketch (its bounds: ``profile_state``), one scan; none of an empty table."""
+    from sylvan.operators import profile_state as PS
+
+    return PS.profile_from_states(PS.profile_state(df, None, cols), mode).select(*ENRICHED_COLUMNS)
+
+
 def profile(
     df: DataFrame,
     mode: str = "strict",
@@ -251,7 +252,7 @@ def profile(
         # One aggregate per chunk of columns keeps generated code small on
         # very wide tables; each chunk scans only its own columns.
         chunks = [cols[i : i + MAX_BRANCHES_PER_PLAN] for i in range(0, len(cols), MAX_BRANCHES_PER_PLAN)]
-        parts = [_approx(df, chunk, mode, enriched, rsd) for chunk in chunks]
+        parts = [_approx(df, c, mode, rsd) if not enriched else _approx_enriched(df, c, mode) for c in chunks]
         out = parts[0]
         for part in parts[1:]:
             out = out.unionAll(part)

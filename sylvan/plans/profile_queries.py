@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sylvan.operators import profile as P
+from sylvan.operators import profile_state as PS
 from sylvan.operators import select as S
 from sylvan.plans.registry import docs_with_labels, query, r6, table
+from sylvan.sources.tables import read_table
 
 DOCS_LABELS_SQL = (
     "(SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic "
@@ -365,10 +367,55 @@ def order_profile(spark, sf_dir):
 )
 def profile_approx(spark, sf_dir):
     """A3 with HyperLogLog++ distinct counts: one pass, no per-column shuffle."""
-    prof = P.profile(table(spark, sf_dir, "lineitem"), approx=True)
+    rows = read_table(spark, sf_dir, "lineitem", spread_to=spark.sparkContext.defaultParallelism)
+    prof = P.profile(rows, approx=True)
     return prof.select("name", "colType", r6("compRatio").alias("compRatio"), "nbDistinctValues")
 
 
+def _state_sql(column: str, number: bool) -> str:
+    x = f"{column}::DOUBLE" if number else "NULL::DOUBLE"
+    return (
+        f"SELECT '{column}' AS name, count(*) AS n_rows, count(*) - count({column}) AS null_count, round(min({x}), 6) AS least, "
+        f"round(max({x}), 6) AS greatest, round(avg({x}), 6) AS mean, TRUE AS distinct_within, TRUE AS frequency_within, "
+        f"TRUE AS same_in_one_slice FROM lineitem"
+    )
+
+
+@query("profile_states", " UNION ALL ".join(_state_sql(c, t in ("LongType", "IntegerType", "DoubleType")) for c, t, _, _ in LINEITEM_COLUMNS))
+def profile_states(spark, sf_dir):
+    """States of lineitem by ship year, merged: exact counts and
+    moments; distinct counts and modal frequencies within their stated bounds
+    of the exact profile; distinct counts as of one state of the whole table."""
+    rows = table(spark, sf_dir, "lineitem")
+    merged = PS.profile_from_states(PS.profile_state(rows, F.year("l_shipdate")))
+    whole = PS.profile_from_states(PS.profile_state(rows)).select("name", F.col("nbDistinctNonNull").alias("whole"))
+    exact = P.profile(rows, enriched=True).select("name", F.col("nbDistinctNonNull").alias("d"), F.col("frequency").alias("f"))
+    return merged.join(exact, "name").join(whole, "name").select(
+        "name",
+        F.col("nRows").alias("n_rows"),
+        F.col("nullCount").alias("null_count"),
+        *[r6(c).alias(c) for c in ("least", "greatest", "mean")],
+        (F.abs(F.col("nbDistinctNonNull") - F.col("d")) <= F.ceil(F.col("d") * 4 * PS.DISTINCT_ERROR)).alias("distinct_within"),
+        (F.col("f") - F.col("frequency") <= F.ceil(F.col("n_rows") * PS.FREQUENCY_ERROR)).alias("frequency_within"),
+        (F.col("nbDistinctNonNull") == F.col("whole")).alias("same_in_one_slice"),
+    )
+
+
+@query(
+    "profile_mode_sketch",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS name, count(*) AS n_rows, count(*) - count({c}) AS null_count,
+        (SELECT max(n) FROM (SELECT count(*) AS n FROM t WHERE {c} IS NOT NULL GROUP BY {c})) AS frequency FROM t"""
+        for c in ("lang", "source", "quality", "toxic")
+    ).replace("SELECT '", f"WITH t AS (SELECT * FROM {DOCS_LABELS_SQL}) SELECT '", 1),
+)
+def profile_mode_sketch(spark, sf_dir):
+    """A5 by sketches in one scan: the modal frequency, exact for columns with few values."""
+    cols = ["lang", "source", "quality", "toxic"]
+    prof = P.profile(docs_with_labels(spark, sf_dir), enriched=True, approx=True, columns=cols)
+    return prof.select("name", F.col("nRows").alias("n_rows"), F.col("nullCount").alias("null_count"), "frequency")
+
+
 FEATURE_CONFIG_SQL = (
     "WITH t AS " + DOCS_LABELS_SQL + ", p AS ("
     + " UNION ALL ".join(
