@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator,
+    Evaluator,
     MulticlassClassificationEvaluator,
     RegressionEvaluator,
 )
@@ -107,11 +108,24 @@ def auc(df: DataFrame, label: str = names.LABEL, score: str = "score", buckets:
     Returns a one-row DataFrame (auc, n_pos, n_neg); the work runs when
     this is called.
     """
+    return auc_by(df, [], label, score, buckets).select("auc", "n_pos", "n_neg")
+
+
+def auc_by(
+    df: DataFrame, groups: list[str], label: str = names.LABEL, score: str = "score", buckets: int = AUC_BUCKETS
+) -> DataFrame:
+    """Exact AUC of every group (a model, a fold, a source) in one pass: ``groups, auc, n_pos, n_neg``.
+
+    As :func:`auc`, with the buckets cut once over the scores of all groups
+    and the ranking inside (group, bucket), so all groups share one shuffle
+    and no group is a task of its own. A NULL in a group column is a group;
+    a group without both classes has a NULL AUC.
+    """
     y, s, known = scored(label, score)
     spark = df.sparkSession
     by_score = (
         df.where(known)
-        .groupBy(s.alias("s"))
+        .groupBy(*groups, s.alias("s"))
         .agg(
             F.sum(F.when(y == 1.0, 1).otherwise(0)).cast("double").alias("pos"),
             F.sum(F.when(y == 1.0, 0).otherwise(1)).cast("double").alias("neg"),
@@ -119,14 +133,14 @@ def auc(df: DataFrame, label: str = names.LABEL, score: str = "score", buckets:
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
-        result = _auc_from_scores(by_score, buckets).collect()
+        found = _auc_from_scores(by_score, groups, buckets)
+        return spark.createDataFrame(found.collect(), found.schema)  # one row per group
     finally:
         by_score.unpersist()
-    return spark.createDataFrame(result, "auc double, n_pos long, n_neg long")
 
 
-def _auc_from_scores(by_score: DataFrame, buckets: int) -> DataFrame:
-    """AUC from (s, pos, neg) rows, one row per distinct score (see ``auc``)."""
+def _auc_from_scores(by_score: DataFrame, groups: list[str], buckets: int) -> DataFrame:
+    """AUC from (groups, s, pos, neg) rows, one row per distinct score of a group (see ``auc``)."""
     probs = [i / buckets for i in range(1, buckets)]
     qs = by_score.agg(F.percentile_approx("s", probs, 10 * buckets).alias("q")).first()["q"] or []
     edges = sorted({float(q) for q in qs if q is not None})
@@ -135,15 +149,16 @@ def _auc_from_scores(by_score: DataFrame, buckets: int) -> DataFrame:
         bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="b", handleInvalid="keep").transform(by_score)
     else:
         bucketed = by_score.withColumn("b", F.lit(0.0))
-    per_bucket = bucketed.groupBy("b").agg(F.sum("neg").alias("bneg"))
-    offsets = per_bucket.select(
-        "b", F.coalesce(F.sum("bneg").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("off")
-    )
-    within = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = bucketed.join(F.broadcast(offsets), "b").withColumn(
-        "neg_below", F.col("off") + F.coalesce(F.sum("neg").over(within), F.lit(0.0))
-    )
-    return ranked.agg(
+    per_bucket = bucketed.groupBy(*groups, "b").agg(F.sum("neg").alias("bneg"))
+    earlier = Window.partitionBy(*groups).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    keys = [F.col(g).alias(f"__{g}") for g in groups]
+    offsets = per_bucket.select(*keys, F.col("b").alias("__b"), F.coalesce(F.sum("bneg").over(earlier), F.lit(0.0)).alias("off"))
+    if not groups:
+        offsets = F.broadcast(offsets)  # one row per bucket; with groups the optimizer sees the size
+    same = reduce(lambda x, g: x & F.col(g).eqNullSafe(F.col(f"__{g}")), groups, F.col("b") == F.col("__b"))
+    within = Window.partitionBy(*groups, "b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = bucketed.join(offsets, same).withColumn("neg_below", F.col("off") + F.coalesce(F.sum("neg").over(within), F.lit(0.0)))
+    return ranked.groupBy(*groups).agg(
         safe_ratio(
             F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)),
             F.sum("pos") * F.sum("neg"),
@@ -153,6 +168,21 @@ def _auc_from_scores(by_score: DataFrame, buckets: int) -> DataFrame:
     )
 
 
+class ExactAUC(Evaluator):
+    """Spark ML evaluator over :func:`auc` (Spark's own bins the scores); NaN without both classes."""
+
+    def __init__(self, label: str = names.LABEL, probability: str = names.PROBABILITY):
+        super().__init__()
+        self.label, self.probability = label, probability
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        value = auc(positive_score(dataset, self.probability, "__score"), self.label, "__score").first()["auc"]
+        return float("nan") if value is None else value
+
+    def isLargerBetter(self) -> bool:
+        return True
+
+
 def metrics_long(metrics: DataFrame) -> DataFrame:
     """One-row metrics table -> (metric, value) rows."""
     cols = metrics.columns

@@ -8,7 +8,6 @@ checked on rows only.
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from sylvan import names
@@ -102,6 +101,25 @@ def auc(spark, sf_dir):
     return a.select(r6("auc").alias("auc"), "n_pos", "n_neg")
 
 
+@query(
+    "auc_by_source",
+    f"""
+    WITH g AS (SELECT d.source, r.score AS s, sum(r.label) AS pos, sum(1 - r.label) AS neg
+               FROM {RULE_SQL} r JOIN documents d ON d.doc_id = r.doc_id GROUP BY 1, 2),
+    r AS (SELECT source, pos, neg, coalesce(sum(neg) OVER (PARTITION BY source ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+          FROM g)
+    SELECT source, round(sum(pos * (below + neg / 2.0)) / nullif(sum(pos) * sum(neg), 0), 6) AS auc,
+           CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg
+    FROM r GROUP BY source
+    """,
+)
+def auc_by_source(spark, sf_dir):
+    """Exact AUC of the letter-share score of every source, all in one shuffle."""
+    d = labeled_docs(spark, sf_dir).select("source", F.col("quality").alias(names.LABEL), letter_share("text").alias("score"))
+    found = EV.auc_by(d, ["source"], names.LABEL, "score")
+    return found.select("source", r6("auc").alias("auc"), "n_pos", "n_neg")
+
+
 @query(
     "rmse_mae_r2",
     f"""
@@ -385,19 +403,42 @@ def model_compare(spark, sf_dir):
     return spark.createDataFrame(rows, schema)
 
 
-@query("cv_grid", None)
-def cv_grid(spark, sf_dir):
-    """5-fold CV of the whole pipeline (features + tree) by AUC."""
+def _cv_parts(spark, sf_dir):
     df = _doc_frame(spark, sf_dir).select("doc_id", "quality", *DOC_TEXT, *DOC_NUMERIC)
     auto = FT.auto_pipeline(DOC_TEXT, DOC_NUMERIC, "quality", "classification", 32, "keep")
-    tree = M.make_model("dt", "classification", label="indexed_quality", impurity="entropy", maxBins=40)
-    from pyspark.ml import Pipeline
+    return df, auto, M.make_model("dt", "classification", impurity="entropy", maxBins=40)
+
 
-    est = Pipeline(stages=auto.pipeline.getStages() + [tree])
+@query("cv_grid", None)
+def cv_grid(spark, sf_dir):
+    """5-fold CV of a tree over 4 grid points by exact AUC, features fitted once a fold."""
+    df, auto, tree = _cv_parts(spark, sf_dir)
     grid = TU.param_grid(tree, {"maxDepth": [4, 6], "minInstancesPerNode": [10, 100]})
-    ev = BinaryClassificationEvaluator(labelCol="indexed_quality", metricName="areaUnderROC")
-    cvm = TU.cross_validate(est, grid, ev, df, "doc_id", folds=5, parallelism=4)
-    return TU.grid_metrics(spark, cvm)
+    found = TU.cross_validate_shared(auto, tree, grid, df, "doc_id", folds=5, parallelism=5, purpose="quality")
+    return TU.shared_grid_metrics(found)
+
+
+@query("cv_best", None)
+def cv_best(spark, sf_dir):
+    """The best of a grid with text values (impurity), refitted on all
+    training rows: accuracy, test error and AUC on the test rows, and importances."""
+    from sylvan.operators import target as TG
+
+    df, auto, tree = _cv_parts(spark, sf_dir)
+    df = df.persist()
+    try:
+        train, test = TG.hash_split(df, "doc_id")
+        grid = TU.param_grid(tree, {"impurity": ["gini", "entropy"], "maxDepth": [3, 6]})
+        found = TU.cross_validate_shared(auto, tree, grid, train, "doc_id", folds=3, parallelism=3, purpose="quality")
+        point = TU.best_point(found, grid)
+        features, model, scored = TU.fit_best(auto, tree, point, train, test)
+        metrics = EV.metrics_long(EV.classification_metrics(scored)).unionByName(EV.metrics_long(EV.auc(scored, names.LABEL, "score").select("auc")))
+        rows = [("test", r["metric"], r["value"]) for r in metrics.collect()]
+        rows += [("importance", n, float(v)) for n, v in zip(auto.assembled, model.featureImportances.toArray())]
+        rows += [("best", p.name, float(v)) for p, v in point.items() if not isinstance(v, str)]
+    finally:
+        df.unpersist()
+    return spark.createDataFrame(rows, "kind string, name string, value double")
 
 
 @query("importances", None)
