@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from sylvan import names
 from sylvan.operators import features as FT
 from sylvan.operators.explain import tree_nodes
+from sylvan.operators.impute import FillMissingModel
 
 #: Nodes beyond which one expression is no longer sensible; use the model itself.
 MAX_NODES = 20_000
@@ -121,8 +122,8 @@ def raw_slots(auto: FT.AutoPipeline, fitted: PipelineModel) -> list[Slot]:
     indexer = auto.text_indexer(fitted)
     labels = dict(zip(auto.text_cols, indexer.labelsArray)) if indexer is not None else {}
     expected = [names.PREFIX + c for c in auto.text_cols] + list(auto.numeric_cols)
-    if auto.assembled != expected:
-        raise ValueError("only pipelines without one-hot encoding and scaling map slots to raw columns")
+    if auto.assembled != expected or any(isinstance(s, FillMissingModel) for s in fitted.stages):
+        raise ValueError("only pipelines without one-hot encoding, scaling and imputation map slots to raw columns")
     vector = next((s for s in fitted.stages if isinstance(s, VectorIndexerModel)), None)
     maps = {int(s): {float(v): int(i) for v, i in m.items()} for s, m in vector.categoryMaps.items()} if vector is not None else {}
     out = []

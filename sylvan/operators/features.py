@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from sylvan import names
 from sylvan.functions.columns import array_sum
+from sylvan.operators.impute import FillMissing
 
 HANDLE_INVALID = ("error", "skip", "keep")
 
@@ -206,6 +207,7 @@ def auto_pipeline(
     one_hot_text: bool = False,
     scale_numeric: bool = False,
     target_invalid: str = "error",
+    impute: str | None = None,
 ) -> AutoPipeline:
     """Index text (+ target), assemble, vector-index.
 
@@ -216,7 +218,9 @@ def auto_pipeline(
     The target is removed from both lists by exact name. With
     ``one_hot_text`` the indexed text columns are one-hot encoded; with
     ``scale_numeric`` only the numeric columns are scaled before the final
-    assembly, so category codes are never scaled.
+    assembly, so category codes are never scaled. ``impute`` (mean, median
+    or mode) fills missing numbers, and text with its most frequent value,
+    from what the training rows held.
     """
     if kind not in ("classification", "regression"):
         raise ValueError("kind must be 'classification' or 'regression'")
@@ -227,6 +231,8 @@ def auto_pipeline(
     if kind == "classification" and not target:
         raise ValueError("classification needs a target")
     stages = []
+    if impute:
+        stages.append(FillMissing(numericCols=numeric, textCols=text, strategy=impute))
     if text:
         stages.append(string_indexer(text, handle_invalid=handle_invalid))
     if kind == "classification":

@@ -7,7 +7,7 @@ with a different partitioning (a seeded ``randomSplit`` does).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sylvan.functions.columns import hash_fraction
@@ -88,6 +88,41 @@ def undersample(df: DataFrame, target: str, key: str) -> DataFrame:
     return sized.where(hash_fraction(key, "undersample") < F.lit(smallest).cast("double") / F.col("_class_n")).drop("_class_n")
 
 
+def _edges(rows: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
+    """Per class, the bucket of ``rows`` (``_class, _bucket``) in which its ``_need``-th row lies, and how many of
+    that bucket's rows are needed. A class has at most 2**bits buckets to add up."""
+    sizes = rows.groupBy("_class", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy("_class").orderBy("_bucket"))
+    sums = sizes.withColumn("_upto", upto).join(wanted, "_class")
+    edge = sums.where((F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_n") < F.col("_need")))
+    return edge.select("_class", F.col("_bucket").alias("_edge"), (F.col("_need") - F.col("_upto") + F.col("_n")).alias("_need"))
+
+
+def undersample_exact(df: DataFrame, target: str, key: str) -> DataFrame:
+    """Every class with exactly as many rows as the smallest (T2): those with the least hash of ``key`` (ties: least key).
+
+    No sort: a histogram of the hash's upper 16 bits finds the bucket in
+    which a class's last row lies, a second one the next 16 bits of that
+    bucket, and only the rows left at the border, a 2**32nd of a class, are
+    ranked. Rows without a class are dropped.
+    """
+    text = F.concat(F.lit("undersample:"), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")  # 60 bits
+    rows = df.where(F.col(target).isNotNull()).withColumns({"_class": F.col(target), "_h": h})
+    classes = rows.groupBy("_class").agg(F.count(F.lit(1)).alias("_n"))
+    smallest = classes.agg(F.min("_n")).first()[0]
+    if smallest is None:
+        return df.limit(0)
+    upper, lower = F.shiftright("_h", 44), F.shiftright("_h", 28)
+    first = _edges(rows.select("_class", upper.alias("_bucket")), classes.select("_class", F.lit(smallest).alias("_need")), 16)
+    border = rows.select("_class", "_h").join(first.drop("_need"), "_class").where(upper == F.col("_edge")).select("_class", lower.alias("_bucket"))
+    edges = _edges(border, first.select("_class", "_need"), 16)
+    joined = rows.join(edges, "_class")
+    rank = F.row_number().over(Window.partitionBy("_class").orderBy("_h", key))
+    last = joined.where(lower == F.col("_edge")).withColumn("_rank", rank).where(F.col("_rank") <= F.col("_need"))
+    return joined.where(lower < F.col("_edge")).select(*df.columns).unionByName(last.select(*df.columns))
+
+
 def stratified_sample(df: DataFrame, target: str, fractions: dict, seed: int = 42) -> DataFrame:
     """Random stratified sample per class (``sampleBy``), seeded."""
     return df.sampleBy(target, fractions, seed)

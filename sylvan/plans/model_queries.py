@@ -528,6 +528,24 @@ def rules_leaf_counts(spark, sf_dir):
     return held.select("n_rows", "every_row_in_one_leaf", equal.alias("leaf_counts_equal"))
 
 
+@query("model_bundle", ALL_PARTS_AGREE.replace("same_raw", "same_prediction").replace(", TRUE AS same_vector", ""))
+def model_bundle(spark, sf_dir):
+    """A forest published as the second version of a bundle, loaded and
+    checked against the table, gives the predictions it gave before."""
+    from sylvan.session import scratch_path
+    from sylvan.sources.bundles import load_bundle, save_bundle
+
+    res = _part_flow(spark, sf_dir, "rf", numTrees=3)
+    res.release()
+    part = table(spark, sf_dir, "part")
+    path = scratch_path(spark, "bundle")
+    for n in (1, 2):
+        save_bundle(path, res.features, res.model, part, PART_TEXT + PART_NUMERIC, save=n, split="split")
+    before = SC.score(res.features, res.model, part).select("p_partkey", F.col(names.PREDICTION).alias("before"))
+    after = load_bundle(spark, path).score(part).select("p_partkey", names.PREDICTION)
+    return after.join(before, "p_partkey").select("p_partkey", (F.col(names.PREDICTION) == F.col("before")).alias("same_prediction"))
+
+
 @query("tree_stats", None)
 def tree_stats(spark, sf_dir):
     """Depth, nodes and features per tree of a 5-tree forest."""

@@ -377,3 +377,69 @@ def csv_roundtrip(spark, sf_dir):
 
     path = write_csv(table(spark, sf_dir, "part"), scratch_path(spark, "csv"))
     return read_csv(spark, path, schema=PART_SCHEMA)
+
+
+FILLED_SQL = f"""
+    WITH d AS (SELECT d.doc_id, l.quality, CASE WHEN l.toxic IS NULL THEN NULL ELSE d.lang END AS lang_if_labelled
+               FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+    train AS (SELECT * FROM d WHERE {HASH_SQL.format(p='split', k='doc_id')} < 0.7),
+    m AS (SELECT avg(quality) AS q FROM train),
+    t AS (SELECT lang_if_labelled AS v FROM train WHERE lang_if_labelled IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+    SELECT doc_id, round(coalesce(quality, m.q), 6) AS quality, coalesce(lang_if_labelled, t.v) AS lang_if_labelled,
+           (quality IS NULL)::INTEGER::DOUBLE AS quality_filled, (lang_if_labelled IS NULL)::INTEGER::DOUBLE AS lang_if_labelled_filled
+    FROM d, m, t
+"""
+
+
+@query("impute_fitted", FILLED_SQL)
+def impute_fitted(spark, sf_dir):
+    """fill values learned on the training part, the model saved and
+    loaded, all rows filled with them and marked."""
+    from sylvan.operators.impute import FillMissing, FillMissingModel
+    from sylvan.session import scratch_path
+
+    d = docs_with_labels(spark, sf_dir).select("doc_id", "quality", F.when(F.col("toxic").isNotNull(), F.col("lang")).alias("lang_if_labelled"))
+    train, _ = TG.hash_split(d, "doc_id")
+    path = scratch_path(spark, "fill")
+    FillMissing(numericCols=["quality"], textCols=["lang_if_labelled"], flagSuffix="_filled").fit(train).write().save(path)
+    out = FillMissingModel.load(path).transform(d)
+    return out.withColumn("quality", r6("quality"))
+
+
+@query(
+    "undersample_exact",
+    """
+    WITH l AS (SELECT doc_id, quality, ('0x' || substr(md5('undersample:' || doc_id::VARCHAR), 1, 15))::BIGINT AS h FROM labels WHERE quality IS NOT NULL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY h, doc_id) AS nth FROM l)
+    SELECT doc_id, quality FROM r WHERE nth <= (SELECT min(n) FROM (SELECT count(*) AS n FROM l GROUP BY quality))
+    """,
+)
+def undersample_exact(spark, sf_dir):
+    """Every class with exactly as many rows as the smallest, without a sort."""
+    return TG.undersample_exact(table(spark, sf_dir, "labels"), "quality", "doc_id").select("doc_id", "quality")
+
+
+CSV_FAULTS = {7: "bad value in o_orderkey", 11: "too few fields", 13: "too many fields", 17: "bad value in o_totalprice"}
+
+
+@query(
+    "csv_quarantine",
+    "SELECT CASE o_orderkey % 50 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in CSV_FAULTS.items()) + """ ELSE 'clean' END AS reason,
+    count(*) AS n, round(sum(CASE WHEN o_orderkey % 50 NOT IN (7, 11, 13, 17) THEN o_totalprice END), 2) AS total FROM orders GROUP BY 1""",
+)
+def csv_quarantine(spark, sf_dir):
+    """Orders written as CSV with four kinds of faults, read back; clean rows and rejected lines by reason."""
+    from sylvan.session import scratch_path
+    from sylvan.sources.quarantine import read_csv_checked
+
+    o = table(spark, sf_dir, "orders")
+    fault = F.col("o_orderkey") % 50
+    key, price = F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string")
+    fields = [F.when(fault == 7, F.concat(F.lit("no"), key)).otherwise(key), F.concat(F.lit('"'), "o_orderpriority", F.lit(', ""so""'), F.lit('"'))]
+    line = F.concat_ws(",", *fields, F.when(fault == 17, "1.2.3").when(fault != 11, price), F.when(fault == 13, "extra"))
+    path = scratch_path(spark, "csv")
+    o.select(line.alias("value")).write.text(path)
+    clean, rejected = read_csv_checked(spark, path, "o_orderkey long, o_orderpriority string, o_totalprice double", header=False)
+    good = clean.agg(F.lit("clean").alias("reason"), F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    bad = rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("total"))
+    return good.unionByName(bad)
