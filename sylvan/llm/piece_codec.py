@@ -41,7 +41,7 @@ MARKER = "▁"
 #: A text that a normaliser would change, but for the marker.
 PROBE = "a  b\tc \n 　ﬁ①ÅÅＡ \x00\x7f​­ "
 #: Characters of distinct chunks that a worker keeps.
-TABLE_CHARS = 30_000_000
+TABLE_CHARS = 8_000_000
 #: Characters that are looked up together.
 STEP_CHARS = 2_000_000
 
