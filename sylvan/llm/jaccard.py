@@ -16,6 +16,13 @@ few shingles; those are the index. Two kinds of skipping follow:
 * pair level: parity bits of either set bound their difference from below,
   which settles most pairs of different sets before any set is shipped.
 
+A list of more than ``LONG_LIST`` sets is not read by blocks, since a shingle
+that many unlike sets share would make all their pairs. Its sets get keys
+instead: hashed into one part more than similar sets can differ in shingles,
+two similar sets agree on a whole part, so those that share no part are
+never paired. Keys that are still shared by more sets are split once more by
+the parts of another hash, ``ROUNDS`` times at most.
+
 Equal sets are one class from the start and enter the index once. Groups
 are connected components of the links, found by Spark joins alone.
 
@@ -54,6 +61,8 @@ PARTNERS = 1000
 BROADCAST_IDS = 2_000_000
 #: Positions that share a block of an index list.
 BLOCK = 8
+#: Sets of one list (of a shingle, or of an equal part) that are paired with each other, and rounds of splitting longer ones.
+LONG_LIST, ROUNDS = 100, 4
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -289,6 +298,84 @@ def _fits(n1, p1, n2, p2, percent: int):
     return (F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent) & (F.least(n1 - p1, n2 - p2) >= need)
 
 
+def size_group(n: int, percent: int) -> int:
+    """Groups of set sizes: sizes of similar sets lie in one group or in neighbouring ones."""
+    group, first = 0, 1
+    while n >= (first := max(first + 1, first * 100 // percent + 1)):
+        group += 1
+    return group
+
+
+def group_parts(percent: int, group: int) -> int:
+    """One more than the shingles in which two similar sets can differ, the larger one of this size group."""
+    first = 1
+    for _ in range(group + 1):
+        first = max(first + 1, first * 100 // percent + 1)
+    return 2 * (first - 1) * (100 - percent) // (100 + percent) + 1
+
+
+def part_keys(s: np.ndarray, percent: int, seed: int, group: int) -> np.ndarray:
+    """A hash of each part of a set (of its number, size group and shingles), the parts dealt by ``seed``."""
+    parts = group_parts(percent, group)
+    mixed = (s ^ np.uint64(seed * 0x5851F42D4C957F2D & (2**64 - 1))) * _M1
+    mixed ^= mixed >> np.uint64(31)
+    part = (mixed % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed[order] * _M2, dtype=np.uint64)])
+    edge = np.searchsorted(part[order], np.arange(parts + 1))
+    out = sums[edge[1:]] - sums[edge[:-1]] + (np.arange(parts, dtype=np.uint64) + np.uint64(1)) * _M3 + np.uint64(group * 0x2545F4914F6CDD1D & (2**64 - 1))
+    out ^= out >> np.uint64(32)
+    return out * _M1
+
+
+def keys_of(docs: DataFrame, ids: DataFrame, words: int, percent: int, seed: int) -> DataFrame:
+    """``id, grp, key``: the part keys of each document in ``ids``, as the larger set of a pair (its own size group) and
+    as the smaller one (also the next group)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list] = [[], [], []]
+            for i, v in zip(b.column(0).to_pylist(), b.column(1)):
+                s = shingles(v.as_py(), words)
+                own = size_group(len(s), percent)
+                for group in (own, own + 1) if len(s) else ():
+                    keys = part_keys(s, percent, seed, group)
+                    for x, y in zip(out, (np.full(len(keys), i, np.int64), np.full(len(keys), group, np.int32), keys.view(np.int64))):
+                        x.append(y)
+            types = (np.int64, np.int32, np.int64)
+            yield pa.record_batch([pa.array(np.concatenate([np.zeros(0, t), *x])) for t, x in zip(types, out)], names=["id", "grp", "key"])
+
+    return picked(_texts(docs), ids).mapInArrow(run, "id long, grp int, key long").distinct()
+
+
+def pairs_by_parts(rows: DataFrame, docs: DataFrame, words: int, percent: int, wanted) -> DataFrame:
+    """``a, b``: pairs of ``rows`` (one per set: ``id, n, comp`` and others) that agree on a whole part.
+
+    ``wanted``: a condition on a pair (columns end in ``_x`` and ``_y``). A
+    list of more than ``LONG_LIST`` sets is split by the parts of a further
+    hash; what is left of it in the last round is paired.
+    """
+    spark, out = rows.sparkSession, None
+    keyed = written(rows.join(keys_of(docs, rows.select("id").distinct(), words, percent, 0), "id"), "parts")
+    names = [c for c in rows.columns if c != "key"]
+    for seed in range(1, ROUNDS + 1):
+        sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("cnt"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+        sizes = written(sizes.filter("c0 < c1").select("key", "cnt"), "part-lists")
+        short = sizes if seed == ROUNDS else sizes.filter(F.col("cnt") <= LONG_LIST)
+        some = keyed.join(short.select("key"), "key").select("key", *names)
+        x, y = (some.select("key", *[F.col(c).alias(f"{c}_{k}") for c in names]) for k in "xy")
+        found = x.join(y.toDF(*y.columns), "key").filter((F.col("id_x") < F.col("id_y")) & wanted).select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct()
+        found = written(found, "part-pairs")
+        out = found if out is None else out.unionByName(found)
+        long = sizes.filter(F.col("cnt") > LONG_LIST)
+        if seed == ROUNDS or long.isEmpty():
+            break
+        again = written(join_counted(keyed, long, ["key"], "cnt", keyed.count()).drop("cnt"), "long-parts")
+        more = keys_of(docs, again.select("id").distinct(), words, percent, seed).withColumnRenamed("key", "further")
+        keyed = written(again.join(more, ["id", "grp"]).withColumn("key", F.xxhash64("key", "further")).drop("further"), "parts")
+    return out.distinct()
+
+
 def links(docs: DataFrame, index: DataFrame, words: int, percent: int) -> DataFrame:
     """Verified pairs ``u, v`` of similar sets that connect all sets which similarity connects.
 
@@ -323,7 +410,10 @@ def links(docs: DataFrame, index: DataFrame, words: int, percent: int) -> DataFr
     open_ = lists.join(comp, "id", "left").join(home, "id", "left")
     open_ = written(open_.select("tok", "cnt", "id", "n", "pos", F.coalesce("comp", "id").alias("comp"), F.col("h.l").alias("home"), F.col("h.lo").alias("lo"), F.col("h.hi").alias("hi")), "open")
     mixed = open_.groupBy("tok", "cnt").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1").drop("c0", "c1")
-    rows = join_counted(open_.drop("cnt"), mixed, ["tok"], "cnt", total)
+    mixed = written(mixed, "mixed-lists")
+    long = join_counted(open_.drop("cnt"), mixed.filter(F.col("cnt") > LONG_LIST), ["tok"], "cnt", total)
+    long = written(long.select("id", "n", "comp", "home", "lo", "hi").distinct(), "long-lists")
+    rows = open_.drop("cnt").join(mixed.filter(F.col("cnt") <= LONG_LIST), "tok")
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
     rows = written(rows.drop("cnt").withColumn("sc", size_class).withColumn("pb", F.floor(F.col("pos") / BLOCK)), "blocks")
     head = rows.groupBy("tok", "sc", "pb").agg(F.max("n").alias("n1"), F.min("n").alias("n0"), F.min("pos").alias("p0"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
@@ -344,9 +434,11 @@ def links(docs: DataFrame, index: DataFrame, words: int, percent: int) -> DataFr
         .join(y, ["tok", "sc_y", "pb_y"])
         .filter(once & (F.col("comp_x") != F.col("comp_y")) & ~far & _fits(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y"), percent))
         .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
-        .distinct()
     )
-    rest = written(rest.join(answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "rest")
+    if not long.isEmpty():
+        sizes = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent
+        rest = rest.unionByName(pairs_by_parts(long, docs, words, percent, sizes & (F.col("comp_x") != F.col("comp_y")) & ~far))
+    rest = written(rest.distinct().join(answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "rest")
     more = compare(rest, bits, docs, words, percent).filter("similar").select(F.col("a").alias("u"), F.col("b").alias("v"))
     return found.unionByName(more)
 
