@@ -13,8 +13,11 @@ its words (naive Bayes over the hashed words, learned from the training
 rows), never from a column.
 
 Training: at most ``rows_per_class`` labelled documents per class, those
-with the smallest hash of their id, of at most ``MOST_CHARS`` characters.
-Every text that is scored is scored whole.
+with the smallest hash of their id. A document of more than
+``chars_per_row`` characters trains on pieces of it, those with the smallest
+hash from anywhere in the text, of that many characters together; so what
+the driver gathers is bounded by rows x characters. Every text that is
+scored is scored whole.
 
 Defined cases: an empty or null text, or one without words, is scored on
 zero features like any other; without training rows of both classes every
@@ -43,7 +46,8 @@ _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else
 MIN_DOCS = 2
 SHARED = 256
 DIM, WIDTHS, FILTERS = 6, (1, 2, 3), 8
-MOST_CHARS = 40_000
+#: Characters of one piece of a long training document.
+PIECE = 1000
 CACHE_WORDS = 500_000
 
 
@@ -245,10 +249,19 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows_per_class: int = 3000, seed: int = 7) -> Model:
+def training_text(doc_id: str, text: str, chars: int) -> Column:
+    """The text, or of a longer one ``chars`` characters: the pieces with the smallest hash, in their order."""
+    pieces = F.sequence(F.lit(0), F.floor(F.char_length(text) / PIECE).cast("int"))
+    hashed = F.transform(pieces, lambda i: F.struct(F.xxhash64(F.col(doc_id), F.lit("piece"), i).alias("h"), i.alias("i")))
+    some = F.array_sort(F.transform(F.slice(F.array_sort(hashed), 1, max(1, chars // PIECE)), lambda x: x["i"]))
+    cut = F.transform(some, lambda i: F.substring(F.col(text), i * PIECE + 1, F.lit(PIECE)))
+    return F.when(F.char_length(text) <= chars, F.col(text)).otherwise(F.array_join(cut, " "))
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows_per_class: int = 3000, seed: int = 7, chars_per_row: int = 20_000) -> Model:
     """Fit and calibrate on the labelled documents that are not held out."""
     marked = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("_y"))
-    rows = docs.filter(~held_out() & F.col("doc_id").isNotNull() & (F.char_length("text") <= MOST_CHARS)).select("doc_id", "text", F.coalesce(F.col("lang"), F.lit("")).alias("lang"))
+    rows = docs.filter(~held_out() & F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", training_text("doc_id", "text", chars_per_row).alias("text"), F.coalesce(F.col("lang"), F.lit("")).alias("lang"))
     sample = bounded_sample(marked.filter(~held_out()), "_y", rows_per_class, "doc_id")
     sample = F.broadcast(sample)  # at most 2 * rows_per_class rows of two numbers
     got = sorted((r["doc_id"], r["text"], r["_y"], r["lang"]) for r in rows.join(sample, "doc_id").collect())
@@ -257,7 +270,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows_per_cla
         return Model(np.zeros(0, np.int64), np.zeros((SHARED, DIM), np.float32), [], [], np.zeros(0), 0.0, constant=float(y.mean()) if len(y) else 0.5)
     words = [words_of(g[1]) for g in got]
     # copies of a text fall on the same side, by a hash of its words
-    aside = np.array([word_hash(b" ".join(w[:50])) % 4 == 0 for w in words])
+    aside = np.array([word_hash(b" ".join(w)) % 4 == 0 for w in words])
     if len(set(y[aside].tolist())) < 2 or len(set(y[~aside].tolist())) < 2:
         aside[:] = False
     use = np.flatnonzero(~aside)
