@@ -248,7 +248,13 @@ def labelled_part(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
 
 
-def known_language(docs: DataFrame) -> DataFrame:
-    """The documents whose language is told; those of ``und`` (no letter in them) go."""
+def known_language(docs: DataFrame, languages: tuple[str, ...] | None = None, least_score: float = 0.3) -> DataFrame:
+    """The documents whose language is told: it is one of ``languages`` (default: all that are learned) and its score,
+    its share among all learned ones, is at least ``least_score``.
+
+    Documents of ``und`` (no letter in them) go, and so do those in which
+    no language needs clearly fewer phrases than the others.
+    """
     out = predict(docs, train(docs, ~labelled_part()))
-    return unpack(out.filter(F.col("lang_pred") != UNKNOWN))
+    told = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)
+    return unpack(out.filter(told & F.col("lang_pred").isin(*languages) if languages is not None else told))
