@@ -16,7 +16,8 @@ few shingles; those are the index. Two kinds of skipping follow:
 * pair level: parity bits of either set bound their difference from below,
   which settles most pairs of different sets before any set is shipped.
 
-A list of more than ``LONG_LIST`` sets is not read by blocks, since a shingle
+A list whose blocks still hold more than ``LONG_LIST`` pairs for each of its
+sets is not read by blocks, since a shingle
 that many unlike sets share would make all their pairs. Its sets get keys
 instead: hashed into one part more than similar sets can differ in shingles,
 two similar sets agree on a whole part, so those that share no part are
@@ -61,7 +62,8 @@ PARTNERS = 1000
 BROADCAST_IDS = 2_000_000
 #: Positions that share a block of an index list.
 BLOCK = 8
-#: Sets of one list (of a shingle, or of an equal part) that are paired with each other, and rounds of splitting longer ones.
+#: Open pairs for each set of a list beyond which it is not read by blocks; sets of an equal part that are paired with each
+#: other, and rounds of splitting larger ones.
 LONG_LIST, ROUNDS = 100, 4
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -410,20 +412,24 @@ def links(docs: DataFrame, index: DataFrame, words: int, percent: int) -> DataFr
     open_ = lists.join(comp, "id", "left").join(home, "id", "left")
     open_ = written(open_.select("tok", "cnt", "id", "n", "pos", F.coalesce("comp", "id").alias("comp"), F.col("h.l").alias("home"), F.col("h.lo").alias("lo"), F.col("h.hi").alias("hi")), "open")
     mixed = open_.groupBy("tok", "cnt").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1").drop("c0", "c1")
-    mixed = written(mixed, "mixed-lists")
-    long = join_counted(open_.drop("cnt"), mixed.filter(F.col("cnt") > LONG_LIST), ["tok"], "cnt", total)
-    long = written(long.select("id", "n", "comp", "home", "lo", "hi").distinct(), "long-lists")
-    rows = open_.drop("cnt").join(mixed.filter(F.col("cnt") <= LONG_LIST), "tok")
+    rows = join_counted(open_.drop("cnt"), mixed, ["tok"], "cnt", total)
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
     rows = written(rows.drop("cnt").withColumn("sc", size_class).withColumn("pb", F.floor(F.col("pos") / BLOCK)), "blocks")
-    head = rows.groupBy("tok", "sc", "pb").agg(F.max("n").alias("n1"), F.min("n").alias("n0"), F.min("pos").alias("p0"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    head = rows.groupBy("tok", "sc", "pb").agg(F.count(F.lit(1)).alias("size"), F.max("n").alias("n1"), F.min("n").alias("n0"), F.min("pos").alias("p0"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
     one, two = (head.select("tok", *[F.col(c).alias(f"{c}_{k}") for c in head.columns[1:]]) for k in "xy")
     # a block pair can hold a similar pair: sizes overlap, the least position leaves enough room, components differ
     room = F.least(F.col("n1_x") - F.col("p0_x"), F.col("n1_y") - F.col("p0_y")) >= F.ceil(F.lit(percent) * (F.col("n0_x") + F.col("n0_y")) / (100 + percent))
     sized = (F.col("n1_x") * 100 >= F.col("n0_y") * percent) & (F.col("n1_y") * 100 >= F.col("n0_x") * percent)
     apart = ~((F.col("c0_x") == F.col("c1_x")) & (F.col("c0_y") == F.col("c1_y")) & (F.col("c0_x") == F.col("c0_y")))
     ordered = (F.col("sc_x") < F.col("sc_y")) | ((F.col("sc_x") == F.col("sc_y")) & (F.col("pb_x") <= F.col("pb_y")))
-    blocks = one.join(two, "tok").filter(ordered & sized & room & apart).select("tok", "sc_x", "pb_x", "sc_y", "pb_y")
+    blocks = one.join(two, "tok").filter(ordered & sized & room & apart).select("tok", "sc_x", "pb_x", "sc_y", "pb_y", (F.col("size_x") * F.col("size_y")).alias("pairs"))
+    blocks = written(blocks, "block-pairs")
+    # a list whose blocks still hold many pairs for each of its sets is not read by blocks
+    sizes = rows.groupBy("tok").agg(F.count(F.lit(1)).alias("cnt"))
+    long = blocks.groupBy("tok").agg(F.sum("pairs").alias("pairs")).join(sizes, "tok").filter(F.col("pairs") > LONG_LIST * F.col("cnt"))
+    long = written(long.select("tok", "cnt"), "long-tokens")
+    apart_rows = written(join_counted(rows.drop("cnt"), long, ["tok"], "cnt", total).select("id", "n", "comp", "home", "lo", "hi").distinct(), "long-lists")
+    blocks = blocks.drop("pairs").join(long.select("tok"), "tok", "left_anti")
     x, y = (rows.select("tok", *[F.col(c).alias(f"{c}_{k}") for c in rows.columns if c != "tok"]) for k in "xy")
     allowed = 1 - percent / 100 + 1e-9
     far = F.greatest(F.col("lo_x") - F.col("hi_y"), F.col("lo_y") - F.col("hi_x")) > allowed
@@ -435,9 +441,9 @@ def links(docs: DataFrame, index: DataFrame, words: int, percent: int) -> DataFr
         .filter(once & (F.col("comp_x") != F.col("comp_y")) & ~far & _fits(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y"), percent))
         .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
     )
-    if not long.isEmpty():
+    if not apart_rows.isEmpty():
         sizes = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent
-        rest = rest.unionByName(pairs_by_parts(long, docs, words, percent, sizes & (F.col("comp_x") != F.col("comp_y")) & ~far))
+        rest = rest.unionByName(pairs_by_parts(apart_rows, docs, words, percent, sizes & (F.col("comp_x") != F.col("comp_y")) & ~far))
     rest = written(rest.distinct().join(answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "rest")
     more = compare(rest, bits, docs, words, percent).filter("similar").select(F.col("a").alias("u"), F.col("b").alias("v"))
     return found.unionByName(more)
