@@ -65,55 +65,6 @@ def test_jaccard_groups_brute_force(docs, odd_rows, monkeypatch, seed, words, pe
     assert columns(got, "doc_id", "n_shingles", "component_id") == brute_groups(rows, words, percent)
 
 
-@pytest.mark.parametrize("percent", [80, 90])
-def test_similar_sets_agree_on_a_part(percent):
-    rng = np.random.default_rng(percent)
-    for n in [1, 2, 3, 5, 9, 10, 11, 30, 99, 100, 400]:
-        for _ in range(30):
-            one = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
-            common = -(-percent * 2 * len(one) // (100 + percent))
-            keep = rng.choice(one, size=int(rng.integers(max(1, common), len(one) + 1)), replace=False)
-            most = len(keep) * 100 // percent - len(one)
-            two = np.unique(np.concatenate([keep, rng.integers(0, 2**64, int(rng.integers(0, max(0, most) + 1)), dtype=np.uint64)]))
-            inter = len(np.intersect1d(one, two))
-            if 100 * inter >= percent * (len(one) + len(two) - inter):
-                groups = sorted({jaccard.size_group(len(x), percent) for x in (one, two)})
-                assert groups[-1] - groups[0] <= 1
-                for seed in range(3):
-                    assert set(jaccard.part_keys(one, percent, seed, groups[-1]).tolist()) & set(jaccard.part_keys(two, percent, seed, groups[-1]).tolist())
-
-
-def test_long_lists_are_split_and_exact(docs, monkeypatch):
-    """Lists of more than two sets go by parts, and parts of more than two by further parts."""
-    monkeypatch.setattr(jaccard, "LONG_LIST", 2)
-    rows = copies(random.Random(9), 4, 90) + [(500 + i, "tiny " + "abcdefgh"[i % 8]) for i in range(16)]
-    got = jaccard.jaccard_groups(docs([(d, t, "en", "s") for d, t in rows]))
-    assert columns(got, "doc_id", "n_shingles", "component_id") == brute_groups(rows)
-
-
-def test_a_shingle_of_many_unlike_sets_makes_few_pairs(docs, monkeypatch):
-    """Of unlike sets that share their rarest shingles next to none are compared, whatever their number."""
-    real, sizes = jaccard.written, {}
-
-    def spy(df, kind):
-        out = real(df, kind)
-        if kind == "rest":
-            sizes["rest"] = out.count()
-        return out
-
-    monkeypatch.setattr(jaccard, "written", spy)
-    pool = [f"p{i}" for i in range(160)]
-    compared = []
-    for n in (200, 400):
-        rng = random.Random(n)
-        rows = [(i, " ".join([f"s{k}" for k in range(20)] + rng.sample(pool, 80))) for i in range(n)]
-        rows += [(10_000 + i, " ".join(rng.sample(pool, 80))) for i in range(3 * n)]
-        got = jaccard.jaccard_groups(docs([(d, t, "en", "s") for d, t in rows]), words=1)
-        assert got.filter("doc_id != component_id").count() == 0
-        compared.append(sizes.pop("rest") / (n * (n - 1) / 2 + 3 * n * (3 * n - 1) / 2))
-    assert max(compared) < 0.005, compared  # of all pairs, which a list read by blocks would make
-
-
 def test_parity_bits_never_exceed_the_difference():
     rng = np.random.default_rng(5)
     for size, drop, add in [(1, 0, 1), (2, 1, 5), (60, 3, 9), (64, 0, 0), (65, 30, 1), (900, 40, 300), (5000, 5000, 5000)]:
