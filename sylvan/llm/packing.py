@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from sylvan.llm.common import written
 
 #: Words kept in a worker's cache of token ids before it is emptied.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 300_000
 #: Pieces of one length that one window task ranks, on average.
 RANK_ROWS = 100_000
 
