@@ -8,9 +8,12 @@ log2 of the number of symbols, so little training text makes none cheaper
 than naming a letter; a letter that the training text lacks is a phrase of
 its own.
 
-The automaton is laid out as a full transition table in which a failed
-match restarts at the root and is marked, so that thousands of stretches of
-text are parsed at once, one symbol each per step. A text is cut every
+Every letter of the training text is a symbol of its own, whatever the size
+of the alphabet. The automaton's edges are laid into one sparse table by
+displacement (a state's edges at its base plus the symbol, each marked with
+its state), about 40 bytes a character of training text. A failed match
+restarts at the root and is counted; thousands of stretches of text are
+parsed at once, one symbol each per step. A text is cut every
 ``LANE`` symbols from its own start; a parse restarts there without counting
 a phrase, for all languages alike. So a text's result depends on the text
 alone, not on its neighbours in a batch.
@@ -26,9 +29,9 @@ rows every text is ``und``; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from random import Random
 
 import numpy as np
 import pyarrow as pa
@@ -41,22 +44,56 @@ from sylvan.llm.common import unpack, whole_row
 UNKNOWN = "und"
 #: Symbols of a text that are parsed without a break.
 LANE = 1024
-#: Symbols: 0 resets the parse, 1 is anything but a letter, letters follow. Where training has more letters than get
-#: their own symbol, the rarer ones share some; else all letters that training lacks share one.
-OWN_LETTERS, SHARED_LETTERS = 94, 32
+#: Symbols: 0 begins a text, 1 is anything but a letter, letters follow; the last is for all letters that training lacks.
+FIRST_LETTER = 2
+
+
+@dataclass
+class Automaton:
+    """Edges of a suffix automaton; the edge of state s by symbol c is at ``base[s] + c`` if ``owner`` there is s."""
+
+    root: np.ndarray  # by symbol: the state after a phrase's first symbol
+    base: np.ndarray  # by state
+    owner: np.ndarray
+    target: np.ndarray
+
+    def next(self, state: int, symbol: int) -> int | None:
+        at = self.base[state] + symbol
+        return int(self.target[at]) if self.owner[at] == state else None
 
 
 @dataclass
 class Model:
     languages: list[str]
     letters: dict[str, int]
-    shared: int
-    tables: list[np.ndarray]  # states x symbols: next state, or ~(state after a restart) where the match fails
+    automata: list[Automaton]
     logs: list[float]
 
 
-def automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transition table of the suffix automaton of ``symbols``."""
+def displaced(nexts: list[dict[int, int]], width: int, seed: int = 3, tries: int = 200) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``base, owner, target``: states with most edges first, each at a drawn base where its places are free, or at the end."""
+    room = 2 * sum(map(len, nexts)) + 1
+    owner, target = [-1] * (room + width), [0] * (room + width)
+    base = np.zeros(len(nexts), dtype=np.int32)
+    draw = Random(seed)
+    for s in sorted(range(len(nexts)), key=lambda s: -len(nexts[s])):
+        out = nexts[s]
+        for _ in range(tries):
+            at = draw.randrange(room)
+            if all(owner[at + c] < 0 for c in out):
+                break
+        else:
+            at = room = len(owner)
+            owner += [-1] * width
+            target += [0] * width
+        base[s] = at
+        for c, t in out.items():
+            owner[at + c], target[at + c] = s, t
+    return base, np.array(owner, dtype=np.int32), np.array(target, dtype=np.int32)
+
+
+def automaton(symbols: list[int], width: int) -> Automaton:
+    """The suffix automaton of ``symbols``, all below ``width``."""
     nexts, link, length, last = [{}], [-1], [0], 0
     for c in symbols:
         cur = len(nexts)
@@ -81,29 +118,23 @@ def automaton(symbols: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = twin
         last = cur
-    absent = len(nexts)  # the state after a symbol that the text lacks: whatever follows begins a phrase
-    root = np.full(width, absent, dtype=np.int32)
+    nexts.append({})  # the state after a symbol that the text lacks: whatever follows begins a phrase
+    root = np.full(width, len(nexts) - 1, dtype=np.int32)
     for c, t in nexts[0].items():
         root[c] = t
-    table = np.empty((len(nexts) + 1, width), dtype=np.int32)
-    table[:] = ~root  # no match: a new phrase begins with this symbol
-    table[0] = root  # only a text's first symbol is read here
-    for s, out in enumerate(nexts):
-        if out:
-            table[s, list(out)] = list(out.values())
-    table[:, 0] = 0  # reset
-    return table
+    root[0] = 0  # before a text's first symbol
+    nexts[0] = {}  # the root's edges are those of ``root``
+    return Automaton(root, *displaced(nexts, width))
 
 
-def letter_symbols(letters: dict[str, int], shared: int) -> np.ndarray:
+def letter_symbols(letters: dict[str, int]) -> np.ndarray:
     """Symbol of every code point."""
-    out = np.ones(0x110000, dtype=np.uint8)
-    first = 2 + len(letters)
+    absent = FIRST_LETTER + len(letters)
+    out = np.ones(0x110000, dtype=np.uint16 if absent < 1 << 16 else np.uint32)
     for cp in range(0x110000):
         ch = chr(cp)
         if ch.isalpha():
-            low = ch.lower()
-            out[cp] = letters.get(low, first + ord(low[0]) % shared)
+            out[cp] = letters.get(ch.lower(), absent)
     return out
 
 
@@ -120,7 +151,7 @@ def symbols_of(texts: list[str], symbol: np.ndarray) -> tuple[np.ndarray, np.nda
     return s[keep], at[begin]
 
 
-def phrases(stream: np.ndarray, begin: np.ndarray, table: np.ndarray) -> np.ndarray:
+def phrases(stream: np.ndarray, begin: np.ndarray, automaton: Automaton) -> np.ndarray:
     """Failed matches within each text: its phrases, but for the first."""
     length = np.diff(np.append(begin, len(stream)))
     pieces = -(-length // LANE)
@@ -129,25 +160,29 @@ def phrases(stream: np.ndarray, begin: np.ndarray, table: np.ndarray) -> np.ndar
     size = np.minimum(length[text] - nth * LANE, LANE)
     order = np.argsort(-size, kind="stable")  # the longest first: those still parsed at step t are the first ones
     text, size, place = text[order], size[order], (begin[text] + nth * LANE)[order]
-    width = table.shape[1]
-    flat = table.ravel()
+    root, base, owner, target = automaton.root, automaton.base, automaton.owner, automaton.target
     lanes = len(text)
     running = np.searchsorted(-size, -np.arange(size[0] if lanes else 0), side="left")
-    state = np.zeros(lanes, dtype=np.int32)
+    state, at, held, fresh = (np.zeros(lanes, dtype=np.int32) for _ in range(4))
     failed = np.zeros(lanes, dtype=np.int32)
-    at = np.empty(lanes, dtype=np.int32)
-    sign = np.empty(lanes, dtype=np.int32)
+    miss = np.empty(lanes, dtype=bool)
     symbol = np.empty(lanes, dtype=stream.dtype)
-    for n in running.tolist():
-        a, s, g = at[:n], state[:n], sign[:n]
-        np.take(stream, place[:n], out=symbol[:n], mode="clip")
-        np.multiply(s, width, out=a)
-        np.add(a, symbol[:n], out=a)
-        np.take(flat, a, out=s, mode="clip")
-        np.right_shift(s, 31, out=g)  # -1 where the match failed
-        np.bitwise_xor(s, g, out=s)
-        np.subtract(failed[:n], g, out=failed[:n])
+    for t, n in enumerate(running.tolist()):
+        s, c = state[:n], symbol[:n]
+        np.take(stream, place[:n], out=c, mode="clip")
         place[:n] += 1
+        if t == 0:  # the mark that begins a text, or the first symbol of a later piece
+            np.take(root, c, out=s, mode="clip")
+            continue
+        a, h, f, m = at[:n], held[:n], fresh[:n], miss[:n]
+        np.take(base, s, out=a, mode="clip")
+        np.add(a, c, out=a, casting="unsafe")
+        np.take(owner, a, out=h, mode="clip")
+        np.not_equal(h, s, out=m)
+        np.take(root, c, out=f, mode="clip")
+        failed[:n] += m if t > 1 else m & (s != 0)  # a text's first symbol fails nothing
+        np.take(target, a, out=s, mode="clip")
+        np.copyto(s, f, where=m)
     return np.bincount(text, weights=failed, minlength=len(begin)).astype(np.int64)
 
 
@@ -176,18 +211,16 @@ def train(docs: DataFrame, usable: Column, chars_per_language: int = 30_000, pie
     texts: dict[str, list[str]] = {}
     for r in sorted(taken, key=lambda r: (r["lang"], r["h"], r["doc_id"] is None, r["doc_id"] or 0, r["at"], r["text"])):
         texts.setdefault(r["lang"], []).append(r["text"])
-    common = Counter(ch for ts in texts.values() for t in ts for ch in t.lower() if ch.isalpha())
-    ranked = sorted((ch for ch in common if len(ch) == 1), key=lambda ch: (-common[ch], ch))
-    letters = {ch: 2 + i for i, ch in enumerate(ranked[:OWN_LETTERS])}
-    shared = SHARED_LETTERS if len(ranked) > OWN_LETTERS else 1
-    symbol = letter_symbols(letters, shared)
-    model = Model([], letters, shared, [], [])
+    common = {ch for ts in texts.values() for t in ts for ch in t.lower() if ch.isalpha()}
+    letters = {ch: FIRST_LETTER + i for i, ch in enumerate(sorted(common))}
+    symbol = letter_symbols(letters)
+    model = Model([], letters, [], [])
+    width = FIRST_LETTER + len(letters) + 1
     for lang in sorted(texts):
         stream = symbols_of(texts[lang], symbol)[0][:chars_per_language]
         if (stream > 1).any():
             model.languages.append(lang)
-            width = 2 + len(letters) + shared
-            model.tables.append(automaton([int(c) for c in stream], width))
+            model.automata.append(automaton([int(c) for c in stream], width))
             model.logs.append(float(np.log2(max(len(stream) + 1, width - 1))))
     return model
 
@@ -196,7 +229,7 @@ def parse(texts: list[str], model: Model, symbol: np.ndarray) -> tuple[np.ndarra
     """Bits a letter of each text under each language (texts x languages), and the texts' letters."""
     stream, begin = symbols_of(texts, symbol)
     letters = np.add.reduceat((stream > 1).astype(np.int8), begin, dtype=np.int64)
-    counts = np.stack([phrases(stream, begin, t) for t in model.tables], axis=1) + 1
+    counts = np.stack([phrases(stream, begin, t) for t in model.automata], axis=1) + 1
     return counts * np.array(model.logs) / np.maximum(letters, 1)[:, None], letters
 
 
@@ -215,7 +248,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] | None = None,
         m = shared.value
         key = tuple(m.letters.items())
         if key not in _SYMBOLS:
-            _SYMBOLS[key] = letter_symbols(m.letters, m.shared)
+            _SYMBOLS[key] = letter_symbols(m.letters)
         if not m.languages or not texts:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
         bits, letters = parse(texts, m, _SYMBOLS[key])

@@ -19,12 +19,10 @@ def test_automaton_knows_exactly_the_substrings():
     subs = {tuple(text[i:j]) for i in range(60) for j in range(i + 1, 61)}
     for _ in range(300):
         probe = rng.integers(1, 5, 6).tolist()
-        state, ok = 0, True
-        for c in probe:
-            state = table[state, c]
-            if state < 0 or (c == 4):
-                ok = False
-                break
+        state, ok = int(table.root[probe[0]]), probe[0] != 4
+        for c in probe[1:]:
+            state = table.next(state, c) if ok else None
+            ok = state is not None
         assert ok == (tuple(probe) in subs)
 
 
@@ -33,7 +31,7 @@ def test_phrases_are_greedy_longest_matches(monkeypatch):
     rng = np.random.default_rng(4)
     train = "".join(rng.choice(list("abc"), 200))
     letters = {c: 2 + i for i, c in enumerate("abcd")}
-    symbol = language_id.letter_symbols(letters, 1)
+    symbol = language_id.letter_symbols(letters)
     table = language_id.automaton([int(x) for x in language_id.symbols_of([train], symbol)[0]], 7)
     texts = ["".join(rng.choice(list("abcd"), n)) for n in (1, 5, 60, 200)]
     stream, begin = language_id.symbols_of(texts, symbol)
@@ -71,15 +69,38 @@ def test_language_with_little_or_long_text(docs, spark):
 
 
 def test_a_letter_that_training_lacks_is_a_phrase():
-    symbol = language_id.letter_symbols({c: 2 + i for i, c in enumerate("abcd")}, 1)
+    symbol = language_id.letter_symbols({c: 2 + i for i, c in enumerate("abcd")})
     table = language_id.automaton([int(x) for x in language_id.symbols_of(["abab"], symbol)[0]], 7)
     stream, begin = language_id.symbols_of(["d", "dab", "abdab", "dd", "abdda"], symbol)
     assert language_id.phrases(stream, begin, table).tolist() == [0, 1, 2, 1, 3]
 
 
+def test_large_alphabets_keep_every_letter(docs):
+    """Two languages over the same 2,000 ideographs that differ only in the order of the letters."""
+    rng = np.random.default_rng(6)
+    words = {lang: [("".join(chr(0x4E00 + c) for c in rng.integers(0, 2000, 3))) for _ in range(1500)] for lang in ("xa", "xb")}
+    text = lambda lang, n: "".join(rng.choice(words[lang], n))
+    rows = [(i, text(lang, 100), lang, None) for i, lang in enumerate(["xa", "xb"] * 100)]
+    model = language_id.train(docs(rows), F.lit(True))
+    assert len(model.letters) > 1900 and all(len(a.owner) < 8 * 30_000 for a in model.automata)
+    probes = [(i, text(lang, 4), lang, None) for i, lang in enumerate(["xa", "xb"] * 200)]
+    got = language_id.predict(docs(probes), model).select("_row.lang", "lang_pred").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in got) >= 0.99 * len(got)
+
+
+def test_places_beyond_the_drawn_ones():
+    rng = np.random.default_rng(7)
+    text = rng.integers(1, 40, 500).tolist()
+    drawn = language_id.automaton(text, 41)
+    nexts = [{c: int(drawn.target[drawn.base[s] + c]) for c in range(1, 40) if drawn.owner[drawn.base[s] + c] == s} for s in range(len(drawn.base))]
+    base, owner, target = language_id.displaced(nexts, 41, tries=1)
+    for s, out in enumerate(nexts):
+        assert {c: int(target[base[s] + c]) for c in range(41) if owner[base[s] + c] == s} == out
+
+
 def test_phrases_of_a_text_depend_on_the_text_alone():
     rng = np.random.default_rng(5)
-    symbol = language_id.letter_symbols({c: 2 + i for i, c in enumerate("abcd")}, 1)
+    symbol = language_id.letter_symbols({c: 2 + i for i, c in enumerate("abcd")})
     train = "".join(rng.choice(list("abc"), 400))
     table = language_id.automaton([int(x) for x in language_id.symbols_of([train], symbol)[0]], 7)
     texts = ["".join(rng.choice(list("abc"), n)) for n in (50, 0, 1, 1022, 1023, 1024, 1025, 5000, *[50] * 100)]
