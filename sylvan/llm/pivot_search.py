@@ -7,15 +7,18 @@ keys further out, so the search stops when no annulus can hold a better
 vector. Inner products become distances by one added component that gives
 all vectors of a shard the same length.
 
-Scores are exact integers: components are floor(1024 * x), sums are exact
-in double precision below 2**53 and taken with Python integers above.
+Scores are exact integers: components are floor(1024 * x). Products in
+double precision, exact below 2**53, tell which vectors may be among the
+best; these are scored and compared as 64-bit integers, where a sum that
+fits is right whatever its parts are.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite
-components take no part, nor do null ids; of several rows of one id the one
-with the greatest vector counts; vectors of different lengths are never
-compared; ties go to the smaller id; with fewer candidates than k all are
-returned; empty tables give an empty result; a score that does not fit a
-long is an error.
+components take no part, nor do null ids; rows that share an id are rows of
+their own, each a query and each a candidate of the others, equal ones
+included; vectors of different lengths are never compared; ties go to the
+smaller id; with fewer candidates than k all are returned; empty tables give
+an empty result; a score among a query's best that does not fit a long is an
+error.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sylvan.llm.vectors import Best, distinct_vectors, expand, search, usable
+from sylvan.llm.vectors import Best, Points, search, usable
 
 #: Keys of one pivot that a query block reads per step.
 STEP = 64
@@ -46,9 +49,19 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0, (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2 * (a @ b.T)))
 
 
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact inner products of rows of integers."""
+    if np.abs((a * b).sum(axis=1)).max(initial=0) >= 2.0**63 * (1 - 1e-9):
+        raise OverflowError("an inner product does not fit a long")
+    with np.errstate(over="ignore", invalid="ignore"):
+        return (a.astype(np.int64) * b.astype(np.int64)).sum(axis=1)
+
+
 def pivot_search(x: np.ndarray, least: np.ndarray, queries: np.ndarray, k: int) -> Best:
     """The k vectors of largest inner product of each query; all components are integers held as doubles."""
-    best = Best(len(queries), k)
+    most = np.abs(queries).max(initial=0) * np.abs(x).max(initial=0) * x.shape[1]
+    slack = 0.0 if most < 2**53 else most * x.shape[1] * 2.0**-51  # of products in double precision
+    best = Best(len(queries), k, slack, lambda q, w: products(queries[q], x[w]), np.int64)
     norms = (x * x).sum(axis=1)
     top = norms.max(initial=0.0)
     lifted = np.concatenate([x, np.sqrt(np.maximum(0, top - norms))[:, None]], axis=1)
@@ -62,12 +75,12 @@ def pivot_search(x: np.ndarray, least: np.ndarray, queries: np.ndarray, k: int)
     to = distances(flat, pivots)
     qq = (queries * queries).sum(axis=1)
     # rounding slack of the distances: keys within it of a bound are read
-    slack = 1e-6 * (1 + np.sqrt(top) + np.sqrt(qq.max(initial=0.0)))
+    margin = 1e-6 * (1 + np.sqrt(top) + np.sqrt(qq.max(initial=0.0)))
 
     def room(q: np.ndarray) -> np.ndarray:
         """A vector that reaches the k-th score lies at most this far from the query."""
         worst = best.bound(q)
-        return np.where(np.isfinite(worst), np.sqrt(np.maximum(0, qq[q] + top - 2 * np.where(np.isfinite(worst), worst, 0))) + slack, np.inf)
+        return np.where(np.isfinite(worst), np.sqrt(np.maximum(0, qq[q] + top - 2 * np.where(np.isfinite(worst), worst, 0))) + margin, np.inf)
 
     # pivots by nearness for each query; those of one pivot and rank expand together
     ranked = np.argsort(to, axis=1, kind="stable")
@@ -99,17 +112,11 @@ def pivot_search(x: np.ndarray, least: np.ndarray, queries: np.ndarray, k: int)
 def inner_product_top(table: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding", **blocks) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k largest integer inner products of each row that ``is_query`` (a condition on ``id``) admits."""
 
-    def local(query_ids, queries, ids, rows):
-        points, starts, ids = distinct_vectors(ids, rows)
-        best = pivot_search(points, ids[starts[:-1]], queries, k + 1)
-        n, vec, point = expand(best, query_ids, starts, ids, k)
-        most = np.abs(queries).max(initial=0) * np.abs(points).max(initial=0) * points.shape[1]
-        if most < 2**53:
-            s = (queries[n] * points[point]).sum(axis=1).astype(np.int64)
-        else:
-            s = np.array([sum(int(a) * int(b) for a, b in zip(queries[i], points[j])) for i, j in zip(n, point)], dtype=np.int64)
-        return n, vec, s
+    def local(keys: np.ndarray, queries: np.ndarray, points: Points):
+        best = pivot_search(points.vectors, points.least, queries, k + 1)
+        n, ids, place = points.expand(best, keys, k)
+        return n, ids, best.score[n, place]
 
     whole = F.transform("v", lambda x: F.floor(x * 1024).cast("double"))
     rows = usable(table, vec_id, vector).select("id", whole.alias("v"))
-    return search(rows, rows.filter(is_query), k, local, "long", **blocks)
+    return search(rows, is_query, k, local, "long", **blocks)

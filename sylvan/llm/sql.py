@@ -35,13 +35,13 @@ SELECT d.doc_id, d.size, m.source_size, m.target, (d.size * (m.m + x.extra))::BI
 FROM d JOIN m ON d.source IS NOT DISTINCT FROM m.source JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.h = x.h
 """,
     "op8_pivot_search": """
-WITH v AS (SELECT vec_id AS id, max(list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT)) AS v FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS uid, vec_id AS id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
       WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 GROUP BY vec_id),
-e AS (SELECT id, len(v) AS dim, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM v),
-p AS (SELECT a.id AS query_id, b.id AS vec_id, sum(a.x * b.x)::BIGINT AS score
-      FROM e a JOIN e b ON a.i = b.i AND a.dim = b.dim AND a.id <> b.id WHERE a.id % 100 = 0 GROUP BY a.id, b.id),
-r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM p)
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+e AS (SELECT uid, id, len(v) AS dim, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM v),
+p AS (SELECT a.uid, a.id AS query_id, b.id AS vec_id, sum(a.x * b.x)::BIGINT AS score
+      FROM e a JOIN e b ON a.i = b.i AND a.dim = b.dim AND a.uid <> b.uid WHERE a.id % 100 = 0 GROUP BY a.uid, a.id, b.uid, b.id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """,
     "op12_hard_negatives": """

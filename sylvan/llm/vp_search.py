@@ -7,13 +7,16 @@ the distance of the query's k-th best so far times ``relax``. ``relax`` = 1
 is exact search; below it, more is pruned.
 
 Equal vectors are one point of the tree. The score is the cosine of the
-original vectors in double precision.
+original vectors in double precision; products of unit vectors only tell
+which points may be among the best, so collinear vectors rank by their
+scores, and by id where these are equal.
 
 Defined cases: vectors that are null, empty, zero, or hold null or
-non-finite components take no part, nor do null ids; of several rows of
-one id the one with the greatest vector counts; vectors of different
-lengths are never compared; ties go to the smaller id; with fewer
-candidates than k all are returned; empty tables give an empty result.
+non-finite components take no part, nor do null ids; rows that share an id
+are rows of their own, each a query and each a candidate of the others,
+equal ones included; vectors of different lengths are never compared; ties
+go to the smaller id; with fewer candidates than k all are returned; empty
+tables give an empty result.
 """
 
 from __future__ import annotations
@@ -24,9 +27,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sylvan.llm.vectors import Best, distinct_vectors, expand, search, usable
+from sylvan.llm.vectors import Best, Points, search, usable
 
 LEAF = 128
+#: Rounding of a distance that comes from a product of unit vectors, at its worst near zero.
+NEAR_ZERO = 2e-6
 
 
 @dataclass
@@ -50,24 +55,30 @@ def build(x: np.ndarray, members: np.ndarray, rng: np.random.Generator) -> Node:
     return Node(int(point), float(d[order[half]]), build(x, rest[order[:half]], rng), build(x, rest[order[half:]], rng))
 
 
-def tree_search(x: np.ndarray, least: np.ndarray, queries: np.ndarray, k: int, relax: float, seed: int = 11) -> Best:
-    """The k best points (by cosine) of each query; ``x`` and ``queries`` are unit vectors."""
-    best = Best(len(queries), k)
+def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
+
+
+def tree_search(points: np.ndarray, least: np.ndarray, queries: np.ndarray, k: int, relax: float, seed: int = 11) -> Best:
+    """The k best of ``points`` (by cosine) for each query."""
+    x, unit = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (points, queries))
+    slack = 1e-15 * max(1000, x.shape[1])  # of products of unit vectors against cosines
+    best = Best(len(queries), k, slack, lambda q, w: cosines(queries[q], points[w]))
     root = build(x, np.arange(len(x)), np.random.default_rng(seed))
 
     def room(q: np.ndarray) -> np.ndarray:
         worst = best.bound(q)
         far = np.sqrt(np.maximum(0, 2 - 2 * np.where(np.isfinite(worst), worst, -1.0)))
-        return np.where(np.isfinite(worst), far * relax + 1e-9, np.inf)
+        return np.where(np.isfinite(worst), far * relax + NEAR_ZERO, np.inf)
 
     def visit(node: Node, q: np.ndarray) -> None:
         if not len(q):
             return
         if node.members is not None:
             if len(node.members):
-                best.add(q, node.members, least[node.members], queries[q] @ x[node.members].T)
+                best.add(q, node.members, least[node.members], unit[q] @ x[node.members].T)
             return
-        cos = queries[q] @ x[node.point]
+        cos = unit[q] @ x[node.point]
         best.add(q, np.array([node.point]), least[[node.point]], cos[:, None])
         d = np.sqrt(np.maximum(0, 2 - 2 * cos))
         near = d < node.radius
@@ -85,15 +96,10 @@ def tree_search(x: np.ndarray, least: np.ndarray, queries: np.ndarray, k: int, r
 def cosine_neighbours(table: DataFrame, is_query: Column, k: int = 5, relax: float = 0.25, vec_id: str = "vec_id", vector: str = "embedding", **blocks) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest found for each row that ``is_query`` (a condition on ``id``) admits."""
 
-    def local(query_ids, queries, ids, rows):
-        points, starts, ids = distinct_vectors(ids, rows)
-        units = points / np.linalg.norm(points, axis=1, keepdims=True)
-        q = queries / np.linalg.norm(queries, axis=1, keepdims=True)
-        best = tree_search(units, ids[starts[:-1]], q, k + 1, relax)
-        n, vec, point = expand(best, query_ids, starts, ids, k)
-        a, b = queries[n], points[point]
-        dot, na, nb = (a * b).sum(axis=1), np.sqrt((a * a).sum(axis=1)), np.sqrt((b * b).sum(axis=1))
-        return n, vec, dot / (na * nb)
+    def local(keys: np.ndarray, queries: np.ndarray, points: Points):
+        best = tree_search(points.vectors, points.least, queries, k + 1, relax)
+        n, ids, place = points.expand(best, keys, k)
+        return n, ids, best.score[n, place]
 
     rows = usable(table, vec_id, vector).filter(F.exists("v", lambda x: x != 0))
-    return search(rows, rows.filter(is_query), k, local, "double", **blocks)
+    return search(rows, is_query, k, local, "double", **blocks)

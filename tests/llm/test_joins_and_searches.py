@@ -112,9 +112,9 @@ ODD_VECTORS = [(5000, None), (5050, []), (5100, [0.0] * 16), (5150, [None] + [1.
 
 def exact(rows, divisor, k, score):
     out = []
-    for q, a in rows:
+    for own, (q, a) in enumerate(rows):
         if q % divisor == 0:
-            ranked = sorted((-score(a, b), i) for i, b in rows if i != q and len(a) == len(b))[:k]
+            ranked = sorted((-score(a, b), i) for at, (i, b) in enumerate(rows) if at != own and len(a) == len(b))[:k]
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(ranked)]
     return sorted(out)
 
@@ -132,7 +132,8 @@ def inner(a, b):
 @pytest.mark.parametrize("blocks", [{}, {"shard_rows": 60, "block_rows": 4}])
 def test_searches_are_exact_without_relaxing(vectors, blocks):
     rows = vector_rows(np.random.default_rng(1), 400)
-    given = vectors(rows + ODD_VECTORS + rows[:3])
+    rows += [*rows[:3], *rows[200:204], *rows[200:202], (50, rows[7][1]), (50, rows[215][1]), (100, rows[8][1]), (101, rows[0][1])]  # repeated rows and ids
+    given = vectors(rows + ODD_VECTORS)
     got = vp_search.cosine_neighbours(given, F.col("id") % 50 == 0, k=5, relax=1.0, **blocks)
     want = exact([*rows, (5300, [1.0, 2.0])], 50, 5, cosine)
     g, e = columns(got, "query_id", "rank", "vec_id", "score"), want
@@ -143,6 +144,28 @@ def test_searches_are_exact_without_relaxing(vectors, blocks):
     assert columns(got, "query_id", "rank", "vec_id", "score") == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_collinear_vectors_rank_by_score_and_id(vectors, seed):
+    rng = np.random.default_rng(seed)
+    line = rng.normal(0, 1, 12)
+    rows = [(i, (line * rng.uniform(0.1, 9)).tolist()) for i in range(160)] + [(i, rng.normal(0, 1, 12).tolist()) for i in range(160, 400)]
+    out = vp_search.cosine_neighbours(vectors(rows), F.col("id") % 10 == 0, k=5, relax=1.0, shard_rows=150, block_rows=20)
+    rows = [(i, np.array(v, dtype=np.float32).astype(float).tolist()) for i, v in rows]
+    assert columns(out, "query_id", "rank", "vec_id", "score") == sorted(exact(rows, 10, 5, cosine), key=repr)
+
+
+def test_products_beyond_doubles_rank_exactly():
+    rng = np.random.default_rng(8)
+    x = rng.integers(2**29, 2**29 + 4, (300, 8)).astype(float) - np.where(rng.random((300, 8)) < 0.5, 0, 1)
+    q = x[:20]
+    best = pivot_search.pivot_search(x, np.arange(300), q, 6)
+    for n in range(20):
+        want = sorted((-sum(int(a) * int(b) for a, b in zip(q[n], v)), i) for i, v in enumerate(x))[:6]
+        assert [(-int(s), int(w)) for s, w in zip(best.score[n], best.which[n])] == want
+    with pytest.raises(OverflowError):
+        pivot_search.pivot_search(np.full((1, 4), 2.0**32), np.arange(1), np.full((1, 4), 2.0**32), 1)
+
+
 def test_searches_empty_and_few(vectors):
     for rows in ([], ODD_VECTORS[:7], [(0, [1.0, 0.0])]):
         assert vp_search.cosine_neighbours(vectors(rows), F.col("id") % 50 == 0).count() == 0
