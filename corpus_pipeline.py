@@ -4,7 +4,7 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
 written as Parquet and reread as the next stage's ``docs``. All stages but
 the last return the columns of ``docs``.
 
-* ``language_id`` drops documents whose language is ``und`` (no letter in them); the others stay as they are.
+* ``language_id`` drops documents whose language is ``und`` (no letter in them) or not told clearly; the others stay as they are.
 * ``line_dedup`` drops lines that five documents hold, but for one document.
 * ``near_duplicates`` keeps one document (the smallest id) of each group.
 * ``source_mix`` takes each document as often as its source's target asks: not at all, once, or up to three times.
