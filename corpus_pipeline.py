@@ -9,6 +9,8 @@ the last return the columns of ``docs``.
 * ``near_duplicates`` keeps one document (the smallest id) of each group.
 * ``source_mix`` takes each document as often as its source's target asks: not at all, once, or up to three times.
 * ``packing`` tokenises and packs what is left: one row per piece with its sequence and offset.
+
+Stages that hand texts to Python bound the session's Arrow batches by bytes.
 """
 
 from __future__ import annotations
@@ -17,11 +19,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sylvan.llm import jaccard, language_id, line_dedup, mixing, packing
-from sylvan.llm.common import table, written
+from sylvan.llm.common import small_batches, table, written
 from sylvan.llm.queries import TOKENIZER
 
 
 def stage_language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return language_id.known_language(docs)
 
 
@@ -30,6 +33,7 @@ def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return jaccard.one_per_group(docs)
 
 
@@ -38,6 +42,7 @@ def stage_source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 

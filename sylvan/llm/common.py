@@ -17,6 +17,16 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: A key with at least 1/HOT_SHARE of all rows is hot; there are at most HOT_SHARE such keys.
 HOT_SHARE = 1000
 
+#: Bytes of one Arrow batch. A task holds one on either side of the worker, with buffers grown by doubling.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches of the session by ``BATCH_BYTES``, since records of long texts make batches as large as
+    Spark's own bound (64 MB) lets them. A session that sets its own bound keeps it."""
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(bound, spark.conf.get(bound, str(BATCH_BYTES)))
+
 
 def written(df: DataFrame, kind: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.

@@ -236,7 +236,7 @@ def parse(texts: list[str], model: Model, symbol: np.ndarray) -> tuple[np.ndarra
 _SYMBOLS: dict[tuple, np.ndarray] = {}
 
 
-def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] | None = None, chars: int = 4_000_000) -> DataFrame:
+def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] | None = None, chars: int = 2_000_000) -> DataFrame:
     """``_row`` (the input columns, or those of ``keep``), ``lang_pred``, ``score`` for each input row.
 
     The score is the share of the winner when each language weighs
@@ -260,7 +260,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] | None = None,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores, texts, size = [], [], [], 0
-            for v in batch.column(1):
+            for v in batch.column(0).field("text") if carried else batch.column(1):
                 texts.append(v.as_py() or "")
                 size += len(texts[-1])
                 if size >= chars:
@@ -271,7 +271,9 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] | None = None,
                 out += x
             yield pa.record_batch([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["_row", "lang_pred", "score"])
 
-    row = docs.select(whole_row(docs.select(*keep) if keep else docs).alias("_row"), F.col("text").alias("_text"))
+    kept = docs.select(*keep) if keep else docs
+    carried = "text" in kept.columns  # the row brings the text along
+    row = docs.select(whole_row(kept).alias("_row"), *[F.col("text").alias("_text")] * (not carried))
     schema = T.StructType([row.schema["_row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return row.mapInArrow(run, schema)
 
