@@ -44,14 +44,15 @@ def unknown_categories_from_model(
 ) -> DataFrame:
     """(column, value, n) of values the fitted indexer has never seen.
 
-    The fitted labels are model-sized, so they are broadcast; the rows to
-    score are grouped by (column, value) with partial aggregation.
+    The rows to score are grouped by (column, value) with partial
+    aggregation; whether the fitted labels are broadcast is left to the
+    optimizer, which knows their bytes.
     """
     known = spark.createDataFrame(
         [(c, v) for c, labels in zip(input_cols, indexer.labelsArray) for v in labels], "column string, value string"
     )
     observed = _observed(df, [c for c in input_cols if c in df.columns])
-    return observed.join(F.broadcast(known), ["column", "value"], "left_anti")
+    return observed.join(known, ["column", "value"], "left_anti")
 
 
 def unknown_categories(train: DataFrame, df: DataFrame, cols: list[str]) -> DataFrame:
