@@ -281,6 +281,38 @@ def pca(spark, sf_dir):
     return _vec_cols(out, "pc", 3, prefix="pc", keep=("vec_id",))
 
 
+@query(
+    "pca_variances",
+    f"""
+    WITH m AS (SELECT vec_id, slot, v - avg(v) OVER (PARTITION BY slot) AS c FROM {EMB_UNNEST}),
+         cov AS (SELECT a.slot AS i, b.slot AS j, sum(a.c * b.c) / (count(*) - 1) AS s
+                 FROM m a JOIN m b ON a.vec_id = b.vec_id GROUP BY a.slot, b.slot)
+    SELECT count(*) FILTER (i = j) AS n_components, round(sum(s) FILTER (i = j), 6) AS total_variance,
+           round(sum(s * s), 6) AS sum_sq_variance, true AS descending
+    FROM cov
+    """,
+)
+def pca_variances(spark, sf_dir):
+    """F20, whatever the signs: variances of all principal components.
+
+    Their sum is the trace of the covariance matrix and the sum of their
+    squares that of all its entries; both hold only for a rotation that
+    leaves the components uncorrelated. The SQL takes them from the matrix.
+    """
+    emb = _embedding_vectors(spark, sf_dir)
+    size = F.size(vector_to_array("v"))
+    k = emb.agg(F.max(size)).first()[0]
+    pc = FT.pca("v", "pc", k).fit(emb).transform(emb).select(F.posexplode(vector_to_array("pc")).alias("slot", "value"))
+    by_slot = pc.groupBy("slot").agg(F.var_samp("value").alias("var"))  # one row a component
+    inorder = F.transform(F.array_sort(F.collect_list(F.struct("slot", "var"))), lambda x: x["var"])
+    falls = F.forall(F.sequence(F.lit(1), F.size("vars") - 1), lambda i: F.get("vars", i - 1) >= F.get("vars", i) - 1e-9) if k > 1 else F.lit(True)
+    total = by_slot.agg(
+        F.count(F.lit(1)).alias("n_components"), r6(F.sum("var")).alias("total_variance"),
+        r6(F.sum(F.col("var") * F.col("var"))).alias("sum_sq_variance"), inorder.alias("vars"),
+    )
+    return total.withColumn("descending", falls).drop("vars")
+
+
 @query(
     "auto_features_classification",
     f"""
