@@ -113,16 +113,23 @@ def supervised_flow(
     seed: int = M.DEFAULT_SEED,
     train_fraction: float = 0.7,
     partitions: int | None = None,
+    rebalance: str | None = None,
     **params,
 ) -> FlowResult:
     """Split by key hash, fit features on train, fit a model, predict test.
 
     The model's input is placed by row hash over ``partitions`` (see :func:`placed`).
+    ``rebalance`` evens the classes of the model's input (T2): ``weights``
+    weighs each class alike, ``undersample`` cuts each to the size of the
+    smallest. Feature stages are fitted on all training rows either way; a
+    tree needs at least as many rows as its widest feature has categories.
 
     The shared checkpoint folder is set on the context (if the cluster has
     not already), so iterative fits such as GBT checkpoint their state every
     ``checkpointInterval`` rounds instead of growing one long lineage.
     """
+    if rebalance not in (None, "weights", "undersample") or (rebalance and kind != "classification"):
+        raise ValueError(f"cannot rebalance {kind} by {rebalance!r}")
     checkpoint_dir(df.sparkSession)
     # Only the model's columns are kept and cached: the derived features
     # (regexes over whole texts, tokens) are then computed once, not once
@@ -132,7 +139,14 @@ def supervised_flow(
     train, test = TG.hash_split(base, key, (train_fraction, 1.0 - train_fraction))
     auto = FT.auto_pipeline(text_cols, numeric_cols, target, kind, max_categories, handle_invalid)
     feats = auto.pipeline.fit(train)
-    enc_train = FT.encode(feats, train, auto).persist(StorageLevel.MEMORY_AND_DISK)
+    fitted_on = train
+    if rebalance == "undersample":
+        fitted_on = placed(TG.undersample_exact(train, target, key), key, partitions)
+    enc_train = FT.encode(feats, fitted_on, auto)
+    if rebalance == "weights":
+        enc_train = TG.with_class_weights(enc_train, names.LABEL)
+        params["weightCol"] = "weight"
+    enc_train = enc_train.persist(StorageLevel.MEMORY_AND_DISK)
     skip = (auto.indexed_target,) if auto.indexed_target else ()
     params["maxBins"] = needed_bins(feats, params.get("maxBins", 32), skip)
     if algo == "lr":

@@ -8,6 +8,9 @@ checked on rows only.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sylvan import names
@@ -358,6 +361,25 @@ def dt_classify(spark, sf_dir):
     return res.small_result(_summary(res.predictions))
 
 
+@query("rebalanced_fit", None)
+def rebalanced_fit(spark, sf_dir):
+    """T2 into a fit: the decision tree on all training rows, on weighted classes and on undersampled ones. For each
+    class (its index, 0 the larger one): rows and weight that the fit saw, test rows and the share of them found."""
+    found = []
+    for how in (None, "weights", "undersample"):
+        # few categories: Spark's trees need as many rows as a feature has categories, also after undersampling
+        res = supervised_flow(
+            _doc_frame(spark, sf_dir), "quality", "doc_id", ["lang"], DOC_NUMERIC, "classification", "dt", 8, impurity="entropy", rebalance=how
+        )
+        weight = F.col("weight") if how == "weights" else F.lit(1.0)
+        seen = res.train.groupBy(F.col(names.LABEL).cast("int").alias("class")).agg(F.count(F.lit(1)).alias("n_train"), F.sum(weight).alias("weight_train"))
+        hit = F.avg((F.col(names.LABEL) == F.col(names.PREDICTION)).cast("double"))
+        tested = res.predictions.groupBy(F.col(names.LABEL).cast("int").alias("class")).agg(F.count(F.lit(1)).alias("n_test"), hit.alias("recall"))
+        out = seen.join(tested, "class", "full").select(F.lit(how or "none").alias("rebalance"), "class", "n_train", "weight_train", "n_test", "recall")
+        found.append(res.small_result(out))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("dt_regress", None)
 def dt_regress(spark, sf_dir):
     """M3: regression tree on part, maxBins from the categories (>= 40)."""

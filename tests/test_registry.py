@@ -126,6 +126,17 @@ def _bands(rows, duck):
     assert all(0.5 <= r["max_probability"] <= 1 and r["predicted_class"] in ("0", "1") for r in rows)
 
 
+def _rebalanced(rows, duck):
+    got = {(r["rebalance"], r["class"]): r for r in rows}
+    assert set(got) == {(how, c) for how in ("none", "weights", "undersample") for c in (0, 1)}
+    plain, rare = got["none", 0]["n_train"], got["none", 1]["n_train"]
+    assert plain > rare == got["undersample", 0]["n_train"] == got["undersample", 1]["n_train"]
+    assert got["weights", 0]["n_train"] == plain and got["weights", 1]["n_train"] == rare
+    assert got["weights", 0]["weight_train"] == pytest.approx(got["weights", 1]["weight_train"]) == pytest.approx((plain + rare) / 2)
+    for how in ("weights", "undersample"):
+        assert got[how, 1]["recall"] >= got["none", 1]["recall"] > 0
+
+
 def _coin(rows, duck):
     assert {r["quality"] for r in rows} == {0, 1}
     assert sum(r["n"] for r in rows) == duck.execute("SELECT count(*) FROM labels").fetchone()[0]
@@ -154,7 +165,7 @@ def _approx(rows, duck):
 CHECKS = dict.fromkeys(["dt_classify", "rf_classify", "text_lr", "classification_workflow"], _classification)
 CHECKS |= dict.fromkeys(["dt_regress", "rf_regress", "gbt_regress"], _regression)
 CHECKS |= dict.fromkeys(["model_compare", "regression_workflow"], _regressions)
-CHECKS |= {"cv_grid": _grid, "cv_best": _best, "importances": _importances, "tree_rules": _rules, "tree_stats": _stats}
+CHECKS |= {"cv_grid": _grid, "cv_best": _best, "importances": _importances, "tree_rules": _rules, "tree_stats": _stats, "rebalanced_fit": _rebalanced}
 CHECKS |= {"score_bands": _bands, "randomize_target": _coin, "random_split": _split, "pca": _pca, "profile_approx": _approx}
 
 
@@ -162,7 +173,7 @@ CHECKS |= {"score_bands": _bands, "randomize_target": _coin, "random_split": _sp
 def test_rows_only_queries_hold_their_properties(spark, duck, name):
     check = CHECKS.get(name, lambda *_: None)
     # the test part of the small tables holds 25 labelled rows: too few to compare with the majority
-    df = QUERIES[name](spark, SF_ORACLE if check is _classification else SF_SMALL)
+    df = QUERIES[name](spark, SF_ORACLE if check in (_classification, _rebalanced) else SF_SMALL)
     rows = df.collect()
     assert rows and df.columns
     check(rows, duck)
